@@ -29,10 +29,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """``value_counts`` with the percentage of all non-null rows."""
     counts = value_counts(df, column)
-    total = counts.agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(total)).select(
-        "value", "n", (F.col("n") * 100.0 / F.col("total")).cast("double").alias("pct")
-    )
+    total = df.agg(F.count(col(column)).cast("double")).scalar()
+    return counts.select("value", "n", (F.col("n") * 100 / total).alias("pct"))
 
 
 def day_of_week_counts(df: DataFrame, column: str = "day_of_week") -> DataFrame:
@@ -42,8 +40,7 @@ def day_of_week_counts(df: DataFrame, column: str = "day_of_week") -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     return (
-        F.broadcast(days)
-        .join(counts.filter("day_of_week is not null"), "day_of_week", "left")
+        days.join(counts.filter("day_of_week is not null"), "day_of_week", "left")
         .select("day_of_week", F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy("day_of_week")
     )

@@ -75,3 +75,8 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
             return df
     size = df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"] or 0
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def measured_side(df: DataFrame, label: str = "side", max_bytes: int = 64 << 20) -> DataFrame:
+    """A join side stored once, then measured: broadcast if small, else unhinted."""
+    return broadcast_if_small(materialize(df, label), max_bytes)
