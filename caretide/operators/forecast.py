@@ -182,9 +182,9 @@ def boosted_features(daily: DataFrame, extra: Sequence[str] = ()) -> tuple[DataF
 
     Rolling values are shifted by a day, so a row never sees its own target.
     """
-    shifted = lag_and_rolling(daily, ["y"], ["ds"], lags=(1, 3, 7, 14), windows=())
+    shifted = lag_and_rolling(daily, ["y"], ["ds"], lags=(1, 3, 7, 14), windows=(), daily=True)
     past = lag_and_rolling(
-        shifted.withColumnRenamed("y_lag1", "past"), ["past"], ["ds"], lags=(), windows=(3, 7)
+        shifted.withColumnRenamed("y_lag1", "past"), ["past"], ["ds"], lags=(), windows=(3, 7), daily=True
     )
     calendar = ft.cyclical_features(ft.temporal_features(past, "ds", holidays=()))
     names = ["past", "y_lag3", "y_lag7", "y_lag14"]

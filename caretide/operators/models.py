@@ -26,8 +26,8 @@ _SLOTS = 1 << 20
 def make_classifier(kind: str, rows: int | None = None, label: str = "label", **params):
     """An estimator by name: boosted_trees, random_forest, logistic, gradient_boost.
 
-    ``xgboost`` is accepted for boosted_trees. Defaults are the reference settings;
-    any Spark ML parameter can be given, e.g. ``maxIter`` or ``weightCol``. The
+    ``xgboost`` is accepted for boosted_trees. Any Spark ML parameter
+    can be given over the defaults, e.g. ``maxIter`` or ``weightCol``. The
     logistic penalty is ``1 / (C * rows)`` on unscaled features, with ``C=1``.
     """
     common = {"labelCol": label, "featuresCol": "features"}

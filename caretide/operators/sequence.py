@@ -57,16 +57,21 @@ def with_row_window(
     *,
     rows_per_task: int = 2_000_000,
     parts: int | None = None,
+    daily: bool = False,
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows in ``order_by``.
 
     ``order_by`` (with ``partition_by``) must order rows uniquely: end it with an
     id. A keyed window is planned plainly while no key holds more than
-    ``rows_per_task`` rows; otherwise the order is cut into ranges.
+    ``rows_per_task`` rows; otherwise the order is cut into ranges. ``daily``
+    states that the table holds one row per day (and key), which the calendar
+    bounds, so a plain window will do.
     """
     need(df, [*order_by, *partition_by])
     keys = [col(c) for c in partition_by]
     order = [col(c) for c in order_by]
+    if daily:
+        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     if keys:
         largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         if largest <= rows_per_task:
