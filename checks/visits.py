@@ -459,8 +459,8 @@ def summary_stats(spark, sf):
 def _duck_distribution(c: str, source: str, flat: bool = False) -> str:
     metrics = {
         "mean": f"avg({c})", "median": f"quantile_cont({c}, 0.5)", "std": f"stddev_samp({c})",
-        "skewness": "0.0" if flat else f"skewness({c})",
-        "kurtosis": "0.0" if flat else f"kurtosis({c})",
+        "skewness": "max(0.0)" if flat else f"skewness({c})",
+        "kurtosis": "max(0.0)" if flat else f"kurtosis({c})",
         "min": f"min({c})", "max": f"max({c})",
     }
     return " UNION ALL ".join(
