@@ -122,7 +122,7 @@ def _inside(points: DataFrame, keys: list[str]) -> int:
 
 def _score(points: DataFrame, size: int, small: int) -> int:
     if size <= small:
-        one = points.groupBy(F.lit(0)).applyInPandas(_group_score, _SCORE).first()
+        one = points.withColumn("g", F.lit(0)).groupBy("g").applyInPandas(_group_score, _SCORE).first()
         return int(one[0]) if one else 0
     buckets = max(4, math.isqrt(size) // 10)
     cut = {c: _cuts(points, c, buckets) for c in ("x", "y")}

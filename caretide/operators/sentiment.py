@@ -41,12 +41,17 @@ def sentiment_scores(
     """
     need(lexicon, ["term", "polarity", "subjectivity"])
     words = F.col("__w")
-    pairs = F.transform(
-        words, lambda w, i: F.struct(w.alias("term"), F.get(words, i - 1).alias("before"))
-    )
+    looks_back = bool(negations or intensifiers)
+    if looks_back:
+        pairs = F.transform(
+            words, lambda w, i: F.struct(w.alias("term"), F.get(words, i - 1).alias("before"))
+        )
+        each = F.inline(pairs)
+    else:
+        each = F.explode(words).alias("term")
     word_rows = (
         df.select(col(id_column), tokens(col(text)).alias("__w"))
-        .select(col(id_column), F.inline(pairs))
+        .select(col(id_column), each)
         .join(broadcast_if_small(lexicon.select("term", "polarity", "subjectivity")), "term")
     )
     factor = F.lit(1.0)
@@ -54,9 +59,13 @@ def sentiment_scores(
         factor = F.when(F.col("before") == word, F.lit(float(strength))).otherwise(factor)
     if negations:
         factor = F.when(F.col("before").isin(*negations), F.lit(NEGATION_FACTOR)).otherwise(factor)
-    polarity = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("polarity") * factor))
+    polarity = F.col("polarity")
+    if looks_back:
+        polarity = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), polarity * factor))
+    # Rounded so that a score on a label bound does not depend on summation order.
     return word_rows.groupBy(id_column).agg(
-        F.avg(polarity).alias("polarity"), F.avg("subjectivity").alias("subjectivity")
+        F.round(F.avg(polarity), 9).alias("polarity"),
+        F.round(F.avg("subjectivity"), 9).alias("subjectivity"),
     )
 
 

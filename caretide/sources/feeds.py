@@ -14,6 +14,7 @@ from caretide.operators.cleaning import dedup_by_id, lookback_filter, since_filt
 from caretide.operators.feeds import HASHTAGS, PHRASES, limit_per_query, match_queries, newest_per_group
 from caretide.operators.schema import is_valid
 from caretide.operators.sentiment import score_sentiment
+from caretide.session import materialize
 from caretide.sources.html import extract_article, extract_listing
 
 POST_SCHEMA = (
@@ -58,7 +59,8 @@ def shape_posts(
     dated = raw.withColumn("date", epoch_to_timestamp("created_utc"))
     recent = lookback_filter(newest_per_group(dated, "subreddit", limit, id_column="id"), as_of, lookback_days)
     whole = recent.withColumn("__clean", tx.clean_post_text(F.concat_ws(" ", "title", "selftext")))
-    scored = score_sentiment(whole, "__clean", "id", lexicon)
+    # Both sides of the sentiment join read this; the limits above made it small.
+    scored = score_sentiment(materialize(whole, "posts"), "__clean", "id", lexicon)
     return scored.select(
         "date",
         "subreddit",
@@ -100,7 +102,8 @@ def shape_short_posts(
     kept = limit_per_query(found, limit, limit // 2, id_column="id")
     unique = dedup_by_id(kept, "id", ["query_no", "position"])
     whole = unique.withColumn("__clean", tx.clean_short_text("content"))
-    scored = score_sentiment(whole, "__clean", "id", lexicon)
+    # Both sides of the sentiment join read this; the limits above made it small.
+    scored = score_sentiment(materialize(whole, "posts"), "__clean", "id", lexicon)
     return scored.select(
         "date",
         F.col("id").alias("tweet_id"),

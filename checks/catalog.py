@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from checks import feeds, scalars, visits  # noqa: F401
+from checks import feeds, ml, scalars, stats, streams, visits  # noqa: F401
 from checks.registry import ORACLES, QUERIES  # noqa: F401

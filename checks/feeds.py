@@ -75,7 +75,7 @@ def _duck_clean(c: str) -> str:
 def _duck_scores(source: str, key: str, text: str) -> str:
     """CTE ``scores``: mean polarity and subjectivity of the lexicon words of a text."""
     return f"""tok AS (SELECT {key}, unnest(regexp_extract_all(lower({text}), '[{DUCK_WORD}'']+')) AS term FROM {source}),
-    scores AS (SELECT {key}, avg(p) AS p, avg(s) AS s FROM tok JOIN l USING (term) GROUP BY {key})"""
+    scores AS (SELECT {key}, round(avg(p), 9) AS p, round(avg(s), 9) AS s FROM tok JOIN l USING (term) GROUP BY {key})"""
 
 
 _CATEGORY = """CASE WHEN pol > -1 AND pol <= -0.3 THEN 'Negative' WHEN pol > -0.3 AND pol <= 0.3 THEN 'Neutral'
@@ -659,7 +659,7 @@ def merge_counts(spark, sf):
     "score_sentiment",
     f"""WITH {_LEXICON_SQL}, {_duck_scores('documents', 'doc_id', 'text')}
     SELECT doc_id, round(coalesce(p, 0.0), 6) AS sentiment_polarity, round(coalesce(s, 0.0), 6) AS sentiment_subjectivity,
-      CASE WHEN round(coalesce(p, 0.0), 9) > 0.3 THEN 'positive' WHEN round(coalesce(p, 0.0), 9) < -0.3 THEN 'negative'
+      CASE WHEN coalesce(p, 0.0) > 0.3 THEN 'positive' WHEN coalesce(p, 0.0) < -0.3 THEN 'negative'
         ELSE 'neutral' END AS sentiment_label FROM documents LEFT JOIN scores USING (doc_id)""",
 )
 def score_sentiment(spark, sf):
@@ -674,7 +674,7 @@ def score_sentiment(spark, sf):
     pos AS (SELECT doc_id, unnest(w) AS term, unnest(list_prepend(NULL, w[:-2])) AS before FROM tok),
     f AS (SELECT doc_id, s, greatest(-1.0, least(1.0, p * CASE WHEN before IN ('the', 'de') THEN -0.5
       WHEN before = 'and' THEN 1.5 ELSE 1.0 END)) AS p FROM pos JOIN l USING (term))
-    SELECT doc_id, round(avg(p), 6) AS polarity, round(avg(s), 6) AS subjectivity FROM f GROUP BY doc_id""",
+    SELECT doc_id, round(round(avg(p), 9), 6) AS polarity, round(round(avg(s), 9), 6) AS subjectivity FROM f GROUP BY doc_id""",
 )
 def score_sentiment_context(spark, sf):
     out = sn.sentiment_scores(
