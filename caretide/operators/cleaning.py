@@ -161,15 +161,17 @@ def winsorize_upper(
     return df.withColumns(changed)
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    """``(q1, q3, lower, upper)`` per column; Nones if the column has no data."""
-    got = exact_quantiles(df, {n: [0.25, 0.75] for n in columns})
-    out = {}
-    for n in columns:
-        q1, q3 = got[n][0.25], got[n][0.75]
-        reach = None if q1 is None else 1.5 * (q3 - q1)
-        out[n] = (q1, q3, None, None) if q1 is None else (q1, q3, q1 - reach, q3 + reach)
-    return out
+def fences(q1: float | None, q3: float | None) -> tuple[float | None, float | None]:
+    """Lower and upper outlier bounds from the quartiles; Nones without data."""
+    if q1 is None or q3 is None:
+        return None, None
+    reach = 1.5 * (q3 - q1)
+    return q1 - reach, q3 + reach
+
+
+def _column_fences(df: DataFrame, column: str) -> tuple[float | None, float | None]:
+    got = exact_quantiles(df, {column: [0.25, 0.75]})[column]
+    return fences(got[0.25], got[0.75])
 
 
 def _outside(name: str, lower: float | None, upper: float | None) -> Column:
@@ -180,13 +182,13 @@ def _outside(name: str, lower: float | None, upper: float | None) -> Column:
 
 def iqr_outliers(df: DataFrame, column: str) -> DataFrame:
     """The rows outside the quartile fences of ``column``."""
-    _, _, lower, upper = iqr_bounds(df, [column])[column]
+    lower, upper = _column_fences(df, column)
     return df.filter(_outside(column, lower, upper))
 
 
 def iqr_outlier_summary(df: DataFrame, column: str) -> DataFrame:
     """One row: outlier count, share of all rows in percent, and the fences."""
-    _, _, lower, upper = iqr_bounds(df, [column])[column]
+    lower, upper = _column_fences(df, column)
     hits, rows = F.count_if(_outside(column, lower, upper)), F.count(F.lit(1))
     return df.agg(
         hits.alias("n_outliers"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +16,9 @@ from caretide.operators.quality import agg_to_rows
 from caretide.operators.quantiles import exact_quantiles
 from caretide.operators.schema import col, numeric_columns
 
+WIDE = 40
 _PAIRS_PER_JOB = 120
+_PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -145,14 +150,20 @@ def pearson(a: Column, b: Column) -> Column:
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(var1, var2, correlation)`` for every pair of numeric columns.
 
-    The pairs share an aggregation in bounded batches; nothing is shuffled but
-    the partial sums.
+    Up to ``WIDE`` columns share one aggregation in bounded batches; a wider table
+    is read once, each task adding up its cross products as matrices. Either way
+    only partial sums are shuffled.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, correlation double")
+    return _by_matrix(view, names) if len(names) > WIDE else _by_pairs(view, names)
+
+
+def _by_pairs(view: DataFrame, names: Sequence[str]) -> DataFrame:
     pairs = list(combinations(range(len(names)), 2))
-    schema = "var1 string, var2 string, correlation double"
-    out = None
+    parts = []
     for start in range(0, len(pairs), _PAIRS_PER_JOB):
         batch = pairs[start : start + _PAIRS_PER_JOB]
         one = view.agg(*[pearson(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{i}_{j}") for i, j in batch])
@@ -164,9 +175,47 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
             )
             for i, j in batch
         ]
-        part = one.select(F.inline(F.array(*cells)))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else df.sparkSession.createDataFrame([], schema)
+        parts.append(one.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _by_matrix(view: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Pair sums of each task as matrix products, then one sum per pair.
+
+    Values are shifted by the column means first, which keeps the sums exact
+    enough; pairs count only rows where both values are present.
+    """
+    size = len(names)
+    centre = [m or 0.0 for m in view.agg(*[F.avg(c) for c in view.columns]).first()]
+    first, second = np.triu_indices(size, 1)
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((6, size, size))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float) - np.array(centre)
+            here = ~np.isnan(x)
+            m, x = here.astype(float), np.where(here, x, 0.0)
+            for k, part in enumerate((m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)):
+                sums[k] += part
+        picked = sums[:, first, second]
+        yield pd.DataFrame({"i": first, "j": second, **dict(zip(_PAIR_SUMS, picked, strict=True))})
+
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in _PAIR_SUMS)
+    total = (
+        view.mapInPandas(add_up, schema)
+        .groupBy("i", "j")
+        .agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
+    )
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    above = n * F.col("sxy") - sx * sy
+    spread_x = F.greatest(n * F.col("sxx") - sx * sx, F.lit(0.0))
+    spread_y = F.greatest(n * F.col("syy") - sy * sy, F.lit(0.0))
+    labels = F.array(*[F.lit(c) for c in names])
+    return total.select(
+        F.get(labels, F.col("i")).alias("var1"),
+        F.get(labels, F.col("j")).alias("var2"),
+        F.try_divide(above, F.sqrt(spread_x) * F.sqrt(spread_y)).alias("correlation"),
+    )
 
 
 def strong_correlations(

@@ -161,14 +161,16 @@ def forecast_many(
     interval_width: float = 0.80,
     penalty: float = PENALTY,
 ) -> DataFrame:
-    """Forecasts of many series ``(series, ds, y)``, one row per series and day.
+    """Forecasts of many series ``(series, ds, y)``.
 
-    A group is one series and so bounded by the calendar; series spread over tasks.
+    Several values of a day are averaged first, so a group holds one row per day
+    and is bounded by the calendar; the series spread over tasks.
     """
     kind = dict(daily.dtypes)["series"]
     return (
         daily.filter("y is not null and ds is not null")
-        .select("series", "ds", "y")
+        .groupBy("series", "ds")
+        .agg(F.avg("y").alias("y"))
         .groupBy("series")
         .applyInPandas(
             _fit_group(periods, interval_width, penalty),

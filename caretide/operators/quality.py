@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from caretide.functions.columns import finite
 from caretide.functions.dates import parse_date
-from caretide.operators.cleaning import iqr_bounds
+from caretide.operators.cleaning import fences
 from caretide.operators.quantiles import exact_quantiles
 from caretide.operators.schema import col, is_missing, numeric_columns, string_columns
 
@@ -111,13 +111,12 @@ def numeric_report(
 ) -> DataFrame:
     """``(column, metric, value)``: fences, outliers, moments and violations."""
     names = numeric_columns(df)
-    fences = iqr_bounds(df, names)
-    middle = exact_quantiles(df, {n: [0.5] for n in names})
+    quartiles = exact_quantiles(df, {n: [0.25, 0.5, 0.75] for n in names})
     rows = F.count(F.lit(1))
     entries = {}
     for n in names:
         value = finite(col(n))
-        _, _, lower, upper = fences[n]
+        lower, upper = fences(quartiles[n][0.25], quartiles[n][0.75])
         lo, hi = F.lit(lower).cast("double"), F.lit(upper).cast("double")
         hits = F.count_if((value < lo) | (value > hi))
         entries[n] = {
@@ -128,7 +127,7 @@ def numeric_report(
             "min": F.min(value),
             "max": F.max(value),
             "mean": F.avg(value),
-            "median": F.max(F.lit(middle[n][0.5]).cast("double")),
+            "median": F.max(F.lit(quartiles[n][0.5]).cast("double")),
             "std": F.stddev_samp(value),
         }
         if expected and n in expected:

@@ -77,27 +77,36 @@ def exact_quantiles(
     def around(p: float) -> list[float]:
         return [max(0.0, p - margin), min(1.0, p + margin)]
 
+    # Inner quantiles go through the sketch; the ends are the minimum and maximum.
+    inner = {n: [p for p in wanted[n] if 0 < p < 1] for n in names}
     first = []
     for n in names:
-        points = [x for p in wanted[n] for x in around(p)]
-        first += [F.count(c[n]), F.percentile_approx(c[n], points, accuracy)]
+        points = [x for p in inner[n] for x in around(p)] or [0.5]
+        sketch = F.percentile_approx(c[n], points, accuracy) if inner[n] else F.lit(None)
+        first += [F.count(c[n]), F.min(c[n]), F.max(c[n]), sketch]
     got = _aggregate(view, first)
 
     ranks: dict[tuple[str, int], _Rank] = {}
     total: dict[str, int] = {}
     brackets: dict[tuple[str, int], tuple[float, float]] = {}
     for i, n in enumerate(names):
-        total[n], points = got[2 * i], got[2 * i + 1]
+        total[n], least, most, points = got[4 * i : 4 * i + 4]
         if not total[n]:
             continue
-        for j, p in enumerate(wanted[n]):
-            at = p * (total[n] - 1)
+        last = total[n] - 1
+        ranks[n, 0] = _Rank(n, 0, value=least)
+        ranks[n, last] = _Rank(n, last, value=most)
+        for j, p in enumerate(inner[n]):
+            at = p * last
             for r in {math.floor(at), math.ceil(at)}:
-                key = (n, r)
-                ranks.setdefault(key, _Rank(n, r, inside=total[n]))
-                brackets.setdefault(key, (points[2 * j], points[2 * j + 1]))
-
-    todo = list(ranks.values())
+                if (n, r) not in ranks:
+                    ranks[n, r] = _Rank(n, r, inside=total[n])
+                    brackets[n, r] = (points[2 * j], points[2 * j + 1])
+        if least == most:
+            for r in (r for r in ranks.values() if r.column == n):
+                r.value = least
+
+    todo = [r for r in ranks.values() if r.value is None]
     while todo:
         _count_round(view, c, todo, brackets)
         todo = [r for r in todo if r.value is None]

@@ -80,3 +80,13 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
 def measured_side(df: DataFrame, label: str = "side", max_bytes: int = 64 << 20) -> DataFrame:
     """A join side stored once, then measured: broadcast if small, else unhinted."""
     return broadcast_if_small(materialize(df, label), max_bytes)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer input splits than cores, dealt out evenly.
+
+    For costly per-row work (regular expressions, HTML) on small or unsplittable
+    files. Call it right after reading; a large scan is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

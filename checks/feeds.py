@@ -195,6 +195,23 @@ def extract_listing(spark, sf):
     return out.withColumn("date", text_time("date"))
 
 
+@query(
+    "limit_cards",
+    "SELECT page_id, count(*) AS cards FROM pages, range(100) GROUP BY page_id",
+)
+def limit_cards(spark, sf):
+    """Listings of 120 cards each, ahead of the page's own markup."""
+    card = F.lit('<div class="card-body"><h3>t</h3><a href="/x">l</a></div>')
+    key = F.col("page_id").cast("string")
+    pages = table(spark, sf, "pages").select(
+        key.alias("url"), F.concat(F.repeat(card, F.lit(120)), F.col("html")).alias("html")
+    )
+    out = html.extract_listing(pages, AS_OF, "https://base.example")
+    return out.groupBy(F.col("page_url").cast("bigint").alias("page_id")).agg(
+        F.count(F.lit(1)).alias("cards")
+    )
+
+
 @query("extract_article")
 def extract_article(spark, sf):
     return html.extract_article(table(spark, sf, "pages")).select("page_id", "content")

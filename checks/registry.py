@@ -10,11 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caretide.session import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents"
     " embeddings pages benchmark labels conversations"
 ).split()
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
 _START = "TIMESTAMP '2024-01-01 00:00:00'"
 # token: (Spark, DuckDB)
 _TOKENS = {
@@ -100,7 +104,8 @@ ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

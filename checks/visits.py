@@ -505,6 +505,27 @@ def strong_correlations(spark, sf):
     return rounded(lines.unionByName(visits), "correlation")
 
 
+_WIDE = [f"{c}_{k}" for k in range(9) for c in _LINE_NUMBERS]
+
+
+@query(
+    "correlations_wide",
+    "WITH w AS (SELECT "
+    + ", ".join(f"{c} * {k + 1} + l_partkey * {k} AS {c}_{k}" for k in range(9) for c in _LINE_NUMBERS)
+    + " FROM lineitem), c AS (" + _duck_pairs(_WIDE, "w") + ") SELECT * FROM c WHERE abs(correlation) > 0.3",
+)
+def correlations_wide(spark, sf):
+    """45 columns mixed from the numbers of a line: the one-scan path."""
+    lines = table(spark, sf, "lineitem").select(
+        *[
+            (F.col(c) * (k + 1) + F.col("l_partkey") * k).alias(f"{c}_{k}")
+            for k in range(9)
+            for c in _LINE_NUMBERS
+        ]
+    )
+    return rounded(ex.strong_correlations(lines, 0.3), "correlation")
+
+
 @query(
     "top_k",
     "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 20",
