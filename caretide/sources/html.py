@@ -31,27 +31,22 @@ _NO_TEXT = frozenset(("script", "style", "template"))
 
 
 class _Element:
-    """An element with its attributes, parent and the text runs below it."""
+    """An element, the text runs below it and where its descendants end."""
 
-    __slots__ = ("attrs", "parent", "tag", "texts")
+    __slots__ = ("attrs", "end", "start", "tag", "texts")
 
-    def __init__(self, tag: str, attrs: dict, parent: _Element | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag: str, attrs: dict, position: int):
+        self.tag, self.attrs = tag, attrs
+        self.start = self.end = position + 1
         self.texts: list[str] = []
 
     def is_a(self, selector: str) -> bool:
         tag, _, css = selector.partition(".")
         return self.tag == tag and (not css or css in (self.attrs.get("class") or "").split())
 
-    def within(self, other: _Element) -> bool:
-        node = self.parent
-        while node is not None and node is not other:
-            node = node.parent
-        return node is other
-
 
 class _Page(HTMLParser):
-    """Elements of a page in document order."""
+    """Elements of a page in document order, so descendants follow their ancestor."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -61,6 +56,7 @@ class _Page(HTMLParser):
         self.feed(html)
         self.close()
         self._end_run()
+        self._shut(0)
 
     def _end_run(self, *_):
         """Text between two pieces of markup is one run."""
@@ -75,9 +71,14 @@ class _Page(HTMLParser):
     def handle_data(self, data):
         self._run.append(data)
 
+    def _shut(self, depth):
+        for node in self._open[depth:]:
+            node.end = len(self.elements)
+        del self._open[depth:]
+
     def handle_starttag(self, tag, attrs):
         self._end_run()
-        node = _Element(tag, dict(attrs), self._open[-1] if self._open else None)
+        node = _Element(tag, dict(attrs), len(self.elements))
         self.elements.append(node)
         if tag not in _VOID:
             self._open.append(node)
@@ -86,7 +87,7 @@ class _Page(HTMLParser):
         self._end_run()
         for depth in range(len(self._open) - 1, -1, -1):
             if self._open[depth].tag == tag:
-                del self._open[depth:]
+                self._shut(depth)
                 return
 
 
@@ -106,7 +107,7 @@ def _cards(html: str | None, limit: int) -> Iterator[tuple[int, str, str, str |
     elements = _Page(html or "").elements
     cards = [e for e in elements if e.is_a("div.card-body")][:limit]
     for position, card in enumerate(cards, 1):
-        inner = [e for e in elements if e.within(card)]
+        inner = elements[card.start : card.end]
         title = next((e for e in inner if e.tag == "h3"), None)
         link = next((e for e in inner if e.tag == "a" and "href" in e.attrs), None)
         if title is None or link is None:
