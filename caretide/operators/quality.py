@@ -87,9 +87,9 @@ def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> Data
     A duplicate repeats an earlier row in all columns, or in ``subset``.
     """
     names = list(subset) if subset else df.columns
-    groups = df.groupBy(*[col(n) for n in names]).agg(F.count(F.lit(1)).alias("n"))
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
+    groups = df.groupBy(*[col(n) for n in names]).agg(F.count(F.lit(1)).alias("__n"))
+    total = F.coalesce(F.sum("__n"), F.lit(0))
+    extra = F.coalesce(F.sum(F.col("__n") - 1), F.lit(0))
     return groups.agg(
         total.alias("row_count"),
         extra.alias("duplicate_count"),

@@ -77,15 +77,21 @@ def score_sentiment(
     prefix: str = "sentiment_",
     **how,
 ) -> DataFrame:
-    """Add polarity, subjectivity and label; a text without lexicon words is 0, neutral."""
-    scores = sentiment_scores(df, text, id_column, lexicon, **how)
-    joined = df.join(scores, id_column, "left")
-    polarity = F.coalesce("polarity", F.lit(0.0))
-    return joined.select(
-        *[df[q] for q in df.columns],
-        polarity.alias(f"{prefix}polarity"),
-        F.coalesce("subjectivity", F.lit(0.0)).alias(f"{prefix}subjectivity"),
-        sentiment_label(polarity).alias(f"{prefix}label"),
+    """Add (or replace) polarity, subjectivity and label.
+
+    A text without lexicon words scores 0 and is neutral.
+    """
+    scores = sentiment_scores(df, text, id_column, lexicon, **how).select(
+        id_column, F.col("polarity").alias("__p"), F.col("subjectivity").alias("__s")
+    )
+    polarity = F.coalesce("__p", F.lit(0.0))
+    added = {
+        f"{prefix}polarity": polarity,
+        f"{prefix}subjectivity": F.coalesce("__s", F.lit(0.0)),
+        f"{prefix}label": sentiment_label(polarity),
+    }
+    return df.join(scores, id_column, "left").select(
+        *[df[c] for c in df.columns if c not in added], *[v.alias(n) for n, v in added.items()]
     )
 
 

@@ -73,7 +73,8 @@ def with_row_window(
     if daily:
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     if keys:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        largest = sizes.agg(F.max("__n")).first()[0] or 0
         if largest <= rows_per_task:
             return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     return _in_ranges(df, build, reach, order, keys, parts)
