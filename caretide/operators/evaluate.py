@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caretide.functions.columns import finite
 from caretide.operators.feeds import union_feeds
@@ -16,12 +17,23 @@ from caretide.session import materialize
 MAX_CLASSES = 1_000
 
 
+def _label(df: DataFrame, name: str) -> Column:
+    """A class label as text; 1, 1.0 and true are the same label."""
+    c = col(name)
+    kind = next(f.dataType for f in df.schema.fields if f.name == name)
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("string")
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        whole = c.cast("bigint")
+        return F.when(c == whole, whole.cast("string")).otherwise(c.cast("string"))
+    return c.cast("string")
+
+
 def _counts(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     """``(truth, prediction, n)`` as text labels; all later work is on this table."""
-    label = lambda c: col(c).cast("string")
     return (
         df.filter(col(truth).isNotNull() & col(prediction).isNotNull())
-        .groupBy(label(truth).alias("truth"), label(prediction).alias("prediction"))
+        .groupBy(_label(df, truth).alias("truth"), _label(df, prediction).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

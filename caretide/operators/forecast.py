@@ -1,6 +1,7 @@
 """Additive daily forecasts: trend with change points plus yearly and weekly waves.
 
-The fit is penalised least squares; its curve is not that of any particular
+The fit is least squares with a normal prior per coefficient: loose for growth and
+waves, tight for changes of the trend. Its curve is not that of any particular
 forecasting library. The interval is the residual deviation times the normal
 quantile of ``interval_width``.
 """
@@ -28,8 +29,10 @@ from caretide.operators.sequence import lag_and_rolling
 
 YEAR, WEEK = 365.25, 7.0
 YEAR_ORDER, WEEK_ORDER = 10, 3
-CHANGE_POINTS, CHANGE_RANGE, CHANGE_SCALE = 25, 0.8, 0.05
-PENALTY = 0.01
+CHANGE_POINTS, CHANGE_RANGE = 25, 0.8
+# Prior deviations of the coefficients, and of the noise, as shares of the largest
+# value. A column times its prior has a coefficient of prior deviation 1.
+GROWTH_PRIOR, WAVE_PRIOR, CHANGE_PRIOR, NOISE = 5.0, 10.0, 0.05, 0.05
 
 
 def prepare_series(df: DataFrame, target: str, date_column: str) -> DataFrame:
@@ -87,18 +90,18 @@ def _design(df: DataFrame, start: date, span: int, hinges: Sequence[float]) -> D
     """Add the ``features`` vector; ``t`` is 0 at the start and 1 at the end of history."""
     days = F.datediff("ds", F.lit(start)).cast("double")
     t = days / F.lit(float(span))
-    parts: list[Column] = [t]
-    parts += [F.greatest(t - F.lit(h), F.lit(0.0)) * CHANGE_SCALE for h in hinges]
+    parts: list[Column] = [t * GROWTH_PRIOR]
+    parts += [F.greatest(t - F.lit(h), F.lit(0.0)) * CHANGE_PRIOR for h in hinges]
     since = F.datediff("ds", F.lit(date(1970, 1, 1))).cast("double")
     for period, k in _waves():
         angle = since * F.lit(2 * math.pi * k / period)
-        parts += [F.sin(angle), F.cos(angle)]
+        parts += [F.sin(angle) * WAVE_PRIOR, F.cos(angle) * WAVE_PRIOR]
     names = [f"__f{i}" for i in range(len(parts))]
     wide = df.select("*", *[p.alias(n) for p, n in zip(parts, names, strict=True)])
     return VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names)
 
 
-def fit_forecast(daily: DataFrame, penalty: float = PENALTY) -> DailyForecaster:
+def fit_forecast(daily: DataFrame, noise: float = NOISE) -> DailyForecaster:
     """Fit one series ``(ds, y)`` with one row per day."""
     known = daily.filter(F.col("y").isNotNull())
     start, end, n, scale = known.agg(
@@ -110,13 +113,17 @@ def fit_forecast(daily: DataFrame, penalty: float = PENALTY) -> DailyForecaster:
     hinges = _hinges(min(CHANGE_POINTS, max(0, int(n * CHANGE_RANGE) - 1)))
     data = _design(known, start, span, hinges).withColumn("__y", F.col("y") / F.lit(scale))
     fit = LinearRegression(
-        labelCol="__y", regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal"
+        labelCol="__y",
+        regParam=noise * noise / n,
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="normal",
     ).fit(data)
     sigma = math.sqrt(fit.summary.meanSquaredError) * scale
     return DailyForecaster(fit, start, span, scale, sigma, hinges)
 
 
-def _fit_group(periods: int, width: float, penalty: float):
+def _fit_group(periods: int, width: float, noise: float):
     """Fit and extend one series held in one pandas group (one row per day)."""
     z = normal_quantile((1 + width) / 2)
 
@@ -130,14 +137,15 @@ def _fit_group(periods: int, width: float, penalty: float):
         hinges = _hinges(min(CHANGE_POINTS, max(0, int(len(y) * CHANGE_RANGE) - 1)))
         t = (days - start).days.to_numpy() / span
         since = (days - pd.Timestamp(0)).days.to_numpy()
-        columns = [np.ones_like(t), t, *[np.maximum(t - h, 0) * CHANGE_SCALE for h in hinges]]
+        columns = [np.ones_like(t), t * GROWTH_PRIOR]
+        columns += [np.maximum(t - h, 0) * CHANGE_PRIOR for h in hinges]
         for period, k in _waves():
             angle = 2 * np.pi * k / period * since
-            columns += [np.sin(angle), np.cos(angle)]
+            columns += [np.sin(angle) * WAVE_PRIOR, np.cos(angle) * WAVE_PRIOR]
         design = np.stack(columns, 1)
         scale = np.abs(y).max() or 1.0
         known = design[: len(y)]
-        ridge = penalty * len(y) * np.eye(design.shape[1])
+        ridge = noise * noise * np.eye(design.shape[1])
         ridge[0, 0] = 0.0
         beta = np.linalg.lstsq(known.T @ known + ridge, known.T @ (y / scale), rcond=None)[0]
         yhat = design @ beta * scale
@@ -159,7 +167,7 @@ def forecast_many(
     daily: DataFrame,
     periods: int = 30,
     interval_width: float = 0.80,
-    penalty: float = PENALTY,
+    noise: float = NOISE,
 ) -> DataFrame:
     """Forecasts of many series ``(series, ds, y)``.
 
@@ -173,7 +181,7 @@ def forecast_many(
         .agg(F.avg("y").alias("y"))
         .groupBy("series")
         .applyInPandas(
-            _fit_group(periods, interval_width, penalty),
+            _fit_group(periods, interval_width, noise),
             f"series {kind}, ds date, yhat double, yhat_lower double, yhat_upper double",
         )
     )
