@@ -136,12 +136,13 @@ def _chi2(cells: DataFrame) -> tuple[float, int, int, int]:
     ).first()
     if not total:
         raise ValueError("no observations")
-    by_a = F.sum("n").over(Window.partitionBy("a"))
-    by_b = F.sum("n").over(Window.partitionBy("b"))
-    expected = by_a.cast("double") * by_b / F.lit(float(total))
+    sums = {c: cells.groupBy(c).agg(F.sum("n").cast("double").alias(f"n_{c}")) for c in ("a", "b")}
+    expected = F.col("n_a") * F.col("n_b") / F.lit(float(total))
     e = F.col("e")
     observed, covered = (
-        cells.withColumn("e", expected)
+        cells.join(sums["a"], "a")
+        .join(sums["b"], "b")
+        .withColumn("e", expected)
         .agg(F.sum((F.col("n") - e) * (F.col("n") - e) / e), F.sum(e))
         .first()
     )

@@ -1,10 +1,11 @@
 """Exact quantiles at any size, without collecting or sorting a column.
 
-A mergeable sketch gives a narrow bracket around each wanted rank; counting the
-rows below and at the bracket's ends tells where the rank lies. A rank on an end
-is done; one strictly between is looked up among the few rows inside, or the
-bracket is narrowed again while it holds too many. Every pass is one aggregation
-over all columns, with nothing but counts and sketches crossing the network.
+A sketch over some of the rows gives a narrow bracket around each wanted rank;
+counting all rows below and at the bracket's ends then tells exactly where the rank
+lies. A rank on an end is done; one strictly between is looked up if few rows are
+left there, else the search goes on inside. The sketch only guides the search: a
+bracket that misses costs a round, never the result. Every pass is one aggregation
+over all columns, and what crosses the network does not grow with the table.
 """
 
 from __future__ import annotations
@@ -58,62 +59,45 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     *,
+    sketch_rows: int = 500_000,
     accuracy: int = 10_000,
-    lookup_rows: int = 20_000,
+    lookup_rows: int = 100_000,
 ) -> dict[str, dict[float, float | None]]:
     """Linearly interpolated quantiles, ``{column: {p: value}}``; null if no data.
 
-    NaN and NULL are left out. ``accuracy`` is the sketch size and
-    ``lookup_rows`` the most rows of one bracket that are ever gathered; neither
-    changes the result.
+    NaN and NULL are left out. ``sketch_rows`` and ``accuracy`` size a sketch and
+    ``lookup_rows`` is the most rows of one bracket that are ever gathered; none of
+    them changes the result.
     """
-    if accuracy < 100 or lookup_rows < 1:
-        raise ValueError("accuracy must be at least 100 and lookup_rows at least 1")
+    if accuracy < 100 or sketch_rows < 1000 or lookup_rows < 1:
+        raise ValueError("accuracy and sketch_rows must be at least 100 and 1000")
     names = list(wanted)
     view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
     c = {n: F.col(f"c{i}") for i, n in enumerate(names)}
-    margin = 2.0 / accuracy
+    got = _aggregate(view, [f(c[n]) for n in names for f in (F.count, F.min, F.max)])
 
-    def around(p: float) -> list[float]:
-        return [max(0.0, p - margin), min(1.0, p + margin)]
-
-    # Inner quantiles go through the sketch; the ends are the minimum and maximum.
-    inner = {n: [p for p in wanted[n] if 0 < p < 1] for n in names}
-    first = []
-    for n in names:
-        points = [x for p in inner[n] for x in around(p)] or [0.5]
-        sketch = F.percentile_approx(c[n], points, accuracy) if inner[n] else F.lit(None)
-        first += [F.count(c[n]), F.min(c[n]), F.max(c[n]), sketch]
-    got = _aggregate(view, first)
-
-    ranks: dict[tuple[str, int], _Rank] = {}
     total: dict[str, int] = {}
-    brackets: dict[tuple[str, int], tuple[float, float]] = {}
+    ranks: dict[tuple[str, int], _Rank] = {}
     for i, n in enumerate(names):
-        total[n], least, most, points = got[4 * i : 4 * i + 4]
+        total[n], least, most = got[3 * i : 3 * i + 3]
         if not total[n]:
             continue
         last = total[n] - 1
-        ranks[n, 0] = _Rank(n, 0, value=least)
-        ranks[n, last] = _Rank(n, last, value=most)
-        for j, p in enumerate(inner[n]):
-            at = p * last
-            for r in {math.floor(at), math.ceil(at)}:
+        ranks[n, 0], ranks[n, last] = _Rank(n, 0, value=least), _Rank(n, last, value=most)
+        for p in wanted[n]:
+            for r in (math.floor(p * last), math.ceil(p * last)):
                 if (n, r) not in ranks:
-                    ranks[n, r] = _Rank(n, r, inside=total[n])
-                    brackets[n, r] = (points[2 * j], points[2 * j + 1])
-        if least == most:
-            for r in (r for r in ranks.values() if r.column == n):
-                r.value = least
-
-    todo = [r for r in ranks.values() if r.value is None]
-    while todo:
-        _count_round(view, c, todo, brackets)
-        todo = [r for r in todo if r.value is None]
-        short = [r for r in todo if r.inside <= lookup_rows]
-        _lookup_round(view, c, short)
+                    value = least if least == most else None
+                    ranks[n, r] = _Rank(n, r, inside=total[n], value=value)
+
+    seed = 0
+    while todo := [r for r in ranks.values() if r.value is None]:
+        _lookup_round(view, c, [r for r in todo if r.inside <= lookup_rows])
         todo = [r for r in todo if r.value is None]
-        brackets = _sketch_round(view, c, todo, accuracy)
+        if todo:
+            brackets = _sketch_round(view, c, todo, sketch_rows, accuracy, seed)
+            _count_round(view, c, [r for r in todo if (r.column, r.rank) in brackets], brackets)
+        seed += 1
 
     out: dict[str, dict[float, float | None]] = {}
     for n in names:
@@ -131,6 +115,39 @@ def exact_quantiles(
     return out
 
 
+def _by_interval(ranks: Sequence[_Rank]) -> dict[tuple, list[_Rank]]:
+    """Ranks that share a column and an open interval share the work on it."""
+    groups: dict[tuple, list[_Rank]] = {}
+    for r in sorted(ranks, key=lambda r: r.rank):
+        groups.setdefault((r.column, r.lo, r.hi), []).append(r)
+    return groups
+
+
+def _sketch_round(view, c, todo, sketch_rows, accuracy, seed) -> dict:
+    """A bracket per rank from a sketch over about ``sketch_rows`` rows of its interval."""
+    drawn = view.withColumn("u", F.rand(seed))
+    groups = _by_interval(todo)
+    aggregates = []
+    for (n, lo, hi), ranks in groups.items():
+        inside = ranks[0].inside
+        share = min(1.0, sketch_rows / inside)
+        # Five standard errors of a drawn rank, and the error of the sketch.
+        margin = 2.0 / accuracy + (2.5 / math.sqrt(sketch_rows) if share < 1.0 else 0.0)
+        asked = []
+        for r in ranks:
+            at = (r.rank - r.below) / max(1, inside - 1)
+            asked += [max(0.0, at - margin), min(1.0, at + margin)]
+        taken = _between(c[n], lo, hi)
+        if share < 1.0:
+            taken = taken & (F.col("u") < F.lit(share))
+        aggregates.append(F.percentile_approx(F.when(taken, c[n]), asked, accuracy))
+    brackets = {}
+    for ranks, got in zip(groups.values(), _aggregate(drawn, aggregates), strict=True):
+        for i, r in enumerate(ranks if got else ()):
+            brackets[r.column, r.rank] = (got[2 * i], got[2 * i + 1])
+    return brackets
+
+
 def _count_round(view, c, todo, brackets) -> None:
     """Place each rank below, on, between or above the ends of its bracket."""
     ends = sorted({(r.column, e) for r in todo for e in brackets[r.column, r.rank]})
@@ -157,36 +174,19 @@ def _count_round(view, c, todo, brackets) -> None:
 
 
 def _lookup_round(view, c, short) -> None:
-    """Pick ranks out of brackets known to hold few rows."""
-    spans = sorted({(r.column, r.lo, r.hi) for r in short}, key=str)
-    if not spans:
+    """Pick ranks out of intervals known to hold few rows."""
+    groups = _by_interval(short)
+    if not groups:
         return
     aggregates = []
-    for n, lo, hi in spans:
+    for (n, lo, hi), ranks in groups.items():
         rows = F.sort_array(F.collect_list(F.when(_between(c[n], lo, hi), c[n])))
-        wanted = sorted(r.rank - r.below for r in short if (r.column, r.lo, r.hi) == (n, lo, hi))
-        aggregates.append(F.array(*[F.get(rows, F.lit(k)) for k in wanted]))
-    got = dict(zip(spans, _aggregate(view, aggregates), strict=True))
-    for n, lo, hi in spans:
-        group = [r for r in short if (r.column, r.lo, r.hi) == (n, lo, hi)]
-        for r, value in zip(sorted(group, key=lambda r: r.rank), got[n, lo, hi], strict=True):
+        aggregates.append(F.array(*[F.get(rows, F.lit(r.rank - r.below)) for r in ranks]))
+    for ranks, got in zip(groups.values(), _aggregate(view, aggregates), strict=True):
+        for r, value in zip(ranks, got, strict=True):
             r.value = value
 
 
-def _sketch_round(view, c, todo, accuracy) -> dict:
-    """New brackets for ranks whose open interval still holds many rows."""
-    if not todo:
-        return {}
-    aggregates = []
-    for r in todo:
-        at = (r.rank - r.below) / max(1, r.inside - 1)
-        points = [max(0.0, at - 2.0 / accuracy), min(1.0, at + 2.0 / accuracy)]
-        inside = F.when(_between(c[r.column], r.lo, r.hi), c[r.column])
-        aggregates.append(F.percentile_approx(inside, points, accuracy))
-    got = _aggregate(view, aggregates)
-    return {(r.column, r.rank): tuple(v) for r, v in zip(todo, got, strict=True)}
-
-
 def approx_quantiles(
     df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = 10_000
 ) -> dict[str, dict[float, float | None]]:

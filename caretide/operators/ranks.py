@@ -29,6 +29,13 @@ def range_parts(df: DataFrame, order: Sequence[Column], parts: int | None = None
     return materialize(ranged.withColumn(PART, F.spark_partition_id()), "ranges")
 
 
+def one_task_each(ranged: DataFrame, count: int | None = None) -> DataFrame:
+    """Rows of every range in a task of their own; hashing would pair some up."""
+    if count is None:
+        count = (ranged.agg(F.max(PART)).first()[0] or 0) + 1
+    return ranged.repartitionById(count, F.col(PART))
+
+
 def running_totals(
     df: DataFrame,
     order: Sequence[Column],
@@ -48,7 +55,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"__t_{c}").over(by_part), F.lit(0)).alias(f"__o_{c}") for c in sums],
     )
     inside = Window.partitionBy(PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.select(
+    local = one_task_each(ranged).select(
         "*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"__l_{c}") for c in sums]
     )
     joined = local.join(F.broadcast(offsets), PART)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from caretide.functions.columns import finite
-from caretide.operators.ranks import PART, range_parts
+from caretide.operators.ranks import PART, one_task_each, range_parts
 from caretide.operators.schema import col, need
 
 DEFAULT_LAGS = (1, 3, 7, 14)
@@ -100,7 +100,8 @@ def _in_ranges(df, build, reach, order, keys, parts) -> DataFrame:
         )
         body = body.unionByName(tails.select(*body.columns))
     w = Window.partitionBy(PART, *keys).orderBy(*order)
-    return body.withColumns(build(w)).filter(~F.col(_HALO)).drop(PART, _HALO)
+    count = sizes[-1][0] + 1 if sizes else 1
+    return one_task_each(body, count).withColumns(build(w)).filter(~F.col(_HALO)).drop(PART, _HALO)
 
 
 def _halo_plan(sizes: list[tuple[int, int]], reach: int) -> list[tuple[int, int, int]]:

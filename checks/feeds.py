@@ -12,6 +12,7 @@ from caretide.operators import feeds as fd
 from caretide.operators import sentiment as sn
 from caretide.plans.clean import clean_feed as clean_feed_plan
 from caretide.plans.clean import derive_visits
+from caretide.plans.collect import collect_all as collect_all_plan
 from caretide.plans.enrich import enrich_visits as enrich_visits_plan
 from caretide.session import scratch_path
 from caretide.sources import feeds as src
@@ -286,6 +287,23 @@ def ingest_counts(spark, sf):
     return fd.ingest_counts({**feeds, "down": None})
 
 
+@query(
+    "collect_all",
+    with_views("v_news", "v_posts", "v_tweets")
+    + """, c AS (SELECT 'news' AS source, 0 AS n UNION ALL SELECT 'forum', count(*) FROM v_posts
+      UNION ALL SELECT 'short', count(*) FROM v_tweets)
+    SELECT source, CAST(n AS BIGINT) AS n FROM c UNION ALL SELECT 'TOTAL', CAST(sum(n) AS BIGINT) FROM c""",
+)
+def collect_all(spark, sf):
+    """News lack a required column here and are not stored."""
+    feeds = {
+        "news": (view(spark, sf, "v_news"), src.NEWS_REQUIRED),
+        "forum": (view(spark, sf, "v_posts"), src.POST_REQUIRED),
+        "short": (view(spark, sf, "v_tweets"), src.SHORT_POST_REQUIRED),
+    }
+    return collect_all_plan(feeds, scratch_path(spark, "feeds"), "2024-01-31")
+
+
 # --- filters and cleaning --------------------------------------------------
 
 

@@ -37,7 +37,7 @@ def _values(kind):
 def test_exact_quantiles_with_small_sketches(spark, kind):
     values = _values(kind)
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
-    got = exact_quantiles(df, {"v": PROBS}, accuracy=100, lookup_rows=30)["v"]
+    got = exact_quantiles(df, {"v": PROBS}, sketch_rows=1000, accuracy=100, lookup_rows=30)["v"]
     clean = [v for v in values if v is not None and not math.isnan(v)]
     for p in PROBS:
         assert got[p] == pytest.approx(np.quantile(clean, p), rel=1e-12), (kind, p)
