@@ -33,7 +33,7 @@ def one_task_each(ranged: DataFrame, count: int | None = None) -> DataFrame:
     """Rows of every range in a task of their own; hashing would pair some up."""
     if count is None:
         count = (ranged.agg(F.max(PART)).first()[0] or 0) + 1
-    return ranged.repartitionById(count, F.col(PART))
+    return ranged.repartitionById(count, F.col(PART)) if count > 1 else ranged
 
 
 def running_totals(
