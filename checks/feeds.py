@@ -33,7 +33,7 @@ from checks.registry import (
     view,
     with_views,
 )
-from checks.scalars import _short, _COLLAPSE, SP, WD
+from checks.scalars import _COLLAPSE, SP, WD, _any, _short
 
 # A small lexicon over words of the given texts, as a table.
 LEXICON = (
@@ -213,7 +213,15 @@ def limit_cards(spark, sf):
     )
 
 
-@query("extract_article")
+# The pages keep their text in one <article>; markup splits runs, entities are few.
+_BODY = r"regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
+_BODY = rf"regexp_replace({_BODY}, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')"
+for _entity, _char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    _BODY = f"replace({_BODY}, '{_entity}', '{_char}')"
+_ARTICLE = f"substring({duck_strip(_COLLAPSE % _BODY)}, 1, 5000)"
+
+
+@query("extract_article", f"SELECT page_id, {_ARTICLE} AS content FROM pages")
 def extract_article(spark, sf):
     return html.extract_article(table(spark, sf, "pages")).select("page_id", "content")
 
@@ -237,7 +245,21 @@ def extract_article_selectors(spark, sf):
     )
 
 
-@query("collect_news")
+@query(
+    "collect_news",
+    with_views("v_news")
+    + f""", c AS (SELECT 'Release' || CAST(page_id AS VARCHAR) || '& more' AS title, 'Error retrieving content' AS content,
+      'https://base.example/r/' || CAST(page_id AS VARCHAR) AS url, {duck_time('date')} AS date FROM v_news
+    UNION ALL SELECT 'Other ' || CAST(v_news.page_id AS VARCHAR), {_ARTICLE}, url, '{AS_OF}'
+      FROM v_news JOIN (SELECT page_id, html FROM pages) USING (page_id)),
+    w AS (SELECT *, title || ' ' || content AS t FROM c)
+    SELECT title, content, url, date, {duck_keywords('t')} AS keywords, 'NEWS' AS source, '{AS_OF}' AS scraped_at,
+      CASE WHEN {_any('t', ('outbreak', 'epidemic', 'surge'))} THEN 'Outbreak'
+        WHEN {_any('t', ('vaccine', 'vaccination', 'immunization'))} THEN 'Vaccination'
+        WHEN {_any('t', ('advisory', 'alert', 'warning'))} THEN 'Alert'
+        WHEN {_any('t', ('flu', 'influenza', 'respiratory'))} THEN 'Respiratory Illness'
+        ELSE 'General Health' END AS category FROM w""",
+)
 def collect_news(spark, sf):
     """Listings joined to their article pages, checked, stored and read back."""
     pages = table(spark, sf, "pages").select("url", "html")

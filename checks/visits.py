@@ -10,7 +10,7 @@ from caretide.operators import features as ft
 from caretide.operators import quality as ql
 from caretide.operators import schema as sc
 from caretide.operators import sequence as sq
-from caretide.operators.quantiles import quantile_table
+from caretide.operators.quantiles import approx_quantiles, quantile_table
 from caretide.plans.clean import clean_visits as clean_visits_plan
 from caretide.plans.report import quality_report as quality_report_plan
 from caretide.session import scratch_path
@@ -393,9 +393,21 @@ def quantiles(spark, sf):
     return rounded(visits.unionByName(lines), "value", digits=4)
 
 
-@query("quantiles_approx")
+@query(
+    "quantiles_approx",
+    " UNION ALL ".join(f"SELECT {p}::DOUBLE AS p, count(*) AS n, true AS within FROM lineitem" for p in _PROBS),
+)
 def quantiles_approx(spark, sf):
-    return quantile_table(table(spark, sf, "lineitem"), ["l_extendedprice"], _PROBS, "approx")
+    """Is the rank of every sketch quantile as near as promised (n / 10000)?"""
+    lines = table(spark, sf, "lineitem").select("l_extendedprice")
+    got = approx_quantiles(lines, {"l_extendedprice": _PROBS})["l_extendedprice"]
+    price, n = F.col("l_extendedprice"), F.count(F.lit(1))
+    cells = []
+    for p in _PROBS:
+        low, high = F.count_if(price < got[p]), F.count_if(price <= got[p])
+        near = (low <= n * p + n / 10_000 + 1) & (high >= n * p - n / 10_000 - 1)
+        cells.append(F.struct(F.lit(p).alias("p"), n.alias("n"), near.alias("within")))
+    return lines.agg(F.array(*cells).alias("c")).select(F.inline("c"))
 
 
 _AGE_BANDS = with_views("v_visits") + f", {DUCK_DERIVED} "
