@@ -94,7 +94,7 @@ _CATEGORY = """CASE WHEN pol > -1 AND pol <= -0.3 THEN 'Negative' WHEN pol > -0.
     j AS (SELECT c.*, coalesce(p, 0.0) AS pol, coalesce(s, 0.0) AS sub FROM c LEFT JOIN scores USING (post_id))
     SELECT {duck_time('date')} AS date, subreddit, post_id, title, substring(text,1,1000) AS text,
       substring(clean,1,1000) AS full_text_clean, score, num_comments, round(upvote_ratio, 6) AS upvote_ratio,
-      round(pol, 6) AS sentiment_polarity, round(sub, 6) AS sentiment_subjectivity,
+      pol AS sentiment_polarity, sub AS sentiment_subjectivity,
       {duck_keywords('clean')} AS symptoms_mentioned,
       (contains(lower(clean),'test') OR contains(lower(clean),'und')) AS is_health_related,
       'https://reddit.com/c/' || post_id AS url, '{AS_OF}' AS scraped_at, {_CATEGORY} AS sentiment_category FROM j""",
@@ -116,7 +116,7 @@ def read_posts(spark, sf):
         spark, path, lexicon=lexicon(spark), as_of=AS_OF, lookback_days=20,
         symptoms=TERMS, health_words=("test", "und"),
     )
-    out = rounded(out, "upvote_ratio", "sentiment_polarity", "sentiment_subjectivity")
+    out = rounded(out, "upvote_ratio")
     return out.withColumns({c: text_time(c) for c in ("date", "scraped_at")})
 
 
@@ -146,8 +146,7 @@ def _duck_matches(source: str, text: str) -> str:
     {_duck_scores('c', 'tweet_id', 'clean')},
     j AS (SELECT c.*, coalesce(p, 0.0) AS pol, coalesce(s, 0.0) AS sub FROM c LEFT JOIN scores USING (tweet_id))
     SELECT {duck_time('date')} AS date, tweet_id, username, substring(text,1,280) AS text,
-      substring(clean,1,280) AS clean_text, likes, retweets, replies, round(pol, 6) AS sentiment_polarity,
-      round(sub, 6) AS sentiment_subjectivity, {duck_keywords('clean')} AS health_keywords, query,
+      substring(clean,1,280) AS clean_text, likes, retweets, replies, pol AS sentiment_polarity, sub AS sentiment_subjectivity, {duck_keywords('clean')} AS health_keywords, query,
       'https://short.example/' || CAST(tweet_id AS VARCHAR) AS url, '{AS_OF}' AS scraped_at,
       {_CATEGORY} AS sentiment_category FROM j""",
 )
@@ -167,7 +166,6 @@ def read_tweets(spark, sf):
         spark, path, "parquet", lexicon=lexicon(spark), as_of=AS_OF, lookback_days=20,
         hashtags=_TAGS, phrases=_PHRASES, limit=40, words=TERMS,
     )
-    out = rounded(out, "sentiment_polarity", "sentiment_subjectivity")
     return out.withColumns({c: text_time(c) for c in ("date", "scraped_at")})
 
 
@@ -213,11 +211,12 @@ def limit_cards(spark, sf):
     )
 
 
-# The pages keep their text in one <article>; markup splits runs, entities are few.
+# The pages keep their text in one <article>; markup splits runs, entities are few
+# (and, as HTML allows for these, sometimes cut off before the semicolon).
 _BODY = r"regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
 _BODY = rf"regexp_replace({_BODY}, '(?s)<!--.*?-->|<[^>]*>', ' ', 'g')"
-for _entity, _char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-    _BODY = f"replace({_BODY}, '{_entity}', '{_char}')"
+for _entity, _char in (("&quot", '"'), ("&copy", "©"), ("&middot", "·"), ("&amp", "&")):
+    _BODY = f"regexp_replace({_BODY}, '{_entity};?', '{_char}', 'g')"
 _ARTICLE = f"substring({duck_strip(_COLLAPSE % _BODY)}, 1, 5000)"
 
 
@@ -715,13 +714,13 @@ def merge_counts(spark, sf):
 @query(
     "score_sentiment",
     f"""WITH {_LEXICON_SQL}, {_duck_scores('documents', 'doc_id', 'text')}
-    SELECT doc_id, round(coalesce(p, 0.0), 6) AS sentiment_polarity, round(coalesce(s, 0.0), 6) AS sentiment_subjectivity,
+    SELECT doc_id, coalesce(p, 0.0) AS sentiment_polarity, coalesce(s, 0.0) AS sentiment_subjectivity,
       CASE WHEN coalesce(p, 0.0) > 0.3 THEN 'positive' WHEN coalesce(p, 0.0) < -0.3 THEN 'negative'
         ELSE 'neutral' END AS sentiment_label FROM documents LEFT JOIN scores USING (doc_id)""",
 )
 def score_sentiment(spark, sf):
-    out = sn.score_sentiment(table(spark, sf, "documents").select("doc_id", "text"), "text", "doc_id", lexicon(spark))
-    return rounded(out, "sentiment_polarity", "sentiment_subjectivity").drop("text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return sn.score_sentiment(docs, "text", "doc_id", lexicon(spark)).drop("text")
 
 
 @query(
@@ -731,14 +730,13 @@ def score_sentiment(spark, sf):
     pos AS (SELECT doc_id, unnest(w) AS term, unnest(list_prepend(NULL, w[:-2])) AS before FROM tok),
     f AS (SELECT doc_id, s, greatest(-1.0, least(1.0, p * CASE WHEN before IN ('the', 'de') THEN -0.5
       WHEN before = 'and' THEN 1.5 ELSE 1.0 END)) AS p FROM pos JOIN l USING (term))
-    SELECT doc_id, round(round(avg(p), 9), 6) AS polarity, round(round(avg(s), 9), 6) AS subjectivity FROM f GROUP BY doc_id""",
+    SELECT doc_id, round(avg(p), 9) AS polarity, round(avg(s), 9) AS subjectivity FROM f GROUP BY doc_id""",
 )
 def score_sentiment_context(spark, sf):
-    out = sn.sentiment_scores(
+    return sn.sentiment_scores(
         table(spark, sf, "documents"), "text", "doc_id", lexicon(spark),
         negations=("the", "de"), intensifiers={"and": 1.5},
     )
-    return rounded(out, "polarity", "subjectivity")
 
 
 @query(

@@ -268,7 +268,7 @@ def _duck_numeric(c: str, source: str, violations: tuple | None = None) -> str:
     if violations:
         metrics["range_violations"] = f"count(*) FILTER ({c} < {violations[0]} OR {c} > {violations[1]})"
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", '{m}' AS metric, round(CAST({e} AS DOUBLE), 4) AS value
+        f"""SELECT '{c}' AS "column", '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value
         FROM {source}, {fence} fence"""
         for m, e in metrics.items()
     )
@@ -291,7 +291,7 @@ def numeric_report(spark, sf):
         view(spark, sf, "v_visits").select("AGE", "WAITTIME", "FLATCOL"), {"AGE": (0, 120)}
     )
     lines = ql.numeric_report(table(spark, sf, "lineitem").select(*_LINE_NUMBERS))
-    return rounded(visits.unionByName(lines), "value", digits=4)
+    return rounded(visits.unionByName(lines), "value")
 
 
 @query(
