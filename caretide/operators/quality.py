@@ -29,6 +29,9 @@ def agg_to_rows(
     several aggregations so that generated code stays small.
     """
     flat = [(n, m, a) for n, metrics in entries.items() for m, a in metrics.items()]
+    if not flat:
+        schema = f"{keys[0]} string, {keys[1]} string, value double"
+        return df.sparkSession.createDataFrame([], schema)
     parts = []
     for start in range(0, len(flat), _PER_JOB):
         batch = flat[start : start + _PER_JOB]
@@ -138,6 +141,8 @@ def numeric_report(
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, n)`` over several columns in one grouped pass."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, n bigint")
     cells = [
         F.struct(F.lit(n).alias("column"), col(n).cast("string").alias("value")) for n in columns
     ]
@@ -158,15 +163,11 @@ def top_values(frequencies: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def categorical_report(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    min_categories: int = 2,
-    max_categories: int = 100,
+def category_summary(
+    frequencies: DataFrame, min_categories: int = 2, max_categories: int = 100
 ) -> DataFrame:
-    """``(column, n_unique, null_count, warning)`` per text column."""
-    names = list(columns) if columns is not None else string_columns(df)
-    counts = value_frequencies(df, names).groupBy("column").agg(
+    """``(column, n_unique, null_count, warning)`` from ``value_frequencies``."""
+    counts = frequencies.groupBy("column").agg(
         F.count("value").alias("n_unique"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
     )
@@ -178,6 +179,17 @@ def categorical_report(
     )
 
 
+def categorical_report(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    min_categories: int = 2,
+    max_categories: int = 100,
+) -> DataFrame:
+    """``(column, n_unique, null_count, warning)`` per text column."""
+    names = list(columns) if columns is not None else string_columns(df)
+    return category_summary(value_frequencies(df, names), min_categories, max_categories)
+
+
 def categorical_top(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
     """``(column, value, n, rank)``: the most frequent values per text column."""
     names = list(columns) if columns is not None else string_columns(df)

@@ -33,10 +33,13 @@ SHORT_POST_REQUIRED = ("date", "text", "sentiment_polarity")
 
 
 def read_landing(spark: SparkSession, path: str, schema: str, fmt: str = "json") -> DataFrame:
-    """Landing files with an explicit schema (json, parquet, csv or orc)."""
+    """Landing files with an explicit schema (json, parquet, csv or orc).
+
+    A CSV header that does not match the schema is an error, not a shift of columns.
+    """
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(fmt).load(path)
 
 

@@ -257,3 +257,11 @@ def test_limits_reach_the_map_side(spark, small):
 def test_union_keeps_all_rows(spark):
     out = fd.union_feeds([spark.createDataFrame([(1, 2)], "a int, b int"), spark.createDataFrame([(1,)], "a int")])
     assert out.count() == 2 and out.filter("b is null").count() == 1
+
+
+def test_landing_csv_must_match_its_schema(spark):
+    path = scratch_path(spark, "csv")
+    spark.createDataFrame([("x", 1)], "b string, a int").write.option("header", True).csv(path)
+    assert src.read_landing(spark, path, "b string, a int", "csv").count() == 1
+    with pytest.raises(Exception, match="(?i)header"):
+        src.read_landing(spark, path, "a int, b string", "csv").collect()

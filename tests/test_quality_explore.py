@@ -85,6 +85,9 @@ def test_date_report(mixed, spark):
 def test_quality_report_has_all_checks(mixed):
     got = {r["check"] for r in quality_report(mixed, {"x": (0, 50)}, ["d"]).collect()}
     assert got == {"dataset", "missing", "duplicates", "types", "numeric", "categorical", "top_values", "dates"}
+    rows = {(r["check"], r["column"], r["metric"]): r["value"] for r in quality_report(mixed, store=True).collect()}
+    assert rows["dataset", "__table__", "n_rows"] == "5" and rows["top_values", "s", "1: a"] == "2"
+    assert rows["missing", "x", "missing"] == "1" and rows["duplicates", "__table__", "duplicate_count"] == "0"
 
 
 def test_summary_and_distribution_equal_pandas(spark):
@@ -177,3 +180,12 @@ def test_all_features_replace_calendar(spark):
     df = spark.createDataFrame([(dt.date(2024, 3, 4), 99, 1.0)], "visit_date date, month int, v double")
     got = all_features(df, value_cols=["v"], order_by=["visit_date"]).first()
     assert got["month"] == 3 and got["v_lag1"] is None and got["is_flu_season"] == 1
+
+
+def test_reports_of_one_kind_of_column(spark):
+    numbers = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    texts = spark.createDataFrame([("a",), ("b",)], "s string")
+    assert "top_values" not in {r["check"] for r in quality_report(numbers).collect()}
+    assert "numeric" not in {r["check"] for r in quality_report(texts).collect()}
+    assert ex.summary_stats(texts).count() == 0 and ex.correlations(numbers).count() == 0
+    assert ql.categorical_report(numbers).count() == 0
