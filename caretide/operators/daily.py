@@ -140,6 +140,11 @@ def daily_rolling_mean(
     return daily.withColumn(into or f"{column}_{window}d", mean)
 
 
+def has_rows(feed: DataFrame | None) -> bool:
+    """Whether a feed is given and not empty; looks at no more than one row."""
+    return feed is not None and not feed.isEmpty()
+
+
 def join_daily(visits: DataFrame, daily: DataFrame, visit_day: str = "visit_date") -> DataFrame:
     """Left join of a daily table on the visit's day.
 
@@ -190,14 +195,15 @@ def merge_counts(
 ) -> DataFrame:
     """Visits with ``cdc_count``, ``reddit_sentiment`` and ``twitter_count`` by day.
 
-    Then every numeric null becomes 0, the visit's own columns included.
+    A feed that is absent or empty adds no column. Then every numeric null becomes
+    0, the visit's own columns included.
     """
     out = visits
-    if news is not None:
+    if has_rows(news):
         out = join_daily(out, daily_size(news).withColumnRenamed("n", "cdc_count"), visit_day)
-    if forum is not None:
+    if has_rows(forum):
         mean = _with_day(forum).groupBy("day").agg(F.avg("sentiment_polarity").alias("reddit_sentiment"))
         out = join_daily(out, mean, visit_day)
-    if short is not None:
+    if has_rows(short):
         out = join_daily(out, daily_size(short).withColumnRenamed("n", "twitter_count"), visit_day)
     return out.na.fill(0)

@@ -48,7 +48,7 @@ def match_queries(
         for i, (term, label) in enumerate(zip([*hashtags, *phrases], labels, strict=True))
     ]
     return posts.withColumn("__hit", F.explode(F.array_compact(F.array(*hits)))).select(
-        *posts.columns, "__hit.*"
+        *[col(c) for c in posts.columns], "__hit.*"
     )
 
 

@@ -60,7 +60,7 @@ def running_totals(
     )
     joined = local.join(F.broadcast(offsets), PART)
     return joined.select(
-        *df.columns, *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"{c}_before") for c in sums]
+        *[col(c) for c in df.columns], *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"{c}_before") for c in sums]
     )
 
 

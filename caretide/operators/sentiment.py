@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from caretide.functions.measures import sentiment_label
 from caretide.functions.text import WORD
-from caretide.operators.schema import col, need
+from caretide.operators.schema import col, need, q
 from caretide.session import broadcast_if_small
 
 NEGATION_FACTOR = -0.5
@@ -91,7 +91,7 @@ def score_sentiment(
         f"{prefix}label": sentiment_label(polarity),
     }
     return df.join(scores, id_column, "left").select(
-        *[df[c] for c in df.columns if c not in added], *[v.alias(n) for n, v in added.items()]
+        *[df[q(c)] for c in df.columns if c not in added], *[v.alias(n) for n, v in added.items()]
     )
 
 

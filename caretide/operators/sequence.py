@@ -98,7 +98,7 @@ def _in_ranges(df, build, reach, order, keys, parts) -> DataFrame:
             .withColumn(PART, F.col("__to"))
             .withColumn(_HALO, F.lit(True))
         )
-        body = body.unionByName(tails.select(*body.columns))
+        body = body.unionByName(tails.select(*[col(c) for c in body.columns]))
     w = Window.partitionBy(PART, *keys).orderBy(*order)
     count = sizes[-1][0] + 1 if sizes else 1
     return one_task_each(body, count).withColumns(build(w)).filter(~F.col(_HALO)).drop(PART, _HALO)

@@ -23,21 +23,23 @@ def enrich_visits(
     news_order: Sequence[str] = ("date", "url"),
     forum_order: Sequence[str] = ("date", "post_id"),
 ) -> DataFrame:
-    """Left join of the daily feed aggregates; absent feed values become 0.
+    """Left join of the daily feed aggregates; days without feed values become 0.
+
+    A feed that is absent or empty adds no column.
 
     ``with_lists=False`` leaves out the per-day keyword and symptom lists, which
     otherwise ride along on every visit of the day.
     """
     out = visits
-    if news is not None:
+    if dy.has_rows(news):
         out = dy.join_news_daily(
             out, news, visit_day, calendar=calendar_lags, order_by=news_order, with_lists=with_lists
         )
-    if forum is not None:
+    if dy.has_rows(forum):
         out = dy.join_forum_daily(
             out, forum, visit_day, order_by=forum_order, with_lists=with_lists
         )
-    if short is not None:
+    if dy.has_rows(short):
         out = dy.join_short_daily(out, short, visit_day)
     return dy.fill_feed_columns(out)
 

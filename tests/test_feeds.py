@@ -227,7 +227,7 @@ def test_enrich_fills_only_feed_columns(spark):
     assert got[1]["news_mentions"] == 2 and got[1]["reddit_posts"] == 1 and got[1]["likes"] == 3
     assert got[2]["news_mentions"] == 0 and got[2]["news_mentions_lag7"] == 0 and got[3]["reddit_sentiment"] == 0
     assert got[2]["tweet_count"] is None and got[2]["keywords"] is None and got[2]["twitter_sentiment"] == 0
-    alone = enrich_visits(visits, with_lists=False)
+    alone = enrich_visits(visits, _news(spark).limit(0), with_lists=False)
     assert alone.columns == visits.columns
     with pytest.raises(ValueError, match="both sides"):
         dy.join_short_daily(visits.withColumn("likes", F.lit(1)), short)
@@ -237,6 +237,7 @@ def test_merge_counts_leaves_text_alone(spark):
     visits = spark.createDataFrame([(1, DAY.date(), None, None)], "id int, visit_date date, s string, n int")
     got = dy.merge_counts(visits, news=_news(spark)).first()
     assert (got["cdc_count"], got["n"], got["s"]) == (2, 0, None)
+    assert "cdc_count" not in dy.merge_counts(visits, news=_news(spark).limit(0)).columns
 
 
 def test_broadcast_only_below_the_bound(spark):

@@ -168,3 +168,11 @@ def test_rank_helper_orders_only_partition_totals(spark, small):
     plan = _plan(ranks.value_ranks(lines, "l_quantity"))
     single = [line for line in plan.splitlines() if "SinglePartition" in line]
     assert len(single) <= 1 and "BroadcastHashJoin" in plan
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(i, float(i), "k") for i in range(30)], "`row id` int, `a.b c` double, `k.1` string")
+    out = sequence.lag_and_rolling(df, ["a.b c"], ["row id"], ["k.1"], lags=(1,), windows=(2,), rows_per_task=1, parts=3)
+    assert out.filter("`row id` = 9").first()["a.b c_lag1"] == 8.0
+    assert ranks.value_ranks(df, "a.b c").count() == 30
+    assert exact_quantiles(df, {"a.b c": [0.5]})["a.b c"][0.5] == 14.5
