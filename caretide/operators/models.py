@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caretide.operators.schema import col
+from caretide.session import broadcast_if_small, materialize
 
 SEED = 42
 _SLOTS = 1 << 20
@@ -72,6 +73,19 @@ def encode_categoricals(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def with_class_weights(df: DataFrame, label: str, into: str = "weight") -> DataFrame:
+    """Add balanced weights ``rows / (classes * rows of the class)`` for ``weightCol``."""
+    known = df.filter(col(label).isNotNull())
+    sizes = materialize(known.groupBy(col(label).alias("__l")).agg(F.count(F.lit(1)).alias("__n")), "classes")
+    rows, classes = sizes.agg(F.sum("__n"), F.count(F.lit(1))).first()
+    if not classes:
+        return df.withColumn(into, F.lit(None).cast("double"))
+    weight = F.lit(rows / classes) / F.col("__n")
+    side = broadcast_if_small(sizes.select("__l", weight.alias("__w")))
+    joined = df.join(side, col(label) == F.col("__l"), "left")
+    return joined.withColumn(into, F.col("__w")).drop("__l", "__w")
+
+
 def train_classifier(
     df: DataFrame,
     features: Sequence[str],

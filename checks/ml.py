@@ -131,10 +131,13 @@ def training(spark, sf):
     return visits.withColumn("label", (F.col("WAITTIME") > 20).cast("int"))
 
 
-def _train(kind: str, **params):
+def _train(kind: str, **settings):
     def run(spark, sf):
+        params = dict(settings)
         data = training(spark, sf)
         train, test = md.split(data, ["visit_id"], stratify="label")
+        if params.pop("balanced", False):
+            train, params["weightCol"] = md.with_class_weights(train, "label"), "weight"
         model = md.train_classifier(train, FEATURES, "label", kind, categoricals=["RFV1"], **params)
         return rounded(
             ev.classification_metrics(md.predict(model, test), "label", "prediction", "probability"),
@@ -168,6 +171,19 @@ def feature_importance(spark, sf):
     return md.feature_importance(model, data)
 
 
+@query(
+    "class_weights",
+    """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+    SELECT doc_id, round((SELECT sum(n)::DOUBLE / count(*) FROM c) / n, 6) AS weight FROM labels JOIN c USING (quality)""",
+)
+def class_weights(spark, sf):
+    out = md.with_class_weights(table(spark, sf, "labels"), "quality")
+    return rounded(out, "weight").select("doc_id", "weight")
+
+
+query("train_balanced")(_train("logistic", balanced=True))
+
+
 @query("split")
 def split(spark, sf):
     """Share of test rows per class."""

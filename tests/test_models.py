@@ -118,6 +118,13 @@ def test_logistic_penalty_matches_the_objective(visits):
     np.testing.assert_allclose(x.T @ (p - y) + w, 0, atol=1e-3)
 
 
+def test_class_weights_balance(visits, spark):
+    sums = md.with_class_weights(visits, "label").groupBy("label").agg(F.sum("weight").alias("w")).collect()
+    assert all(r["w"] == pytest.approx(300) for r in sums)
+    empty = md.with_class_weights(visits.limit(0), "label")
+    assert empty.count() == 0 and "weight" in empty.columns
+
+
 def test_unknown_model_is_refused(visits):
     with pytest.raises(ValueError, match="unknown model"):
         md.train_classifier(visits, ["a"], "label", "svm")
