@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caretide.operators import evaluate as ev
-from caretide.operators import features as ft
 from caretide.operators import forecast as fc
 from caretide.operators import models as md
-from caretide.session import scratch_path
+from caretide.session import materialize, scratch_path
 from checks.registry import duck_date, query, rounded, table, text_date, view, with_views
 from checks.scalars import derived
 
@@ -126,9 +125,13 @@ FEATURES = ("arrival_hour", "day_of_week", "is_weekend", "AGE", "LOS", "has_insu
 
 
 def training(spark, sf):
-    """Visits with complete features; long waits are what is predicted."""
-    visits = ft.cyclical_features(derived(spark, sf)).na.drop(subset=[*FEATURES, "WAITTIME", "RFV1"])
-    return visits.withColumn("label", (F.col("WAITTIME") > 20).cast("int"))
+    """Visits with complete features; long waits are what is predicted.
+
+    Stored once, because training reads its table many times.
+    """
+    visits = derived(spark, sf).na.drop(subset=[*FEATURES, "WAITTIME", "RFV1"])
+    label = (F.col("WAITTIME") > 20).cast("int").alias("label")
+    return materialize(visits.select("visit_id", "RFV1", *FEATURES, label), "training")
 
 
 def _train(kind: str, **settings):
@@ -139,10 +142,11 @@ def _train(kind: str, **settings):
         if params.pop("balanced", False):
             train, params["weightCol"] = md.with_class_weights(train, "label"), "weight"
         model = md.train_classifier(train, FEATURES, "label", kind, categoricals=["RFV1"], **params)
-        return rounded(
-            ev.classification_metrics(md.predict(model, test), "label", "prediction", "probability"),
-            "accuracy", "precision", "recall", "f1", "roc_auc", digits=3,
+        scored = md.predict(model, test).select("label", "prediction", "probability")
+        out = ev.classification_metrics(
+            materialize(scored, "scored"), "label", "prediction", "probability"
         )
+        return rounded(out, "accuracy", "precision", "recall", "f1", "roc_auc", digits=3)
 
     return run
 
