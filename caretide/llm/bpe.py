@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from itertools import pairwise
 from zlib import crc32
 
@@ -20,7 +19,6 @@ from caretide.llm.common import (
     count_blocks,
     documents,
     packed_blocks,
-    shuffle_parts,
     squeeze,
     unpack,
     unsqueeze,
@@ -88,8 +86,7 @@ def _encoded(docs: DataFrame, path: str, block_bytes: int, finish, schema: str)
     """Texts are exchanged once, as blocks; a block's distinct pre-tokens go to the buckets that
     encode them, and ``finish`` puts the ids back in the order of the text."""
     docs = documents(docs)
-    n_blocks, total = count_blocks(docs, block_bytes)
-    n_buckets = max(math.ceil(total / BUCKET_BYTES), shuffle_parts(docs.sparkSession))
+    n_blocks, n_buckets = count_blocks(docs, block_bytes, BUCKET_BYTES)
     table = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # bounded by the vocabulary
     blocks = packed_blocks(docs, n_blocks)
 

@@ -52,10 +52,15 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def count_blocks(docs: DataFrame, block_bytes: int) -> tuple[int, int]:
-    """How many blocks the documents need, and their bytes. At least two blocks per shuffle partition."""
+def count_blocks(docs: DataFrame, block_bytes: int, bucket_bytes: int) -> tuple[int, int]:
+    """How many blocks and buckets the documents' bytes need.
+
+    Small tables get a block per shuffle partition, and at most 64 buckets, as every block may
+    ask every bucket.
+    """
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    return max(math.ceil(total / block_bytes), 2 * shuffle_parts(docs.sparkSession)), total
+    parts = shuffle_parts(docs.sparkSession)
+    return max(math.ceil(total / block_bytes), parts), max(math.ceil(total / bucket_bytes), min(parts, 64))
 
 
 def packed_blocks(docs: DataFrame, n_blocks: int) -> DataFrame:
@@ -127,6 +132,73 @@ def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_BREAK = np.zeros(256, bool)
+_BREAK[list(WORD_BREAKS.encode())] = True
+_BYTE_VALUES = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
+_BASE = 0x9E3779B97F4A7C15 | 1
+
+
+def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts, text after text, and each text's number of words.
+
+    Word breaks are single bytes of UTF-8, so this works on the column's bytes at once: with
+    ``P(i) = sum of value(byte j) * base^j, j < i``, a word from s to e has the hash
+    ``(P(e) - P(s)) * base^-s``, which does not depend on where it stands.
+    """
+    if isinstance(texts, pa.ChunkedArray):
+        parts = [word_hashes(c) for c in texts.chunks]
+        return tuple(np.concatenate([p[i] for p in parts] or [np.empty(0, t)]) for i, t in ((0, np.uint64), (1, np.int64)))
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    if not len(data):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    word = ~_BREAK[data]
+    new = np.zeros(len(data) + 1, bool)
+    new[offsets] = True
+    starts = np.flatnonzero(word & (new[:-1] | ~np.concatenate([[False], word[:-1]])))
+    ends = np.flatnonzero(word & (new[1:] | ~np.concatenate([word[1:], [False]]))) + 1
+    hashes, step = np.empty(len(starts), np.uint64), 1 << 20
+    up = _powers(_BASE, step)
+    down = _powers(pow(_BASE, -1, 1 << 64), step)
+    lo = 0
+    while lo < len(starts):  # pieces of about a megabyte, cut between words
+        hi = max(int(np.searchsorted(ends, starts[lo] + step, side="right")), lo + 1)
+        first, last = int(starts[lo]), int(ends[hi - 1])
+        if last - first > step:
+            hashes[lo] = _long_word(data[first:last])
+        else:
+            sums = np.zeros(last - first + 1, np.uint64)
+            np.cumsum(_BYTE_VALUES[data[first:last]] * up[: last - first], out=sums[1:])
+            at = starts[lo:hi] - first
+            hashes[lo:hi] = (sums[ends[lo:hi] - first] - sums[at]) * down[at]
+        lo = hi
+    counts = np.bincount(np.searchsorted(offsets, starts, side="right") - 1, minlength=len(texts))
+    return mix(hashes, (ends - starts).astype(np.uint64)), counts.astype(np.int64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if (base, n) not in _POWERS:
+        with np.errstate(over="ignore"):
+            _POWERS[base, n] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]), dtype=np.uint64)
+    return _POWERS[base, n]
+
+
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _long_word(data: np.ndarray) -> np.uint64:
+    """The hash of a word of over a megabyte, summed by pieces."""
+    total, shift, step = 0, 1, 1 << 20
+    up = _powers(_BASE, step)
+    for lo in range(0, len(data), step):
+        part = _BYTE_VALUES[data[lo : lo + step]]
+        total += int((part * up[: len(part)]).sum(dtype=np.uint64)) * shift
+        shift = shift * pow(_BASE, step, 1 << 64) % (1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered for a task; forgets when it holds too many."""
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import WordHashes, mix, packed_blocks, shuffle_parts, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted, words_of
+from caretide.llm.common import WordHashes, count_blocks, mix, packed_blocks, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted, words_of
 from caretide.llm.substrings import grams
 from caretide.llm.tokens import encoding, read_ranks
 from caretide.session import materialize
@@ -21,7 +20,7 @@ MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_SHARE = 20, 8, 30
 
 #: Bands: documents further than so many interquartile ranges from their language's quartiles go.
 BAND_WIDTH = 3.0
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 64 << 20
 #: Context of a text's first id.
 START = 0xFFFF
 
@@ -200,11 +199,8 @@ def bigram_model(questions: DataFrame) -> DataFrame:
 
 def score_documents(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Base features and ``log_perplexity`` (per subword id; null without ids) of each document."""
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    parts = shuffle_parts(spark)
-    n_buckets = max(math.ceil(size / (64 << 20)), parts)
-    blocks = packed_blocks(_measured(docs, path), max(math.ceil(size / block_bytes), 2 * parts))
+    n_blocks, n_buckets = count_blocks(docs, block_bytes, BUCKET_BYTES)
+    blocks = packed_blocks(_measured(docs, path), n_blocks)
 
     def ask(group: pa.Table) -> pa.Table:
         block, rows = group.column("block")[0].as_py(), []

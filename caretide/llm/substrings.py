@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 
 from caretide.llm.common import (
     ASKED,
-    WordHashes,
     answered,
     asked,
     block_no,
@@ -20,12 +19,12 @@ from caretide.llm.common import (
     documents,
     mix,
     packed_blocks,
-    shuffle_parts,
     squeeze,
     squeeze_sorted,
     unpack,
     unsqueeze,
     unsqueeze_sorted,
+    word_hashes,
     words_of,
 )
 
@@ -53,11 +52,11 @@ class Windows:
     window, else backward. At the third length the window stands for itself.
     """
 
-    def __init__(self, texts: list[list[str]], hashes: WordHashes, window: int):
-        self.window = window
-        sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.cumsum(sizes) - sizes
-        words = np.concatenate([hashes.of(t) for t in texts]) if len(texts) else np.empty(0, np.uint64)
+    def __init__(self, group: pa.Table, window: int):
+        parts = [word_hashes(chunk.column("text")) for chunk in unpack(group)]
+        words = np.concatenate([p[0] for p in parts] or [np.empty(0, np.uint64)])
+        sizes = np.concatenate([p[1] for p in parts] or [np.empty(0, np.int64)])
+        self.window, self.sizes, self.starts = window, sizes, np.cumsum(sizes) - sizes
         n = len(words)
         quarter, half = math.ceil(window / 4), math.ceil(window / 2)
         fits = np.zeros(n + 1, np.int64)
@@ -114,14 +113,6 @@ def _elsewhere(replies: pa.Table) -> np.ndarray:
     return np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
 
 
-def _texts(group: pa.Table) -> tuple[list, list[list[str]]]:
-    ids, texts = [], []
-    for chunk in unpack(group):
-        ids += chunk.column("doc_id").to_pylist()
-        texts += [words_of(t) for t in chunk.column("text").to_pylist()]
-    return ids, texts
-
-
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each document without the words of passages that occur more than once.
 
@@ -140,39 +131,41 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, block_bytes: i
     columns are ignored. A document must fit in a task's memory.
     """
     docs = documents(docs)
-    n_blocks, total = count_blocks(docs, block_bytes)
-    n_buckets = max(math.ceil(total / BUCKET_BYTES), 2 * shuffle_parts(docs.sparkSession))
+    n_blocks, n_buckets = count_blocks(docs, block_bytes, BUCKET_BYTES)
     blocks = packed_blocks(docs, n_blocks)
 
     def first(group: pa.Table) -> pa.Table:
-        found = Windows(_texts(group)[1], WordHashes(), window)
+        found = Windows(group, window)
         return found.questions(0, np.ones(len(found.at), bool), block_no(group), n_buckets)
 
     def second(group: pa.Table, replies: pa.Table) -> pa.Table:
-        found = Windows(_texts(group)[1], WordHashes(), window)
+        found = Windows(group, window)
         return found.questions(1, found.repeated(0, _elsewhere(replies)), block_no(group), n_buckets)
 
     def third(group: pa.Table, replies: pa.Table) -> pa.Table:
-        found = Windows(_texts(group)[1], WordHashes(), window)
+        found = Windows(group, window)
         return found.questions(2, found.repeated(1, _elsewhere(replies)), block_no(group), n_buckets)
 
     def cut(group: pa.Table, replies: pa.Table) -> pa.Table:
-        ids, texts = _texts(group)
-        found = Windows(texts, WordHashes(), window)
+        found = Windows(group, window)
         gone = found.at[found.repeated(2, _elsewhere(replies))]
         cover = np.zeros(found.n + 1, np.int64)
         np.add.at(cover, gone, 1)
         np.add.at(cover, gone + window, -1)
         covered = np.cumsum(cover)[:-1] > 0
-        removed, kept = [], []
-        for words, start in zip(texts, found.starts, strict=True):
-            mask = covered[start : start + len(words)]
-            removed.append(int(mask.sum()))
-            kept.append(" ".join([w for w, out in zip(words, mask.tolist(), strict=True) if not out] if removed[-1] else words))
+        ids, removed, kept, doc = [], [], [], 0
+        for chunk in unpack(group):
+            ids += chunk.column("doc_id").to_pylist()
+            for text in chunk.column("text").to_pylist():
+                words = words_of(text)
+                mask = covered[found.starts[doc] : found.starts[doc] + len(words)]
+                removed.append(int(mask.sum()))
+                kept.append(" ".join([w for w, out in zip(words, mask.tolist(), strict=True) if not out] if removed[-1] else words))
+                doc += 1
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
-                "n_words": pa.array([len(t) for t in texts], pa.int64()),
+                "n_words": pa.array(found.sizes),
                 "n_removed": pa.array(removed, pa.int64()),
                 "kept_text": pa.array(kept, pa.string()),
                 "kept_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in kept], pa.string()),
