@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from itertools import pairwise
 from zlib import crc32
 
@@ -31,23 +32,30 @@ BUCKET_BYTES = 16 << 20
 _END = b"\xff"
 
 
-def _word_lists(words: set[str], n_buckets: int) -> dict[int, list[bytes]]:
-    """A block's distinct pre-tokens as sorted byte strings, by the bucket that encodes them."""
-    lists: dict[int, list[bytes]] = {}
-    for word in words:
+class Numbers(dict):
+    """Numbers a block's distinct pre-tokens as they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _word_lists(numbers: Numbers, n_buckets: int) -> dict[int, list[tuple[bytes, int]]]:
+    """A block's distinct pre-tokens as sorted byte strings with their numbers, by the bucket that encodes them."""
+    lists: dict[int, list[tuple[bytes, int]]] = {}
+    for word, number in numbers.items():
         raw = word.encode()
-        lists.setdefault(crc32(raw) % n_buckets, []).append(raw)
+        lists.setdefault(crc32(raw) % n_buckets, []).append((raw, number))
     for own in lists.values():
         own.sort()
     return lists
 
 
-def _block_words(group: pa.Table) -> set[str]:
-    words: set[str] = set()
+def _placed(group: pa.Table, numbers: Numbers) -> Iterator[tuple[pa.ChunkedArray, list[np.ndarray]]]:
+    """The pre-tokens' numbers at their places in each text, chunk by chunk."""
     for chunk in unpack(group):
-        for text in chunk.column("text").to_pylist():
-            words.update(pretokens(text))
-    return words
+        words = [pretokens(t) for t in chunk.column("text").to_pylist()]
+        yield chunk.column("doc_id"), [np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)) for w in words]
 
 
 def _encoded_once(payloads: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
@@ -72,13 +80,14 @@ def _ids(reply: bytes) -> tuple[list[int], np.ndarray]:
     return [0, *np.cumsum(sizes, dtype=np.int64).tolist()], flat
 
 
-def _known_words(group: pa.Table, replies: pa.Table, n_buckets: int) -> dict[str, list[int]]:
-    lists, ids = _word_lists(_block_words(group), n_buckets), {}
+def _known_ids(numbers: Numbers, replies: pa.Table, n_buckets: int) -> list[list[int]]:
+    """Ids of each pre-token, by its number."""
+    lists, ids = _word_lists(numbers, n_buckets), [[]] * len(numbers)
     for bucket, payload in zip(replies.column("bucket").to_pylist(), replies.column("payload"), strict=True):
         ends, flat = _ids(payload.as_py())
         flat = flat.tolist()
-        for word, (lo, hi) in zip(lists[bucket], pairwise(ends), strict=True):
-            ids[word.decode()] = flat[lo:hi]
+        for (_, number), (lo, hi) in zip(lists[bucket], pairwise(ends), strict=True):
+            ids[number] = flat[lo:hi]
     return ids
 
 
@@ -91,12 +100,16 @@ def _encoded(docs: DataFrame, path: str, block_bytes: int, finish, schema: str)
     blocks = packed_blocks(docs, n_blocks)
 
     def ask(group: pa.Table) -> pa.Table:
-        lists = _word_lists(_block_words(group), n_buckets)
-        return asked([(b, block_no(group), squeeze(np.frombuffer(_END.join(words), np.uint8))) for b, words in lists.items()])
+        numbers = Numbers()
+        for _ in _placed(group, numbers):
+            pass
+        lists = _word_lists(numbers, n_buckets)
+        return asked([(b, block_no(group), squeeze(np.frombuffer(_END.join([w for w, _ in own]), np.uint8))) for b, own in lists.items()])
 
     def place(group: pa.Table, replies: pa.Table) -> pa.Table:
-        known = _known_words(group, replies, n_buckets)
-        return pa.concat_tables([finish(chunk, known, table.value) for chunk in unpack(group)])
+        numbers = Numbers()
+        placed = list(_placed(group, numbers))
+        return finish(placed, _known_ids(numbers, replies, n_buckets), table.value)
 
     replies = answered(blocks.groupBy("block").applyInArrow(ask, ASKED), lambda payloads: _encoded_once(payloads, table.value))
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(place, schema)
@@ -113,9 +126,10 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
     their own; an empty table gives no rows; other columns are ignored.
     """
 
-    def finish(chunk: pa.Table, known: dict, _: dict) -> pa.Table:
-        lists = [[i for w in pretokens(t) for i in known[w]] for t in chunk.column("text").to_pylist()]
-        return pa.table({"doc_id": chunk.column("doc_id"), "ids": pa.array(lists, pa.list_(pa.int32()))})
+    def finish(placed: list, ids_of: list[list[int]], _: dict) -> pa.Table:
+        lists = [[i for w in text.tolist() for i in ids_of[w]] for _, texts in placed for text in texts]
+        docs = pa.chunked_array([c for ids, _ in placed for c in ids.chunks], pa.int64())
+        return pa.table({"doc_id": docs, "ids": pa.array(lists, pa.list_(pa.int32()))})
 
     return _encoded(docs, path, block_bytes, finish, "doc_id bigint, ids array<int>")
 
@@ -128,23 +142,21 @@ def encode_digests(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -
     ids themselves are not written.
     """
 
-    def finish(chunk: pa.Table, known: dict, ranks: dict) -> pa.Table:
+    def finish(placed: list, ids_of: list[list[int]], ranks: dict) -> pa.Table:
         token_bytes = {rank: token for token, rank in ranks.items()}
-        shown: dict[str, str] = {}
-        decoded: dict[str, bytes] = {}
+        shown = [",".join(map(str, ids)) for ids in ids_of]
+        decoded = [b"".join([token_bytes[i] for i in ids]) for ids in ids_of]
         counts, ids_sha, bytes_sha = [], [], []
-        for text in chunk.column("text").to_pylist():
-            words = pretokens(text)
-            for word in set(words).difference(shown):
-                shown[word] = ",".join(map(str, known[word]))
-                decoded[word] = b"".join([token_bytes[i] for i in known[word]])
-            line = ",".join([shown[w] for w in words])
-            counts.append(line.count(",") + bool(line))
-            ids_sha.append(hashlib.sha256(line.encode()).hexdigest())
-            bytes_sha.append(hashlib.sha256(b"".join([decoded[w] for w in words])).hexdigest())
+        for _, texts in placed:
+            for text in texts:
+                words = text.tolist()
+                line = ",".join([shown[w] for w in words])
+                counts.append(line.count(",") + bool(line))
+                ids_sha.append(hashlib.sha256(line.encode()).hexdigest())
+                bytes_sha.append(hashlib.sha256(b"".join([decoded[w] for w in words])).hexdigest())
         return pa.table(
             {
-                "doc_id": chunk.column("doc_id"),
+                "doc_id": pa.chunked_array([c for ids, _ in placed for c in ids.chunks], pa.int64()),
                 "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(ids_sha, pa.string()),
                 "decoded_sha256": pa.array(bytes_sha, pa.string()),

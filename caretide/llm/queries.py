@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretide.llm import bpe, packing, perplexity, pii, substrings, token_counts, topk, toxicity
+from caretide.llm import bpe, jaccard, line_dedup, packing, perplexity, pii, substrings, token_counts, topk, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -43,6 +43,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), MULTI_BPE)
 
@@ -64,6 +69,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(of(*pii.BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeated_passages(table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -76,9 +85,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
     "op3_packing": op3_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_top_k": op10_exact_top_k,
 }

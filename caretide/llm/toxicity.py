@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from caretide.llm.common import WordHashes, documents, mix, squeeze, unsqueeze,
 DIMENSIONS = 1 << 20
 #: Labelled rows to learn from: those with the smallest id hashes.
 SAMPLE_ROWS = 12_000
+THRESHOLD = 0.5
 EPOCHS = 5
 #: Per-coordinate learning rates and penalties of FTRL-proximal.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.01
@@ -117,6 +119,19 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def scorer(at: np.ndarray, weights: np.ndarray, bias: float) -> Callable[[list[str]], list[float]]:
+    """Scores of texts under a model's non-zero weights."""
+    table, hashes = np.zeros(DIMENSIONS, np.float32), PlainWords()
+    table[at] = weights
+
+    def score(text: str) -> float:
+        found = features(hashes.of(words_of(text)))
+        found = np.unique(found[table[found] != 0])
+        return float(_logistic(bias + float(table[found].sum(dtype=float))))
+
+    return lambda texts: [score(t) for t in texts]
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text, one row per input row.
 
@@ -132,17 +147,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, weights, bias = model.value
-        table, hashes = np.zeros(DIMENSIONS, np.float32), PlainWords()
-        table[at] = weights
+        scores_of = scorer(*model.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("text").to_pylist():
-                found = features(hashes.of(words_of(text)))
-                found = np.unique(found[table[found] != 0])
-                scores.append(float(_logistic(bias + float(table[found].sum(dtype=float)))))
+            scores = scores_of(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
 
     rows_in = documents(docs).withColumn("held_out", held_out(F.col("doc_id"))).select("doc_id", "held_out", "text")
     scored = rows_in.mapInArrow(score, "doc_id bigint, held_out boolean, score double")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def reject_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents whose toxicity score, as in :func:`score_toxicity`, is below the threshold."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))
+
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scores_of = scorer(*model.value)
+        for texts in parts:
+            yield pd.Series(scores_of(texts.tolist()), dtype=float)
+
+    return docs.filter(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) < THRESHOLD)
