@@ -17,7 +17,7 @@ from caretide.session import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Trees of the forest, length of the prefixes it starts with, and expected recall to reach.
-TREES, DEPTH, RECALL = 20, 6, 0.99
+TREES, DEPTH, RECALL = 32, 6, 0.99
 #: Share of equal signature bytes from which two members of a bucket are put in one cluster:
 #: over four standard deviations below the share expected at the similarity.
 SKETCH_SHARE = 0.65
