@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,7 +139,18 @@ _BYTE_VALUES = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def small_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with about ``limit`` bytes of text, and at least one row, each."""
+    done = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = done[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(done, before + limit, side="right")), lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of some texts, text after text, and each text's number of words.
 
     Word breaks are single bytes of UTF-8, so this works on the column's bytes at once: with
@@ -146,7 +158,7 @@ def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     ``(P(e) - P(s)) * base^-s``, which does not depend on where it stands.
     """
     if isinstance(texts, pa.ChunkedArray):
-        parts = [word_hashes(c) for c in texts.chunks]
+        parts = [word_hashes(c, breaks) for c in texts.chunks]
         return tuple(np.concatenate([p[i] for p in parts] or [np.empty(0, t)]) for i, t in ((0, np.uint64), (1, np.int64)))
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -154,7 +166,7 @@ def word_hashes(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     offsets = offsets - offsets[0]
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
-    word = ~_BREAK[data]
+    word = ~breaks[data]
     new = np.zeros(len(data) + 1, bool)
     new[offsets] = True
     starts = np.flatnonzero(word & (new[:-1] | ~np.concatenate([[False], word[:-1]])))
@@ -199,23 +211,6 @@ def _long_word(data: np.ndarray) -> np.uint64:
     return np.uint64(total % (1 << 64))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered for a task; forgets when it holds too many."""
-
-    LIMIT = 400_000
-
-    def __missing__(self, word: str) -> int:
-        from hashlib import blake2b
-
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return value
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def by_bucket(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, int, int]]:
     """``(bucket, start, end)`` over sorted keys; a bucket is a range of the upper 32 bits."""
     if not len(keys):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import components, documents, mix, shuffle_parts, word_hashes
+from caretide.llm.common import components, documents, mix, shuffle_parts, small_slices, word_hashes
 from caretide.llm.substrings import grams
 from caretide.session import materialize
 
@@ -67,8 +67,7 @@ def _sketched(docs: DataFrame, trees: int, depth: int) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for part in small_slices(batch):
                 sets = shingle_sets(part.column("text"))
                 nodes = [node_of(s) if len(s) else None for s in sets]
                 marks = [signature(s, factors, shifts).tobytes() if len(s) else None for s in sets]
@@ -231,8 +230,7 @@ def _verified(docs: DataFrame, sketched: DataFrame, clusters: DataFrame, chance,
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
+            for part in small_slices(batch):
                 found = [s.tobytes() for s in shingle_sets(part.column("text"))]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("root", "node", "copies", "size")], pa.array(found, pa.binary())], ["root", "node", "copies", "size", "shingles"])
 

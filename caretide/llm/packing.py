@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import documents
+from caretide.llm.common import documents, small_slices
 from caretide.llm.tokens import encoding, read_ranks
 
 MAX_TOKENS = 1024
@@ -95,8 +95,8 @@ def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int =
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(table.value)._core_bpe.encode_ordinary
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part, rows = batch.slice(lo, 500), []
+            for part in small_slices(batch):
+                rows = []
                 for doc, shard, text in zip(*[part.column(c).to_pylist() for c in ("doc_id", "shard", "text")], strict=True):
                     ids = np.array([*encode(text), end_id], "<u4")
                     n, raw = len(ids), ids.tobytes()

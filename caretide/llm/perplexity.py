@@ -9,7 +9,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import WordHashes, count_blocks, mix, packed_blocks, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted, words_of
+from caretide.llm.common import (
+    WORD_BREAKS,
+    count_blocks,
+    mix,
+    packed_blocks,
+    small_slices,
+    squeeze,
+    squeeze_sorted,
+    unpack,
+    unsqueeze,
+    unsqueeze_sorted,
+    word_hashes,
+    words_of,
+)
 from caretide.llm.substrings import grams
 from caretide.llm.tokens import encoding, read_ranks
 from caretide.session import materialize
@@ -28,31 +41,31 @@ BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint,
 PACKED = "doc_id bigint, lang string, " + BASE
 
 
-def repeated_words(words: list[str], hashes: WordHashes, window: int = REPEAT_WINDOW) -> int:
-    """Words inside windows that occur twice or more in the text, the first occurrence included."""
-    if len(words) <= window:
-        return 0
-    keys = grams(hashes.of(words), window)
-    _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    at = np.flatnonzero(counts[inverse] > 1)
-    if not len(at):
-        return 0
+def repeated_words(texts: pa.Array, window: int = REPEAT_WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's number of words, and of words inside windows that occur twice or more in the
+    text, the first occurrence included."""
+    words, counts = word_hashes(texts)
+    doc = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    runs = grams(words, window)
+    at = np.flatnonzero(doc[: len(runs)] == doc[window - 1 : window - 1 + len(runs)])
+    _, inverse, times = np.unique(mix(runs[at], doc[at]), return_inverse=True, return_counts=True)
+    at = at[times[inverse] > 1]
     cover = np.zeros(len(words) + 1, np.int64)
     np.add.at(cover, at, 1)
     np.add.at(cover, at + window, -1)
-    return int((np.cumsum(cover) > 0).sum())
+    return counts, np.bincount(doc[np.cumsum(cover)[:-1] > 0].astype(np.int64), minlength=len(counts))
 
 
-def base_features(text: str, hashes: WordHashes) -> tuple[int, int, int, int, int]:
-    words = words_of(text)
-    lines = [x for x in text.split("\n") if words_of(x)] if "\n" in text else []
-    return (
-        len(words),
-        sum(map(len, words)),
-        sum(text.count(c) for c in SYMBOLS),
-        len(lines) - len(set(lines)),
-        repeated_words(words, hashes),
-    )
+def base_features(texts: pa.Array) -> list[np.ndarray | list[int]]:
+    """Columns of the base rules, in the order of ``BASE``."""
+    n_words, n_repeat = repeated_words(texts)
+    chars, symbols, dup = [], [], []
+    for text in texts.to_pylist():
+        lines = [x for x in text.split("\n") if words_of(x)] if "\n" in text else []
+        chars.append(len(text) - sum(map(text.count, WORD_BREAKS)))
+        symbols.append(sum(map(text.count, SYMBOLS)))
+        dup.append(len(lines) - len(set(lines)))
+    return [n_words, chars, symbols, dup, n_repeat]
 
 
 def _measured(docs: DataFrame, path: str) -> DataFrame:
@@ -60,16 +73,13 @@ def _measured(docs: DataFrame, path: str) -> DataFrame:
     table = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # bounded by the vocabulary
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, hashes = encoding(table.value)._core_bpe.encode_ordinary, WordHashes()
+        encode = encoding(table.value)._core_bpe.encode_ordinary
+        names = ["doc_id", "lang", *[c.split()[0] for c in BASE.split(", ")], "text"]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = part.column("text").to_pylist()
-                rows = list(zip(*[base_features(t, hashes) for t in texts], strict=True))
-                ids = [np.array(encode(t), "<u2").tobytes() for t in texts]
-                names = ["doc_id", "lang", *[c.split()[0] for c in BASE.split(", ")], "text"]
-                columns = [part.column("doc_id"), part.column("lang"), *[pa.array(r, pa.int64()) for r in rows], pa.array(ids, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            for part in small_slices(batch):
+                base = [pa.array(c, pa.int64()) for c in base_features(part.column("text"))]
+                ids = [np.array(encode(t), "<u2").tobytes() for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), *base, pa.array(ids, pa.binary())], names)
 
     if max(table.value.values()) >= START:
         raise ValueError("the vocabulary needs ids below 65535")

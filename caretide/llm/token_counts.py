@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretide.llm.common import small_slices
 from caretide.llm.tokens import encoding, pretokens, read_ranks
 
 #: Pre-tokens per leaf when a tree is built.
@@ -19,7 +20,7 @@ AHEAD = 4
 class Counter(dict):
     """Token counts of pre-tokens, remembered for a task; forgets when it holds too many."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.encode = encoding(ranks)._encode_single_piece
@@ -148,8 +149,8 @@ def _per_document(docs: DataFrame, path: str, work, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(table.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                yield work(batch.slice(lo, 200), counter)
+            for part in small_slices(batch):
+                yield work(part, counter)
 
     return docs.mapInArrow(run, schema)
 

@@ -5,72 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import WordHashes, documents, mix, squeeze, unsqueeze, words_of
+from caretide.llm.common import WORD_BREAKS, documents, mix, small_slices, squeeze, unsqueeze, word_hashes
 
 #: Hashed features; the weights are one float each, so what is broadcast has this bound.
-DIMENSIONS = 1 << 20
+DIMENSIONS = 1 << 22
 #: Labelled rows to learn from: those with the smallest id hashes.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 20_000
 THRESHOLD = 0.5
 EPOCHS = 5
 #: Per-coordinate learning rates and penalties of FTRL-proximal.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.01
-_EDGES = "\"'.,;:!?()[]{}<>#*$%&|-_"
+_BREAKS = np.zeros(256, bool)
+_BREAKS[list((WORD_BREAKS + "\"'.,;:!?()[]{}<>#*$%&|-_").encode())] = True
 
 
-class PlainWords(WordHashes):
-    """Hashes of words in lower case, without punctuation at their ends."""
+def features(texts: pa.Array, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all texts and the number of the text that has each: its words (in lower case,
+    without punctuation), word pairs, and pairs with one word skipped, hashed to indexes."""
+    words, counts = word_hashes(pc.utf8_lower(texts), _BREAKS)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    grams = [(mix(words, 1), doc)]
+    for step, tag in ((1, 2), (2, 3)):
+        inside = doc[:-step] == doc[step:]
+        grams.append((mix(mix(words[:-step], words[step:]), tag)[inside], doc[:-step][inside]))
+    return (np.concatenate([g for g, _ in grams]) % np.uint64(dimensions)).astype(np.int64), np.concatenate([d for _, d in grams])
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = WordHashes.__missing__(WordHashes(), word.lower().strip(_EDGES))
-        return value
 
-
-def features(words: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """Indexes of a text's words, word pairs, and pairs with one word skipped."""
-    grams = [mix(words, 1), mix(words[:-1], words[1:]), mix(mix(words[:-2], words[2:]), 2)] if len(words) else []
-    if not grams:
-        return np.empty(0, np.int64)
-    return (np.concatenate(grams) % np.uint64(dimensions)).astype(np.int64)
-
-
-def ftrl(rows: list[tuple[np.ndarray, int]], dimensions: int = DIMENSIONS, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Sparse weights and a bias from ``(distinct features, label)`` rows, in order.
+def ftrl(rows: list[tuple[np.ndarray, int]], dimensions: int = DIMENSIONS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Indexes and values of the non-zero weights, and a bias, from ``(distinct features, label)`` rows, in order.
 
     McMahan et al.'s FTRL-proximal: each coordinate has its own learning rate, from its own sum of
     squared gradients, and is zero until its signal exceeds the L1 penalty. The bias is not
     penalised.
     """
     z, n = np.zeros(dimensions + 1), np.zeros(dimensions + 1)
-    penalty = np.full(dimensions + 1, L1)
-    penalty[-1] = 0
 
     def weights(at: np.ndarray) -> np.ndarray:
         signal = z[at]
-        shrunk = np.sign(signal) * np.maximum(np.abs(signal) - penalty[at], 0)
+        shrunk = np.sign(signal) * np.maximum(np.abs(signal) - np.where(at < dimensions, L1, 0), 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
 
     for _ in range(epochs):
         for found, label in rows:
-            at = np.append(found, dimensions)
+            at = np.append(found, np.uint32(dimensions))
             w = weights(at)
             gradient = _logistic(w.sum()) - label
             squares = gradient * gradient
             sigma = (np.sqrt(n[at] + squares) - np.sqrt(n[at])) / ALPHA
             z[at] += gradient - sigma * w
             n[at] += squares
-    final = weights(np.arange(dimensions + 1))
-    return final[:-1], float(final[-1])
+    at = np.flatnonzero(np.abs(z[:-1]) > L1)
+    return at, weights(at), float(weights(np.array([dimensions]))[0])
 
 
-def _logistic(x: float) -> float:
+def _logistic(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
@@ -86,10 +79,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, d
     chosen = documents(docs).join(F.broadcast(sample), "doc_id").select("label", "order", "doc_id", "text")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = PlainWords()
         for batch in batches:
-            found = [squeeze(np.unique(features(hashes.of(words_of(t)), dimensions)).astype("<u4")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("order"), batch.column("doc_id"), pa.array(found, pa.binary())], ["label", "order", "doc_id", "found"])
+            for part in small_slices(batch):
+                found, doc = features(part.column("text"), dimensions)
+                order = np.argsort(doc, kind="stable")
+                cuts = np.searchsorted(doc[order], np.arange(1, part.num_rows))
+                lists = [squeeze(np.unique(x).astype("<u4")) for x in np.split(found[order], cuts)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("label", "order", "doc_id")], pa.array(lists, pa.binary())], ["label", "order", "doc_id", "found"])
 
     return chosen.mapInArrow(find, "label int, order bigint, doc_id bigint, found binary").dropDuplicates(["doc_id", "found"])
 
@@ -103,10 +99,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimension
 
     def learn(group: pa.Table) -> pa.Table:
         group = group.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("found", "ascending")])
-        data = [(unsqueeze(f.as_py(), "<u4").astype(np.int64), label) for f, label in zip(group.column("found"), group.column("label").to_pylist(), strict=True)]
-        weights, bias = ftrl(data, dimensions)
-        at = np.flatnonzero(weights)
-        return pa.table({"at": pa.array([squeeze(at.astype("<u4"))], pa.binary()), "weights": pa.array([squeeze(weights[at].astype("<f4"))], pa.binary()), "bias": pa.array([bias], pa.float64())})
+        data = [(unsqueeze(f.as_py(), "<u4"), label) for f, label in zip(group.column("found"), group.column("label").to_pylist(), strict=True)]
+        at, weights, bias = ftrl(data, dimensions)
+        return pa.table({"at": pa.array([squeeze(at.astype("<u4"))], pa.binary()), "weights": pa.array([squeeze(weights.astype("<f4"))], pa.binary()), "bias": pa.array([bias], pa.float64())})
 
     found = training_rows(docs, labels, rows, dimensions).groupBy(F.lit(0).alias("all")).applyInArrow(lambda t: learn(t.drop_columns(["all"]) if "all" in t.column_names else t), "at binary, weights binary, bias double").collect()
     if not found:
@@ -119,17 +114,18 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def scorer(at: np.ndarray, weights: np.ndarray, bias: float) -> Callable[[list[str]], list[float]]:
+def scorer(at: np.ndarray, weights: np.ndarray, bias: float) -> Callable[[pa.Array], np.ndarray]:
     """Scores of texts under a model's non-zero weights."""
-    table, hashes = np.zeros(DIMENSIONS, np.float32), PlainWords()
+    table = np.zeros(DIMENSIONS, np.float32)
     table[at] = weights
 
-    def score(text: str) -> float:
-        found = features(hashes.of(words_of(text)))
-        found = np.unique(found[table[found] != 0])
-        return float(_logistic(bias + float(table[found].sum(dtype=float))))
+    def score(texts: pa.Array) -> np.ndarray:
+        found, doc = features(texts)
+        weighty = table[found] != 0
+        once = np.unique(doc[weighty] * DIMENSIONS + found[weighty])
+        return _logistic(bias + np.bincount(once // DIMENSIONS, table[once % DIMENSIONS], len(texts)))
 
-    return lambda texts: [score(t) for t in texts]
+    return score
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -149,8 +145,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores_of = scorer(*model.value)
         for batch in batches:
-            scores = scores_of(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
+            for part in small_slices(batch):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(scores_of(part.column("text")))], ["doc_id", "held_out", "score"])
 
     rows_in = documents(docs).withColumn("held_out", held_out(F.col("doc_id"))).select("doc_id", "held_out", "text")
     scored = rows_in.mapInArrow(score, "doc_id bigint, held_out boolean, score double")
@@ -161,10 +157,11 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     """The documents whose toxicity score, as in :func:`score_toxicity`, is below the threshold."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scores_of = scorer(*model.value)
         for texts in parts:
-            yield pd.Series(scores_of(texts.tolist()), dtype=float)
+            slices = small_slices(pa.RecordBatch.from_arrays([texts], ["text"]))
+            yield pa.array(np.concatenate([scores_of(x.column("text")) for x in slices] or [np.empty(0)]))
 
     return docs.filter(score(F.coalesce(F.col("text").cast("string"), F.lit(""))) < THRESHOLD)
