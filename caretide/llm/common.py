@@ -9,6 +9,8 @@ a third of all rows costs its bucket one entry per block.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -97,6 +99,7 @@ def unpack(group: pa.Table) -> Iterator[pa.Table]:
     """The chunks of a block, one table at a time."""
     for payload in group.column("payload"):
         yield pa.ipc.open_stream(payload.as_buffer()).read_all()
+    release_memory()
 
 
 def squeeze(values: np.ndarray) -> bytes:
@@ -139,6 +142,13 @@ _BYTE_VALUES = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
+def release_memory() -> None:
+    """Give freed memory back, as a Python worker lives on beside the next stages' tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do so by themselves
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with about ``limit`` bytes of text, and at least one row, each."""
     done = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -148,6 +158,7 @@ def small_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 <<
         hi = max(int(np.searchsorted(done, before + limit, side="right")), lo + 1)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    release_memory()
 
 
 def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import components, documents, mix, shuffle_parts, small_slices, word_hashes
+from caretide.llm.common import components, documents, mix, release_memory, shuffle_parts, small_slices, word_hashes
 from caretide.llm.substrings import grams
 from caretide.session import materialize
 
@@ -22,7 +22,7 @@ TREES, DEPTH, RECALL = 32, 6, 0.99
 #: over four standard deviations below the share expected at the similarity.
 SKETCH_SHARE = 0.65
 #: Members compared in one task: larger buckets and clusters are cut into parts, pair by pair.
-BUCKET_PART, CLUSTER_PART = 2_048, 1_024
+BUCKET_PART, CLUSTER_PART = 2_048, 512
 
 
 def shingle_sets(texts: pa.ChunkedArray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -94,7 +94,9 @@ def _together(frame: DataFrame, keys: list[str], n_tasks: int, work, schema: str
         for k in keys:
             change |= np.diff(group.column(k).to_numpy()) != 0
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), group.num_rows]
-        return work(group, cuts)
+        out = work(group, cuts)
+        release_memory()
+        return out
 
     return frame.withColumn("call", F.pmod(F.xxhash64(*keys), F.lit(n_tasks))).groupBy("call").applyInArrow(run, schema)
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import documents, small_slices
+from caretide.llm.common import documents, release_memory, small_slices
 from caretide.llm.tokens import encoding, read_ranks
 
 MAX_TOKENS = 1024
@@ -117,6 +117,7 @@ def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int =
         doc, shard, start, length, crc, tokens = (group.column(c).to_pylist() for c in ("doc_id", "shard", "start", "length", "ids_crc32", "doc_tokens"))
         ids = group.column("ids")
         tails = [i for i, valid in enumerate(ids.is_valid().to_pylist()) if valid]
+        del group
         base, rows = shard[0] << 32 if shard else 0, []
         for k, sequence in enumerate(balance([length[i] for i in tails], max_tokens)):
             at = 0
@@ -130,6 +131,8 @@ def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int =
             rows.append((doc[i], start[i], length[i], crc[i], tokens[i], base + k, 0))
             k += 1
         columns = list(zip(*rows, strict=True)) or [[]] * 7
+        del ids
+        release_memory()
         return pa.table({c.split()[0]: pa.array(v, pa.int64()) for c, v in zip(PIECES.split(", "), columns, strict=True)})
 
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_shards)))

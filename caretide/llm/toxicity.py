@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import WORD_BREAKS, documents, mix, small_slices, squeeze, unsqueeze, word_hashes
+from caretide.llm.common import WORD_BREAKS, documents, mix, release_memory, small_slices, squeeze, unsqueeze, word_hashes
 
 #: Hashed features; the weights are one float each, so what is broadcast has this bound.
 DIMENSIONS = 1 << 22
@@ -68,7 +68,7 @@ def _logistic(x):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS) -> DataFrame:
-    """``label, order, found`` of a bounded sample of the labelled documents that may be learned from.
+    """``label, order, doc_id, size, found`` of a bounded sample of the labelled documents that may be learned from.
 
     The sample is drawn from ``labels`` first, so it is broadcast; each document's distinct
     features are found where its text is read.
@@ -84,10 +84,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, d
                 found, doc = features(part.column("text"), dimensions)
                 order = np.argsort(doc, kind="stable")
                 cuts = np.searchsorted(doc[order], np.arange(1, part.num_rows))
-                lists = [squeeze(np.unique(x).astype("<u4")) for x in np.split(found[order], cuts)]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in ("label", "order", "doc_id")], pa.array(lists, pa.binary())], ["label", "order", "doc_id", "found"])
+                lists = [np.unique(x).astype("<u4") for x in np.split(found[order], cuts)]
+                columns = [*[part.column(c) for c in ("label", "order", "doc_id")], pa.array(map(len, lists), pa.int64()), pa.array(map(squeeze, lists), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["label", "order", "doc_id", "size", "found"])
 
-    return chosen.mapInArrow(find, "label int, order bigint, doc_id bigint, found binary").dropDuplicates(["doc_id", "found"])
+    return chosen.mapInArrow(find, "label int, order bigint, doc_id bigint, size bigint, found binary").dropDuplicates(["doc_id", "found"])
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray, float]:
@@ -99,11 +100,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimension
 
     def learn(group: pa.Table) -> pa.Table:
         group = group.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("found", "ascending")])
-        data = [(unsqueeze(f.as_py(), "<u4"), label) for f, label in zip(group.column("found"), group.column("label").to_pylist(), strict=True)]
-        at, weights, bias = ftrl(data, dimensions)
+        flat, ends = np.concatenate([unsqueeze(f.as_py(), "<u4") for f in group.column("found")]), np.cumsum(group.column("size").to_numpy())
+        labels_of = group.column("label").to_pylist()
+        del group
+        at, weights, bias = ftrl(list(zip(np.split(flat, ends[:-1]), labels_of, strict=True)), dimensions)
+        release_memory()
         return pa.table({"at": pa.array([squeeze(at.astype("<u4"))], pa.binary()), "weights": pa.array([squeeze(weights.astype("<f4"))], pa.binary()), "bias": pa.array([bias], pa.float64())})
 
-    found = training_rows(docs, labels, rows, dimensions).groupBy(F.lit(0).alias("all")).applyInArrow(lambda t: learn(t.drop_columns(["all"]) if "all" in t.column_names else t), "at binary, weights binary, bias double").collect()
+    found = training_rows(docs, labels, rows, dimensions).groupBy(F.lit(0)).applyInArrow(learn, "at binary, weights binary, bias double").collect()
     if not found:
         return np.empty(0, np.int64), np.empty(0), 0.0
     return unsqueeze(bytes(found[0]["at"]), "<u4").astype(np.int64), unsqueeze(bytes(found[0]["weights"]), "<f4"), found[0]["bias"]
