@@ -1,0 +1,348 @@
+"""Each operator against brute force, on small tables with nulls, empty texts, ties and repeated rows."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from caretide.llm import bpe, jaccard, line_dedup, packing, perplexity, pii, queries, substrings, token_counts, tokens, topk, toxicity
+from caretide.llm.common import components, word_hashes, words_of
+
+WORDS = "[^\x20\x09-\x0d]+"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, block bigint, payload string, bucket string, th string, node string, removed string"
+
+
+def frame(spark, rows):
+    """Documents, with further columns named as the operators' own."""
+    full = [(i, t, lang, "src", len(t or ""), 7, "p", "b", "t", "n", "r") for i, t, lang in rows]
+    return spark.createDataFrame(full, SCHEMA)
+
+
+def texts():
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(400)] + ["naïve", "été,", "x\x1cy", "don't", "42"]
+    passage = " ".join(rng.choices(words, k=60))
+    out = [" ".join(rng.choices(words, k=rng.randint(1, 150))) for _ in range(24)]
+    out += [f"{out[k]} {passage} {out[k + 1]}" for k in range(4)]
+    out += ["", "   \n ", "one", "a b c d", "same same " * 40, "line\n" * 30, "ab" * 5000, out[0], out[0], out[5] + " tail", "x　y  z"]
+    base = [f"line number {k} of the common block, long enough to count" for k in range(12)]
+    out += ["\n".join(base), "\n".join(["new head", *base[:5], "changed", *base[6:]]), "\n".join(base[::-1])]
+    return out
+
+
+@pytest.fixture(scope="module")
+def rows():
+    found = [(k, t, ["en", "de", None][k % 3]) for k, t in enumerate(texts())]
+    return [*found, (100, None, "en"), (None, None, None), (None, "null id text", "en"), found[2], found[2], (found[2][0], "same id, other text", "en")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return frame(spark, rows).repartition(3).cache()
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_words_and_hashes(rows):
+    import pyarrow as pa
+
+    all_texts = [t or "" for _, t, _ in rows]
+    hashes, counts = word_hashes(pa.array(all_texts))
+    flat = [w for t in all_texts for w in words_of(t)]
+    assert [len(re.findall(WORDS, t)) for t in all_texts] == counts.tolist() == [len(words_of(t)) for t in all_texts]
+    assert len(set(flat)) == len(set(hashes.tolist())) == len(set(zip(flat, hashes.tolist(), strict=True)))
+
+
+def test_bpe_equals_the_library(docs, rows):
+    import tiktoken
+
+    path = queries.MULTI_BPE
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.read_ranks(path), special_tokens={})
+    want = Counter((i, tuple(whole.encode_ordinary(t or ""))) for i, t, _ in rows)
+    encoded = bpe.encode(docs, path, block_bytes=2000)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == want
+    digests = bpe.encode_digests(docs, path).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in digests) == Counter({(i, len(x), sha(",".join(map(str, x)))): n for (i, x), n in want.items()})
+    assert Counter((r.doc_id, r.decoded_sha256) for r in digests) == Counter((i, sha(t or "")) for i, t, _ in rows)
+    assert Counter((r.doc_id, bytes(r.decoded)) for r in bpe.decode(encoded, path).collect()) == Counter((i, (t or "").encode()) for i, t, _ in rows)
+
+
+def test_ranks_from_json_and_tiktoken_agree():
+    assert tokens.read_ranks(queries.BYTE_BPE) == tokens.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@pytest.mark.parametrize("window", [1, 2, 7, 35])
+def test_substring_dedup(docs, rows, window):
+    words = [(i, re.findall(WORDS, t or "")) for i, t, _ in rows]
+    seen = Counter(tuple(w[k : k + window]) for _, w in words for k in range(len(w) - window + 1))
+    want = Counter()
+    for i, w in words:
+        gone = [False] * len(w)
+        for k in range(len(w) - window + 1):
+            if seen[tuple(w[k : k + window])] > 1:
+                gone[k : k + window] = [True] * window
+        want[i, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone, strict=True) if not g))] += 1
+    got = substrings.drop_repeated_passages(docs, window, block_bytes=1500).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+
+
+def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.BYTE_BPE)
+    tokenizer.encode_special_tokens = True
+    for size in (8, 1024):
+        pieces = packing.pack(docs, queries.BYTE_BPE, max_tokens=size, shard_docs=20).collect()
+        want = Counter((i, tuple(tokenizer.encode(t or "", add_special_tokens=False).ids) + (0,)) for i, t, _ in rows)
+        by_doc, sequences = defaultdict(list), defaultdict(list)
+        for p in pieces:
+            by_doc[p.doc_id].append(p)
+            sequences[p.sequence_id].append((p.offset, p.length))
+        for (i, ids), n in want.items():
+            own = [p for p in by_doc[i] if p.doc_tokens == len(ids)]
+            for p in own:
+                if sum(len(x) == len(ids) for (j, x) in want if j == i) == 1:
+                    assert p.ids_crc32 == zlib.crc32(np.array(ids[p.start : p.start + p.length], "<u4").tobytes())
+            assert sum(p.length for p in own) >= n * len(ids)
+        assert sum(p.length for p in pieces) == sum(n * len(ids) for (_, ids), n in want.items())
+        for s in sequences.values():
+            ends = np.cumsum([length for _, length in sorted(s)])
+            assert [o for o, _ in sorted(s)] == [0, *ends[:-1]] and ends[-1] <= size
+        shards = len({s >> 32 for s in sequences})
+        assert len(sequences) * size - sum(p.length for p in pieces) < size * shards
+
+
+def test_balance_prefers_the_cheapest_sequence():
+    found = packing.balance([6, 5, 4, 3, 2], 10)
+    assert sorted(sum(n for _, _, n in s) for s in found) == [10, 10]
+    assert {s[0][0] for s in found} == {0, 1}
+    assert packing.balance([], 10) == []
+
+
+def test_line_dedup(docs, rows):
+    got = line_dedup.without_repeated_lines(docs)
+    assert set(docs.columns) < set(got.columns)
+    by_id = {r.doc_id: r.text for r in got.collect() if r.doc_id is not None and r.text != "same id, other text"}
+    text = {i: t for i, t, _ in rows if i is not None and t != "same id, other text"}
+    heads = [i for i, t in text.items() if t and t.startswith("line number 0")]
+    changed = next(i for i, t in text.items() if t and t.startswith("new head"))
+    assert by_id[heads[0]] == text[heads[0]] and by_id[changed] == "new head\nchanged"
+    copies = [i for i, t in text.items() if t == text[0]]
+    assert len(copies) == 3 and [by_id[i] == "" for i in sorted(copies)] == [False, True, True]
+    assert by_id[100] == "" and got.count() == docs.count()
+    assert Counter(r.n_lines for r in got.collect()) == Counter((t or "").count("\n") + 1 for _, t, _ in rows)
+    kept = line_dedup.drop_repeated_lines(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(text) - set(copies[1:]) | {None}
+
+
+def test_patience_matches_common_lines():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.randint(0, 6) for _ in range(rng.randint(0, 12))] for _ in range(2))
+        pairs = line_dedup.patience(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in itertools.pairwise(pairs))
+    assert line_dedup.patience([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
+
+
+def test_jaccard(spark, rows):
+    rng = random.Random(7)
+    base = [f"v{k}" for k in range(60)]
+    near = []
+    for k in range(40):
+        words = list(base)
+        for _ in range(k % 4):
+            words[rng.randrange(60)] = f"n{rng.randrange(999)}"
+        near.append((200 + k, " ".join(words), "en"))
+    data = [r for r in [*rows, *near] if r[0] is not None and r[1] != "same id, other text"]
+    sets = []
+    for i, t, _ in data:
+        w = re.findall(WORDS, t or "")
+        sets.append((i, {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()))
+    root = list(range(len(sets)))
+    links = [0] * len(sets)
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        x, y = sets[a][1], sets[b][1]
+        if x and y and len(x & y) / len(x | y) >= 0.8:
+            links[a] += 1
+            links[b] += 1
+            old, new = root[b], root[a]
+            root = [new if r == old else r for r in root]
+    least = {r: min(sets[k][0] for k in range(len(sets)) if root[k] == r) for r in set(root)}
+    got = jaccard.near_duplicates(frame(spark, data)).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter((sets[k][0], least[root[k]], links[k]) for k in range(len(sets)))
+    one = jaccard.one_per_class(frame(spark, data))
+    assert {r.doc_id for r in one.collect()} == {least[root[k]] for k in range(len(sets)) if sets[k][1]} | {s[0] for s in sets if not s[1]}
+
+
+def test_jaccard_recall_and_parts(spark, monkeypatch):
+    """Clusters cut into parts give the same links; links near the threshold are found."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(60):
+        words = [f"g{g}x{k}" for k in range(104)]
+        other = list(words)
+        other[rng.randrange(40, 60)] = "edit"
+        other[20] = "edit2"
+        rows += [(2 * g, " ".join(words), "en"), (2 * g + 1, " ".join(other), "en")]  # similarity 90/110
+    whole = {(r.doc_id, r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(n for _, _, n in whole) >= 0.95 * 120
+    monkeypatch.setattr(jaccard, "CLUSTER_PART", 1)
+    monkeypatch.setattr(jaccard, "BUCKET_PART", 1)
+    assert {(r.doc_id, r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()} == whole
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100, 101), (103, 102), (101, 103)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
+    assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 104)}
+
+
+def test_quality_rules(docs, rows):
+    got = perplexity.quality_rules(docs, queries.BYTE_BPE, block_bytes=2000).collect()
+    want = Counter()
+    for i, t, _ in rows:
+        t = t or ""
+        w = re.findall(WORDS, t)
+        windows = Counter(tuple(w[k : k + 8]) for k in range(len(w) - 7))
+        hit = {k + d for k in range(len(w) - 7) if windows[tuple(w[k : k + 8])] > 1 for d in range(8)}
+        lines = [x for x in t.split("\n") if re.search(WORDS, x)]
+        want[i, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(hit), len(w) < 20 or 100 * len(hit) > 30 * len(w)] += 1
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    assert Counter(tuple(r[n] for n in names) for r in got) == want
+    assert not any(r.kept for r in got if r.base_failed) and any(r.kept for r in got)
+    # The model by plain counting.
+    tk = tokens.encoding(tokens.read_ranks(queries.BYTE_BPE))
+    counts = defaultdict(Counter)
+    for _, t, lang in rows:
+        ids = tk.encode_ordinary(t or "")
+        counts[lang].update(zip([-1, *ids], ids))
+    for lang, own in counts.items():
+        n = [sum(c == k for c in own.values()) for k in (1, 2, 3, 4)]
+        cut = perplexity._discounts(n)
+        follow, total, spare = Counter(b for _, b in own), Counter(), Counter()
+        for (a, _), c in own.items():
+            total[a] += c
+            spare[a] += cut[min(c, 3) - 1]
+        for r in got:
+            same = [t for i, t, x in rows if i == r.doc_id and x == lang and len(re.findall(WORDS, t or "")) == r.n_words]
+            if r.lang == lang and len(set(same)) == 1 and r.n_tokens:
+                ids = tk.encode_ordinary(same[0])
+                logs = [np.log((own[p] - cut[min(own[p], 3) - 1]) / total[p[0]] + spare[p[0]] / total[p[0]] * follow[p[1]] / len(own)) for p in zip([-1, *ids], ids)]
+                assert r.log_perplexity == pytest.approx(-np.mean(logs), abs=1e-5)
+
+
+def test_token_counts_follow_edits(spark, docs, rows):
+    tk = tokens.encoding(tokens.read_ranks(queries.BYTE_BPE))
+    edited = token_counts.apply_edits(token_counts.build_trees(queries.with_edits(docs), queries.BYTE_BPE), queries.BYTE_BPE)
+    assert edited.count() == len(rows)
+    for r in edited.collect():
+        assert r.n_tokens == len(tk.encode_ordinary(r.text)) and sum(r.leaf_chars) == len(r.text) and sum(r.leaf_tokens) == r.n_tokens
+    counter, rng = token_counts.Counter(tokens.read_ranks(queries.BYTE_BPE)), random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["'re ", "a", "  ", "\n", " \n ", "é1", "'", "r", "e", "!", "12", " x"]) for _ in range(rng.randint(0, 300)))
+        tree = token_counts.CountTree(text, counter)
+        for _ in range(5):
+            at, cut, put = rng.randint(0, len(text) + 3), rng.randint(0, 9), "".join(rng.choice(["'", "re", "  ", "\n", "a", "1"]) for _ in range(rng.randint(0, 200)))
+            text = text[:at] + put + text[at + cut :]
+            tree.edit(at, cut, put)
+            assert tree.text == text and tree.n_tokens == len(tk.encode_ordinary(text))
+    long = token_counts.CountTree("some words here " * 20_000, counter)
+    long.encoded = 0
+    long.edit(160_000, 3, "changed")
+    assert long.encoded < 200
+    odd = [(1, "abc", [(None, None, None), None, (99, 5, "x")]), (2, "abc", None), (3, None, [(0, 0, "new")])]
+    odd = spark.createDataFrame(odd, "doc_id bigint, text string, edits array<struct<at:bigint,cut:bigint,put:string>>")
+    got = token_counts.apply_edits(token_counts.build_trees(odd, queries.BYTE_BPE), queries.BYTE_BPE).collect()
+    assert {r.doc_id: (r.text, r.n_edits) for r in got} == {1: ("abcx", 2), 2: ("abc", 0), 3: ("new", 1)}
+
+
+def _plain_spans(text):
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            doubled = sum(int(c) for k, c in enumerate(reversed(digits)) if k % 2 == 0) + sum(sum(map(int, str(2 * int(c)))) for k, c in enumerate(reversed(digits)) if k % 2)
+            if {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else 0, "card": 13 <= len(digits) <= 19 and doubled % 10 == 0, "phone": 9 <= len(digits) <= 15}[kind]:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_pii(spark, docs):
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice("ab@.@.1234567890 -+()._%x,1.2.é") for _ in range(rng.randint(0, 50)))
+        assert [s[:3] for s in pii.find_spans(text) if s[0] in pii.BASE_KINDS] == _plain_spans(text)
+    text = "card 4111 1111 1111 1111, iban DE89 3704 0044 0532 0130 00 AND ssn 123-45-6789, 222-33-4444x, DE88 3704 0044 0532 0130 00"
+    kinds = [s[0] for s in pii.find_spans(text)]
+    assert kinds[0] == "card" and Counter(kinds)["iban"] == 1 and "ssn" in kinds
+    assert pii.mask("mail a@b.example now") == "mail <EMAIL> now" and pii.mask("") == ""
+    assert [r.spans for r in pii.find_pii(docs.filter("text is null")).collect()] == [[], []]
+    assert pii.redact(docs).columns == docs.columns and pii.redact(docs).filter("text is null").count() == 2
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(1)
+    rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(300)]
+    rows += [(300 + k, rows[k][1]) for k in range(0, 60, 20)] + [(900, None), (901, [1.0, None]), (902, [float("nan")] * 8), (None, [1.0] * 8), (1000, [1.0, 2.0]), (1001, [0.5, -1.0])]
+    frame_ = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<float>, score string")
+    whole = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int).tolist()) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    want = set()
+    for q, x in whole:
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), j) for j, y in whole if j != q and len(x) == len(y))[:10]
+            want |= {(q, k + 1, j, -s) for k, (s, j) in enumerate(best)}
+    assert {tuple(r) for r in topk.exact_top_k(frame_, F.col("vec_id") % 20 == 0).collect()} == want
+
+
+def test_toxicity(spark):
+    rng = random.Random(5)
+    clean = [f"c{k}" for k in range(300)]
+    rows, labels = [], []
+    for k in range(600):
+        words = rng.choices(clean, k=40)
+        if k % 4 == 0:
+            words[rng.randrange(40)] = rng.choice(["Badword,", "badword"])
+        rows.append((k, " ".join(words), "en"))
+        labels.append((k, 1, int(k % 4 == 0)))
+    rows += [(700, None, "en"), (None, "", "en"), (None, "badword", "en"), rows[0]]
+    labels += [(None, 1, 1), (1, 1, None), (9999, 0, 1)]
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = toxicity.score_toxicity(frame(spark, rows), table).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
+    held = [(r.predicted, r.doc_id % 4 == 0) for r in got if r.held_out and r.doc_id is not None and r.doc_id < 600]
+    assert sum(p == t for p, t in held) >= 0.97 * len(held)
+    kept = toxicity.reject_toxic(frame(spark, rows), table)
+    assert kept.columns == SCHEMA.replace(" bigint", "").replace(" string", "").split(", ")
+    assert kept.count() == sum(1 - r.predicted for r in got)
+    unlabelled = toxicity.score_toxicity(frame(spark, rows[:3]), table.limit(0)).collect()
+    assert [r.score for r in unlabelled] == [0.5] * 3
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    for found in (
+        bpe.encode_digests(none, queries.MULTI_BPE),
+        substrings.drop_repeated_passages(none),
+        packing.pack(none, queries.BYTE_BPE),
+        line_dedup.without_repeated_lines(none),
+        jaccard.near_duplicates(none),
+        jaccard.one_per_class(none),
+        perplexity.quality_rules(none, queries.BYTE_BPE),
+        token_counts.apply_edits(token_counts.build_trees(queries.with_edits(none), queries.BYTE_BPE), queries.BYTE_BPE),
+        toxicity.score_toxicity(none, labels),
+        pii.find_pii(none),
+        topk.exact_top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F.col("vec_id") % 100 == 0),
+    ):
+        assert found.collect() == []
