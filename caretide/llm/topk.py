@@ -109,7 +109,7 @@ def exact_top_k(embeddings: DataFrame, is_query, k: int = 10, scale: int = SCALE
     """
     vectors = integer_vectors(embeddings, scale)
     counts = vectors.agg(F.count("*").alias("rows"), F.count_if(is_query).alias("queries")).first()
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").take(SAMPLE)
     by_length: dict[int, list] = {}
     for row in sample:
         by_length.setdefault(len(row["v"]), []).append(row["v"])

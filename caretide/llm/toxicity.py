@@ -107,10 +107,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimension
         release_memory()
         return pa.table({"at": pa.array([squeeze(at.astype("<u4"))], pa.binary()), "weights": pa.array([squeeze(weights.astype("<f4"))], pa.binary()), "bias": pa.array([bias], pa.float64())})
 
-    found = training_rows(docs, labels, rows, dimensions).groupBy(F.lit("all")).applyInArrow(learn, "at binary, weights binary, bias double").collect()
+    found = training_rows(docs, labels, rows, dimensions).groupBy(F.lit("all")).applyInArrow(learn, "at binary, weights binary, bias double").first()
     if not found:
         return np.empty(0, np.int64), np.empty(0), 0.0
-    return unsqueeze(bytes(found[0]["at"]), "<u4").astype(np.int64), unsqueeze(bytes(found[0]["weights"]), "<f4"), found[0]["bias"]
+    return unsqueeze(bytes(found["at"]), "<u4").astype(np.int64), unsqueeze(bytes(found["weights"]), "<f4"), found["bias"]
 
 
 def held_out(doc_id):
