@@ -6,7 +6,7 @@ import math
 
 _TINY = 1e-300
 _EPS = 1e-15
-_STEPS = 10_000
+_STEPS = 100_000
 
 
 def normal_sf(z: float) -> float:
@@ -70,17 +70,37 @@ def gamma_sf(a: float, x: float) -> float:
     return math.exp(log_front) / _lentz(x + 1.0 - a, terms)
 
 
+#: Degrees of freedom from which asymptotic forms are closer than sums of large logarithms.
+_LARGE = 1e6
+
+
 def t_two_sided(t: float, df: float) -> float:
+    if df > _LARGE:
+        return 2.0 * normal_sf(abs(t) * (1.0 - 0.25 / df) / math.sqrt(1.0 + t * t / (2.0 * df)))
     return beta_inc(df / 2.0, 0.5, df / (df + t * t))
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
     if f <= 0.0:
         return 1.0
+    if d1 > _LARGE and d2 > _LARGE:
+        return _cube_root_sf(f, d1, d2)
+    if d2 > _LARGE:
+        return chi2_sf(d1 * f, d1)
+    if d1 > _LARGE:
+        return 1.0 - chi2_sf(d2 / f, d2)
     return beta_inc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
+def _cube_root_sf(f: float, d1: float, d2: float) -> float:
+    """Wilson and Hilferty's normal form for a ratio of two mean squares."""
+    a, b, r = 2.0 / (9.0 * d1), 2.0 / (9.0 * d2), f ** (1.0 / 3.0)
+    return normal_sf(((1.0 - b) * r - (1.0 - a)) / math.sqrt(b * r * r + a))
+
+
 def chi2_sf(x: float, df: float) -> float:
+    if df > _LARGE:
+        return _cube_root_sf(max(x, 0.0) / df, df, math.inf)
     return gamma_sf(df / 2.0, x / 2.0)
 
 

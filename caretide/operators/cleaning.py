@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,7 @@ from caretide.functions.columns import finite
 from caretide.functions.dates import parse_date
 from caretide.functions.text import strip
 from caretide.operators.quantiles import exact_quantiles
-from caretide.operators.schema import col, need, numeric_columns, string_columns
+from caretide.operators.schema import col, float_columns, need, numeric_columns, string_columns
 
 
 def drop_blank_text(df: DataFrame, columns: Sequence[str] = ("text", "content")) -> DataFrame:
@@ -87,17 +88,57 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
     return {n: found.get(n) for n in columns}
 
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _null_counts(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """Nulls per column, NaN included, in one pass."""
+    if not names:
+        return {}
+    floats = set(float_columns(df))
+    null = {n: col(n).isNull() | F.isnan(col(n)) if n in floats else col(n).isNull() for n in names}
+    found = df.agg(*[F.count_if(null[n]).alias(f"c{i}") for i, n in enumerate(names)]).first()
+    return dict(zip(names, found, strict=True))
+
+
+def _beyond_double(df: DataFrame, names: Sequence[str]) -> set[str]:
+    """Integer columns with values that DOUBLE cannot hold exactly."""
+    if not names:
+        return set()
+    bound = F.lit(1 << 53)
+    big = [F.coalesce(F.max(~col(n).cast("bigint").between(-bound, bound)), F.lit(False)).alias(f"c{i}") for i, n in enumerate(names)]
+    return {n for n, hit in zip(names, df.agg(*big).first(), strict=True) if hit}
+
+
 def impute(df: DataFrame, unknown: str = "Unknown") -> DataFrame:
     """Numeric nulls become the median, categorical nulls the mode.
 
-    Numeric columns come back as DOUBLE (a median may be x.5). An all-null numeric
-    column stays null; an all-null text column becomes ``unknown``.
+    Only columns that hold nulls are looked at further and changed; one pass finds
+    them. An integer column with nulls keeps its type unless its median is x.5, then
+    it becomes DOUBLE, or, with values that DOUBLE cannot hold, keeps its type and
+    takes the integer below. An all-null numeric column stays null; an all-null text
+    column becomes ``unknown``.
     """
-    numbers, texts = numeric_columns(df), string_columns(df)
-    medians = exact_quantiles(df, {n: [0.5] for n in numbers})
+    every = [*numeric_columns(df), *string_columns(df)]
+    gaps = _null_counts(df, every)
+    numbers, texts = ([n for n in names if gaps[n]] for names in (numeric_columns(df), string_columns(df)))
+    medians = exact_quantiles(df, {n: [0.5] for n in numbers}) if numbers else {}
     common = modes(df, texts)
     kinds = dict(df.dtypes)
-    changed = {n: F.coalesce(finite(col(n)), F.lit(medians[n][0.5]).cast("double")) for n in numbers}
+    wide = _beyond_double(df, [n for n in numbers if kinds[n] in _INTEGERS])
+    changed = {}
+    for n in numbers:
+        middle = medians[n][0.5]
+        if middle is None:
+            continue
+        if kinds[n] in ("double", "float"):
+            changed[n] = F.coalesce(finite(col(n)), F.lit(middle).cast("double")).cast(kinds[n])
+        elif kinds[n] in _INTEGERS and middle != math.floor(middle) and n not in wide:
+            changed[n] = F.coalesce(col(n).cast("double"), F.lit(middle))
+        elif kinds[n] in _INTEGERS:
+            changed[n] = F.coalesce(col(n), F.lit(math.floor(middle)).cast(kinds[n]))
+        else:
+            changed[n] = F.coalesce(col(n), F.lit(middle).cast(kinds[n]))
     for n in texts:
         if kinds[n] == "boolean" and common[n] is None:
             continue
@@ -145,20 +186,27 @@ def winsorize_upper(
     """Clip numeric columns above at their ``p`` quantile unless they are constant.
 
     By default every numeric column is clipped, flags included: a 0/1 flag that is
-    set in less than ``1 - p`` of the rows becomes 0 everywhere. Clipped columns
-    come back as DOUBLE, nulls stay null.
+    set in less than ``1 - p`` of the rows becomes 0 everywhere. Nulls stay null. A
+    column that nothing is clipped from stays as it is; an integer column keeps its
+    type unless its cut is no integer, then it becomes DOUBLE, or, with values that
+    DOUBLE cannot hold, is clipped at the integer below.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if not names:
         return df
     bounds = exact_quantiles(df, {n: [0.0, p, 1.0] for n in names})
+    kinds = dict(df.dtypes)
+    clipped = [n for n in names if bounds[n][0.0] is not None and bounds[n][p] < bounds[n][1.0]]
+    wide = _beyond_double(df, [n for n in clipped if kinds[n] in _INTEGERS])
     changed = {}
-    for n in names:
-        low, cut, high = (bounds[n][x] for x in (0.0, p, 1.0))
-        value = finite(col(n))
-        varies = low is not None and low < high
-        changed[n] = F.when(value > F.lit(cut), F.lit(cut)).otherwise(value) if varies else value
-    return df.withColumns(changed)
+    for n in clipped:
+        cut = bounds[n][p]
+        if kinds[n] in _INTEGERS and (cut == math.floor(cut) or n in wide):
+            limit, value = F.lit(math.floor(cut)).cast(kinds[n]), col(n)
+        else:
+            limit, value = F.lit(cut).cast("double"), finite(col(n))
+        changed[n] = F.when(value > limit, limit).otherwise(value)
+    return df.withColumns(changed) if changed else df
 
 
 def fences(q1: float | None, q3: float | None) -> tuple[float | None, float | None]:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -16,8 +14,6 @@ from caretide.operators.quality import agg_to_rows
 from caretide.operators.quantiles import exact_quantiles
 from caretide.operators.schema import col, numeric_columns
 
-WIDE = 40
-_PAIRS_PER_JOB = 120
 _PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
@@ -111,7 +107,7 @@ def _shape(value: Column) -> dict[str, Column]:
     A constant column gives 0; fewer than 3 (4) values give null.
     """
     n = F.count(value).cast("double")
-    flat = F.var_pop(value) == 0
+    flat = F.min(value) == F.max(value)  # rounding may leave a deviation
     g1 = F.when(flat, 0.0).otherwise(F.skewness(value))
     g2 = F.when(flat, 0.0).otherwise(F.kurtosis(value))
     skew = g1 * F.sqrt(n * (n - 1)) / (n - 2)
@@ -144,39 +140,23 @@ def pearson(a: Column, b: Column) -> Column:
     """Pearson r over rows where both values are present; null if one is constant."""
     both = a.isNotNull() & b.isNotNull()
     x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    # Tested on the values: rounding may leave a constant a deviation.
+    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(var1, var2, correlation)`` for every pair of numeric columns.
 
-    Up to ``WIDE`` columns share one aggregation in bounded batches; a wider table
-    is read once, each task adding up its cross products as matrices. Either way
-    only partial sums are shuffled.
+    The table is read once, each task adding up its cross products as matrices, so
+    only partial sums are shuffled, whatever the number of columns. A pair with a
+    constant column has no correlation (null).
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, correlation double")
-    return _by_matrix(view, names) if len(names) > WIDE else _by_pairs(view, names)
-
-
-def _by_pairs(view: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = list(combinations(range(len(names)), 2))
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_JOB):
-        batch = pairs[start : start + _PAIRS_PER_JOB]
-        one = view.agg(*[pearson(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{i}_{j}") for i, j in batch])
-        cells = [
-            F.struct(
-                F.lit(names[i]).alias("var1"),
-                F.lit(names[j]).alias("var2"),
-                F.col(f"r{i}_{j}").alias("correlation"),
-            )
-            for i, j in batch
-        ]
-        parts.append(one.select(F.inline(F.array(*cells))))
-    return reduce(DataFrame.unionByName, parts)
+    return _by_matrix(view, names)
 
 
 def _by_matrix(view: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -208,8 +188,9 @@ def _by_matrix(view: DataFrame, names: Sequence[str]) -> DataFrame:
     )
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
     above = n * F.col("sxy") - sx * sy
-    spread_x = F.greatest(n * F.col("sxx") - sx * sx, F.lit(0.0))
-    spread_y = F.greatest(n * F.col("syy") - sy * sy, F.lit(0.0))
+    # What rounding leaves of a constant is no deviation.
+    spread_x = F.when(n * F.col("sxx") - sx * sx > n * F.col("sxx") * 1e-12, n * F.col("sxx") - sx * sx)
+    spread_y = F.when(n * F.col("syy") - sy * sy > n * F.col("syy") * 1e-12, n * F.col("syy") - sy * sy)
     labels = F.array(*[F.lit(c) for c in names])
     return total.select(
         F.get(labels, F.col("i")).alias("var1"),

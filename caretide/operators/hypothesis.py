@@ -210,6 +210,8 @@ def anova_oneway(df: DataFrame, value: str, group: str, alpha: float = ALPHA) ->
         "anova",
     )
     k, n, total = stats.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.col("n") * F.col("m"))).first()
+    if not n:
+        return _one(df.sparkSession, statistic=math.nan, dof_between=-1, dof_within=0, **_verdict(math.nan, alpha))
     gap = F.col("m") - F.lit(total / n)
     between, within = stats.agg(
         F.sum(F.col("n") * gap * gap), F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0)))
@@ -301,14 +303,18 @@ def correlation_test(
 def normality(df: DataFrame, column: str, alpha: float = ALPHA) -> DataFrame:
     """Jarque-Bera and Kolmogorov-Smirnov against the normal of same mean and deviation.
 
-    ``statistic``, ``p_value`` and ``is_normal`` are those of Jarque-Bera.
+    ``statistic``, ``p_value`` and ``is_normal`` are those of Jarque-Bera; without two
+    different values they are null.
     """
     x = finite(col(column))
-    n, skew, kurt, mean, sd = df.agg(
-        F.count(x), F.skewness(x), F.kurtosis(x), F.avg(x), F.stddev_samp(x)
+    n, skew, kurt, mean, sd, varies = df.agg(
+        F.count(x), F.skewness(x), F.kurtosis(x), F.avg(x), F.stddev_samp(x), F.min(x) < F.max(x)
     ).first()
-    if not n or skew is None or not sd:
-        raise ValueError(f"{column} has no variation")
+    if not varies:
+        return df.sparkSession.createDataFrame(
+            [("jarque-bera", None, None, None, None, None)],
+            "method string, statistic double, p_value double, is_normal boolean, ks_statistic double, ks_p_value double",
+        )
     jb = n / 6.0 * (skew * skew + kurt * kurt / 4.0)
     p = tails.chi2_sf(jb, 2)
     values = df.select(x.alias("x")).filter("x is not null")

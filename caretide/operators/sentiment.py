@@ -81,17 +81,20 @@ def score_sentiment(
 
     A text without lexicon words scores 0 and is neutral.
     """
-    scores = sentiment_scores(df, text, id_column, lexicon, **how).select(
-        id_column, F.col("polarity").alias("__p"), F.col("subjectivity").alias("__s")
+    key = F.concat_ws(" ", F.xxhash64(col(text)), F.crc32(col(text).cast("binary")))
+    texts = df.select(col(text).alias("__text"), key.alias("__key")).filter("__text is not null").dropDuplicates(["__key"])
+    scores = sentiment_scores(texts, "__text", "__key", lexicon, **how).select(
+        "__key", F.col("polarity").alias("__p"), F.col("subjectivity").alias("__s")
     )
     polarity = F.coalesce("__p", F.lit(0.0))
+    # The score belongs to the text: rows that share an id, or have none, keep their own.
     added = {
         f"{prefix}polarity": polarity,
         f"{prefix}subjectivity": F.coalesce("__s", F.lit(0.0)),
         f"{prefix}label": sentiment_label(polarity),
     }
-    return df.join(scores, id_column, "left").select(
-        *[df[q(c)] for c in df.columns if c not in added], *[v.alias(n) for n, v in added.items()]
+    return df.withColumn("__key", key).join(scores, "__key", "left").select(
+        *[col(c) for c in df.columns if c not in added], *[v.alias(n) for n, v in added.items()]
     )
 
 

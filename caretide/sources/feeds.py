@@ -48,21 +48,26 @@ def shape_posts(
     lexicon: DataFrame,
     as_of: str,
     lookback_days: int = 30,
-    limit: int = 500,
+    limit: int | None = None,
+    communities: Sequence[str] | None = None,
     symptoms: Sequence[str] = tx.SYMPTOMS,
     health_words: Sequence[str] = tx.HEALTH_WORDS,
     max_chars: int = 1000,
 ) -> DataFrame:
     """Raw forum posts to feed records.
 
-    The newest ``limit`` posts per community are looked at, then those older than
-    the lookback dropped. Scores, symptoms and flags come from the whole cleaned
+    Posts older than the lookback are dropped. ``limit`` looks at the newest posts per
+    community only, as a fetch does; ``communities`` keeps the named ones. Scores, symptoms and flags come from the whole cleaned
     text; only the stored copies are cut to ``max_chars``.
     """
     dated = raw.withColumn("date", epoch_to_timestamp("created_utc"))
-    recent = lookback_filter(newest_per_group(dated, "subreddit", limit, id_column="id"), as_of, lookback_days)
+    if communities is not None:
+        dated = dated.filter(F.col("subreddit").isin(*communities))
+    if limit is not None:
+        dated = newest_per_group(dated, "subreddit", limit, id_column="id")
+    recent = lookback_filter(dated, as_of, lookback_days)
     whole = recent.withColumn("__clean", tx.clean_post_text(F.concat_ws(" ", "title", "selftext")))
-    # Both sides of the sentiment join read this; the limits above made it small.
+    # Both sides of the sentiment join read this.
     scored = score_sentiment(materialize(whole, "posts"), "__clean", "id", lexicon)
     return scored.select(
         "date",
@@ -91,21 +96,22 @@ def shape_short_posts(
     lookback_days: int = 7,
     hashtags: Sequence[str] = HASHTAGS,
     phrases: Sequence[str] = PHRASES,
-    limit: int = 500,
+    limit: int | None = None,
     words: Sequence[str] = tx.SHORT_POST_KEYWORDS,
     max_chars: int = 280,
 ) -> DataFrame:
-    """Raw short posts to feed records: search, limit per term, one row per post.
+    """Raw short posts to feed records: search, limit per term if given, one row per post.
 
     A post found by several terms keeps the first of them. Phrases get half the
     limit of hashtags.
     """
     recent = since_filter(raw, as_of, lookback_days)
     found = match_queries(recent, hashtags, phrases, "content")
-    kept = limit_per_query(found, limit, limit // 2, id_column="id")
-    unique = dedup_by_id(kept, "id", ["query_no", "position"])
+    if limit is not None:
+        found = limit_per_query(found, limit, limit // 2, id_column="id")
+    unique = dedup_by_id(found, "id", ["query_no", F.col("date").desc()])
     whole = unique.withColumn("__clean", tx.clean_short_text("content"))
-    # Both sides of the sentiment join read this; the limits above made it small.
+    # Both sides of the sentiment join read this.
     scored = score_sentiment(materialize(whole, "posts"), "__clean", "id", lexicon)
     return scored.select(
         "date",
@@ -141,7 +147,8 @@ def shape_news(
     fetched is kept with the error text.
     """
     cards = extract_listing(listings, as_of, base_url)
-    bodies = extract_article(articles).select("url", F.col("content").alias("__body"))
+    # A page fetched twice counts once: the smallest text, whatever the order.
+    bodies = extract_article(articles).groupBy("url").agg(F.min("content").alias("__body"))
     whole = F.concat_ws(" ", "title", "content")
     return (
         cards.join(bodies, "url", "left")

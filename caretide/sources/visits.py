@@ -35,19 +35,22 @@ def read_visits(
 
     Columns are taken by the header's names, whatever their order. Known columns
     get their contract type, overridden by ``types``; others stay text unless
-    ``infer_other`` lets Spark look at the data (one more pass). ``fmt`` may also
-    be ``parquet``, which is read as it is.
+    ``infer_other`` lets Spark look at the data (one more pass). Files whose headers
+    name other columns, or in another order, fail when they are read. ``fmt`` may also
+    be ``parquet``: known columns get their type there too.
     """
-    if fmt == "parquet":
-        return spark.read.parquet(path)
     wanted = {**VISIT_TYPES, **(types or {})}
-    raw = spark.read.option("header", True).csv(path)
-    if infer_other:
+    if fmt == "parquet":
+        raw = spark.read.parquet(path)
+    else:
+        header = spark.read.option("header", True).csv(path).schema
+        raw = spark.read.option("header", True).option("enforceSchema", False).schema(header).csv(path)
+    if infer_other and fmt != "parquet":
         seen = spark.read.option("header", True).option("inferSchema", True).csv(path)
         wanted = {**dict(seen.dtypes), **wanted}
     return raw.select(
         *[
-            col(n).try_cast(wanted[n]).alias(n) if wanted.get(n, "string") != "string" else col(n)
+            col(n).try_cast(wanted[n]).alias(n) if n in wanted and dict(raw.dtypes)[n] != wanted[n] else col(n)
             for n in raw.columns
         ]
     )

@@ -133,10 +133,15 @@ _WINSOR = ("AGE", "WAITTIME", "LOS", "IMMEDR", "LEFTBTRT", "FLATCOL")
     + " FROM v_visits, b",
 )
 def winsorize_upper(spark, sf):
-    out = cl.winsorize_upper(view(spark, sf, "v_visits"), columns=_WINSOR)
+    out = _as_double(cl.winsorize_upper(view(spark, sf, "v_visits"), columns=_WINSOR), _WINSOR)
     return rounded(out.select("visit_id", *_WINSOR), *_WINSOR)
 
 
+def _as_double(df, names):
+    """Integer columns keep their type where they can; SQL has them all as DOUBLE."""
+    return df.withColumns({n: F.col(n).cast("double") for n in names})
+
+
 def _duck_mode(c: str, source: str) -> str:
     return (
         f"(SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c}"
@@ -155,24 +160,24 @@ def _duck_impute(source: str) -> str:
 
 @query(
     "impute",
-    with_views("v_visits") + f" SELECT visit_id, {_duck_impute('v_visits')} FROM v_visits",
+    with_views("v_visits")
+    + f" SELECT visit_id, CAST(visit_id + 9007199254740993 AS BIGINT) AS wide_id, {_duck_impute('v_visits')} FROM v_visits",
 )
 def impute(spark, sf):
     visits = view(spark, sf, "v_visits")
-    out = cl.impute(visits.select(*NUMBERS, *TEXTS, F.col("visit_id").cast("string").alias("visit_id")))
-    return out.withColumn("visit_id", F.col("visit_id").cast("bigint"))
+    wide = (F.col("visit_id") + 9007199254740993).alias("wide_id")
+    out = cl.impute(visits.select("visit_id", wide, *NUMBERS, *TEXTS))
+    return _as_double(out, NUMBERS)
 
 
 @query(
     "drop_exact_duplicates",
     with_views("v_extract")
-    + " SELECT DISTINCT VDATE, AGE, SEX, ARRTIME, WAITTIME, IMMEDR, PAYTYPER, RFV1 FROM v_extract",
+    + " SELECT DISTINCT VDATE, AGE, SEX, ARRTIME, WAITTIME, LOS, IMMEDR, PAYTYPER, DIAG1, RFV1, LEFTBTRT, FLATCOL FROM v_extract",
 )
 def drop_exact_duplicates(spark, sf):
     extract = view(spark, sf, "v_extract")
-    return cl.drop_exact_duplicates(
-        extract.select("VDATE", "AGE", "SEX", "ARRTIME", "WAITTIME", "IMMEDR", "PAYTYPER", "RFV1")
-    )
+    return cl.drop_exact_duplicates(extract)
 
 
 @query(
@@ -210,7 +215,7 @@ _CLEAN_SQL = (
 
 @query("clean_visits", _CLEAN_SQL)
 def clean_visits(spark, sf):
-    out = clean_visits_plan(view(spark, sf, "v_extract"))
+    out = _as_double(clean_visits_plan(view(spark, sf, "v_extract")), _CLEAN_NUMBERS)
     return rounded(out, *_CLEAN_NUMBERS).withColumn("visit_date", text_date("visit_date"))
 
 

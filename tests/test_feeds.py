@@ -106,6 +106,14 @@ def test_sentiment(spark, lexicon):
     assert got[3] == got[4] == got[6] == (0.0, 0.0, "neutral") and got[5][0] == 0.1
 
 
+def test_sentiment_belongs_to_the_text(spark, lexicon):
+    """Rows that share an id or have none keep the score of their own text."""
+    term = lexicon.filter("polarity > 0").first()["term"]
+    df = spark.createDataFrame([(1, term), (1, "nothing"), (None, term), (2, None)], "id int, t string")
+    got = [(r["id"], r["t"], r["sentiment_polarity"] > 0) for r in sn.score_sentiment(df, "t", "id", lexicon).collect()]
+    assert sorted(got, key=str) == sorted([(1, term, True), (1, "nothing", False), (None, term, True), (2, None, False)], key=str)
+
+
 def test_sentiment_negation_and_intensity(spark, lexicon):
     df = spark.createDataFrame([(1, "not good"), (2, "very good"), (3, "good not")], "id int, t string")
     out = sn.sentiment_scores(df, "t", "id", lexicon, negations=["not"], intensifiers={"very": 2.0})

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from caretide.functions import tails
+from caretide.operators import explore as ex
 from caretide.operators import hypothesis as hy
 from caretide.operators.kendall import _merge_score, kendall_counts
 
@@ -166,8 +168,26 @@ def test_normality(spark, small):
     normal, skewed = (hy.normality(df, c).first() for c in ("a", "b"))
     assert normal["is_normal"] and normal["ks_p_value"] > 0.05
     assert not skewed["is_normal"] and skewed["ks_p_value"] < 0.05
-    with pytest.raises(ValueError, match="variation"):
-        hy.normality(df.withColumn("c", F.lit(1.0)), "c")
+    for constant in (7.0, 0.1):
+        flat = hy.normality(df.withColumn("c", F.lit(constant)), "c").first()
+        assert flat["statistic"] is None and flat["is_normal"] is None
+
+
+def test_constants_and_no_rows(spark):
+    df = spark.createDataFrame([(0.1, float(k), "g") for k in range(31)], "c double, v double, g string")
+    assert hy.corr_pearson(df, "c", "v").first()["correlation"] is None or math.isnan(hy.corr_pearson(df, "c", "v").first()["correlation"])
+    shape = {(r["column"], r["metric"]): r["value"] for r in ex.distribution_stats(df, ["c"]).collect()}
+    assert shape["c", "skewness"] == 0 and shape["c", "kurtosis"] == 0
+    none = hy.anova_oneway(df.limit(0), "v", "g").first()
+    assert none["statistic"] is None or math.isnan(none["statistic"])
+
+
+@pytest.mark.parametrize("df", [1e6, 1e7, 1e9, 1e13])
+def test_tails_at_size(df):
+    assert tails.t_two_sided(2.0, df) == pytest.approx(0.04550026, rel=1e-5)
+    assert tails.f_sf(1.0, 5, df) == pytest.approx(0.4158802, rel=1e-5)
+    assert tails.chi2_sf(df, df) == pytest.approx(0.5 - 1 / (3 * math.sqrt(math.pi * df)), abs=1e-6)
+    assert tails.f_sf(1.0, df, df) == pytest.approx(0.5, abs=1e-6)
 
 
 def test_two_by_two(spark):
