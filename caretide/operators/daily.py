@@ -11,6 +11,7 @@ from caretide.operators.ranks import running_totals
 from caretide.operators.schema import col, need, numeric_columns, q
 from caretide.session import measured_side
 
+# Lags in days and name parts of feed columns.
 NEWS_LAGS = (1, 3, 5, 7)
 FEED_MARKERS = ("news", "reddit", "twitter", "sentiment")
 LIST_BYTES = 64 << 20

@@ -109,9 +109,10 @@ def exact_quantiles(
             at = p * (total[n] - 1)
             low, high = ranks[n, math.floor(at)].value, ranks[n, math.ceil(at)].value
             share = at - math.floor(at)
-            out[n][p] = (
-                low + (high - low) * share if share < 0.5 else high - (high - low) * (1.0 - share)
-            )
+            if low == high:  # infinite values too, whose difference is no number
+                out[n][p] = low
+            else:
+                out[n][p] = low + (high - low) * share if share < 0.5 else high - (high - low) * (1.0 - share)
     return out
 
 

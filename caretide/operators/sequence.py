@@ -16,6 +16,7 @@ from caretide.functions.columns import finite
 from caretide.operators.ranks import PART, one_task_each, range_parts
 from caretide.operators.schema import col, need
 
+# Lags and window lengths in rows.
 DEFAULT_LAGS = (1, 3, 7, 14)
 DEFAULT_WINDOWS = (3, 7, 14)
 _HALO = "__halo"

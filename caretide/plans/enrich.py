@@ -18,7 +18,7 @@ def enrich_visits(
     forum: DataFrame | None = None,
     short: DataFrame | None = None,
     visit_day: str = "visit_date",
-    with_lists: bool = True,
+    with_lists: bool = False,
     calendar_lags: bool = False,
     news_order: Sequence[str] = ("date", "url"),
     forum_order: Sequence[str] = ("date", "post_id"),
@@ -27,8 +27,9 @@ def enrich_visits(
 
     A feed that is absent or empty adds no column.
 
-    ``with_lists=False`` leaves out the per-day keyword and symptom lists, which
-    otherwise ride along on every visit of the day.
+    The per-day keyword and symptom lists stay beside the visits, as rows
+    (``daily.daily_list_rows``), since they grow with visits times posts;
+    ``with_lists=True`` puts them on every visit of the day all the same.
     """
     out = visits
     if dy.has_rows(news):

@@ -676,7 +676,7 @@ _FILLED_REAL = ("reddit_sentiment", "reddit_sentiment_7d", "twitter_sentiment")
     + f""", {_NEWS}, {_DAILY_NEWS}, {_LAGGED}, {_POSTS}, {_DAILY_FORUM}, {_SMOOTH}, {_DAILY_SHORT}, {_VISITS}
     SELECT visit_id, AGE, IMMEDR, RFV1, {', '.join(f'coalesce({c}, 0) AS {c}' for c in _FILLED)},
       {', '.join(f'round(coalesce({c}, 0), 6) AS {c}' for c in _FILLED_REAL)},
-      keywords, symptoms_mentioned, tweet_count, likes, retweets
+      tweet_count, likes, retweets
     FROM vd LEFT JOIN ln ON ln.day = visit_date LEFT JOIN lf ON lf.day = visit_date
     LEFT JOIN ds ON ds.day = visit_date""",
 )

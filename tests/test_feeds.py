@@ -230,7 +230,7 @@ def test_enrich_fills_only_feed_columns(spark):
     visits = spark.createDataFrame([(1, DAY.date()), (2, None), (3, dt.date(2030, 1, 1))], "id int, visit_date date")
     forum = spark.createDataFrame([(DAY, "p", 0.5, "fever")], "date timestamp, post_id string, sentiment_polarity double, symptoms_mentioned string")
     short = spark.createDataFrame([(DAY, 7, 0.2, 3, 4)], "date timestamp, tweet_id bigint, sentiment_polarity double, likes int, retweets int")
-    got = {r["id"]: r.asDict() for r in enrich_visits(visits, _news(spark), forum, short).collect()}
+    got = {r["id"]: r.asDict() for r in enrich_visits(visits, _news(spark), forum, short, with_lists=True).collect()}
     assert len(got) == 3
     assert got[1]["news_mentions"] == 2 and got[1]["reddit_posts"] == 1 and got[1]["likes"] == 3
     assert got[2]["news_mentions"] == 0 and got[2]["news_mentions_lag7"] == 0 and got[3]["reddit_sentiment"] == 0

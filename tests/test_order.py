@@ -176,3 +176,10 @@ def test_odd_column_names(spark):
     assert out.filter("`row id` = 9").first()["a.b c_lag1"] == 8.0
     assert ranks.value_ranks(df, "a.b c").count() == 30
     assert exact_quantiles(df, {"a.b c": [0.5]})["a.b c"][0.5] == 14.5
+
+
+def test_quantiles_with_infinite_values(spark):
+    from caretide.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),)], "x double")
+    assert exact_quantiles(df, {"x": [0.5, 1.0]})["x"] == {0.5: 2.0, 1.0: float("inf")}
