@@ -6,11 +6,13 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caretide.llm.common import mix, release_memory
 from caretide.session import materialize
 
 #: A line is rare if at most this share of the distinct texts has it.
@@ -87,15 +89,43 @@ def line_table(docs: DataFrame) -> DataFrame:
     return lines.select("did", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(F.trim(x))).alias("sizes"))
 
 
-def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE) -> DataFrame:
+def line_keys(hashes: np.ndarray, sizes: np.ndarray, min_chars: int = MIN_CHARS) -> np.ndarray:
+    """Distinct keys by which a text is found: one for each line that is not blank.
+
+    A line of ``min_chars`` characters is its own key. A shorter one could not be deleted alone,
+    so its key takes in the next lines, blank ones left out, until they have ``min_chars``
+    together; where the text ends before that there is none. So two texts with a common block
+    share a key of it.
+    """
+    hashes, sizes = hashes[sizes > 0].view(np.uint64), sizes[sizes > 0]
+    done = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    ends = np.searchsorted(done, done[:-1] + min_chars)
+    at = np.flatnonzero(ends < len(done))
+    keys, length = hashes[at], ends[at] - at
+    for step in range(1, int(length.max(initial=1))):
+        more = length > step
+        keys[more] = mix(keys[more], hashes[at[more] + step])
+    return np.unique(keys.view(np.int64))
+
+
+def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
     """``th, earlier``: distinct texts and the earlier texts that they are aligned with.
 
-    A line links each text to the first text that has it, never texts to each other, so the links
-    of a line that a third of all texts share are as many as those texts. Rare lines link; a text
-    without a rare shared line is linked by its rarest ones.
+    A key (:func:`line_keys`) links each text to the first text that has it, never texts to each
+    other, so the links of a line that a third of all texts share are as many as those texts.
+    Rare keys link; a text without a rare shared key is linked by its rarest ones.
     """
-    own = F.array_distinct(F.filter("hashes", lambda h, i: F.get(F.col("sizes"), i) > 0))
-    lines = texts.select("did", "th", F.explode(own).alias("line"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for hashes, sizes in zip(batch.column("hashes"), batch.column("sizes"), strict=True):
+                found.append(line_keys(np.array(hashes.values, np.int64), np.array(sizes.values, np.int64), min_chars))
+            yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("th"), pa.array(found, pa.list_(pa.int64()))], ["did", "th", "keys"])
+        release_memory()
+
+    keyed = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "did bigint, th bigint, keys array<bigint>")
+    lines = keyed.select("did", "th", F.explode("keys").alias("line"))
     shared = lines.groupBy("line").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
     linked = lines.join(shared, "line").filter(F.col("first.th") != F.col("th"))
     limit = max(texts.count() * rare_share, 2)
@@ -108,14 +138,14 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
     the numbers of the lines that the first document loses. Later copies lose all lines."""
     table = materialize(line_table(docs), "lines")
     texts = materialize(table.groupBy("th").agg(F.min("did").alias("did"), F.count_distinct("did").alias("copies"), F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")), "texts")
-    pairs = overlapping(texts, rare_share)
+    pairs = overlapping(texts, rare_share, min_chars)
     later = texts.select("th", "hashes", "sizes")
     earlier = texts.select(F.col("th").alias("earlier"), F.col("hashes").alias("earlier_hashes"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("hashes", "earlier_hashes", "sizes")]
-            found = [common_blocks(a, b, s, min_chars) for a, b, s in zip(*columns, strict=True)]
+            columns = [batch.column(c) for c in ("hashes", "earlier_hashes", "sizes")]
+            found = [common_blocks(*(x.as_py() for x in row), min_chars) for row in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("th"), pa.array(found, pa.list_(pa.int32()))], ["th", "lines"])
 
     aligned = pairs.join(later, "th").join(earlier, "earlier").select("th", "hashes", "earlier_hashes", "sizes").mapInArrow(align, "th bigint, lines array<int>")
@@ -128,9 +158,9 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
 def without_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with ``text`` less repeated lines, and ``n_lines, n_removed`` beside it.
 
-    Earlier and later go by ``doc_id``, then by text hash. Documents with shared rare lines are
-    found through the first document that has the line, aligned by patience diff on line hashes,
-    and aligned blocks (runs adjacent in both) of at least ``min_chars`` characters are deleted
+    Earlier and later go by ``doc_id``, then by text hash. Documents with shared rare lines (short
+    ones count together with those after them) are found through the first document that has
+    them, aligned by patience diff on line hashes, and aligned blocks (runs adjacent in both) of at least ``min_chars`` characters are deleted
     from the later one. Alignment is on the input texts. A later exact copy of a text of that
     length loses all lines.
 

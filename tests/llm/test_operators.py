@@ -144,6 +144,30 @@ def test_line_dedup(docs, rows):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(text) - set(copies[1:]) | {None}
 
 
+def test_line_dedup_against_all_pairs(spark):
+    """Blocks of short lines go too, whichever earlier document has single lines of theirs."""
+    rng, rows = random.Random(8), []
+    passages = [[f"p{b} {k} short" for k in range(rng.randint(2, 9))] for b in range(12)]
+    for k in range(60):
+        lines = [f"own {k} {j}" for j in range(rng.randint(0, 6))]
+        for passage in rng.sample(passages, 1):
+            lo = rng.randrange(len(passage))
+            at = rng.randint(0, len(lines))
+            lines[at:at] = ["", *passage[lo:]] if k % 3 else passage[lo:]
+        rows.append((k, "\n".join(lines), "en"))
+    lists = [t.split("\n") for _, t, _ in rows]
+    want = {}
+    for i, a in enumerate(lists):
+        gone = set()
+        for b in lists[:i]:
+            if a != b:
+                gone |= set(line_dedup.common_blocks(a, b, [len(x.strip(" ")) for x in a], 40))
+        long = sum(len(x.strip(" ")) for x in a) >= 40
+        want[i] = "" if long and a in lists[:i] else "\n".join(x for k, x in enumerate(a) if k not in gone)
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(frame(spark, rows), rare_share=1.0).collect()}
+    assert got == want and sum(len(t) for t in want.values()) < sum(len(t) for _, t, _ in rows)
+
+
 def test_patience_matches_common_lines():
     rng = random.Random(1)
     for _ in range(200):
