@@ -89,23 +89,31 @@ def line_table(docs: DataFrame) -> DataFrame:
     return lines.select("did", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(F.trim(x))).alias("sizes"))
 
 
-def line_keys(hashes: np.ndarray, sizes: np.ndarray, min_chars: int = MIN_CHARS) -> np.ndarray:
-    """Distinct keys by which a text is found: one for each line that is not blank.
+def line_keys(hashes: pa.ListArray, sizes: pa.ListArray, min_chars: int = MIN_CHARS) -> pa.ListArray:
+    """Distinct keys by which each text is found: one for each line that is not blank.
 
     A line of ``min_chars`` characters is its own key. A shorter one could not be deleted alone,
     so its key takes in the next lines, blank ones left out, until they have ``min_chars``
     together; where the text ends before that there is none. So two texts with a common block
     share a key of it.
     """
-    hashes, sizes = hashes[sizes > 0].view(np.uint64), sizes[sizes > 0]
-    done = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    counts = sizes.value_lengths().to_numpy(zero_copy_only=False)
+    lines, chars = (np.asarray(x.flatten().to_numpy(zero_copy_only=False), np.int64) for x in (hashes, sizes))
+    doc = np.repeat(np.arange(len(counts)), counts)[chars > 0]
+    lines, chars = lines[chars > 0].view(np.uint64), chars[chars > 0]
+    done = np.concatenate([[0], np.cumsum(chars)])
     ends = np.searchsorted(done, done[:-1] + min_chars)
-    at = np.flatnonzero(ends < len(done))
-    keys, length = hashes[at], ends[at] - at
+    at = np.flatnonzero(ends <= np.searchsorted(doc, np.arange(len(counts)), side="right")[doc])
+    keys, length, doc = lines[at], ends[at] - at, doc[at]
     for step in range(1, int(length.max(initial=1))):
-        more = length > step
-        keys[more] = mix(keys[more], hashes[at[more] + step])
-    return np.unique(keys.view(np.int64))
+        more = np.flatnonzero(length > step)
+        keys[more] = mix(keys[more], lines[at[more] + step])
+    order = np.lexsort((keys, doc))
+    keys, doc = keys[order].view(np.int64), doc[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=len(counts)))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[new], pa.int64()))
 
 
 def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -118,10 +126,10 @@ def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for hashes, sizes in zip(batch.column("hashes"), batch.column("sizes"), strict=True):
-                found.append(line_keys(np.array(hashes.values, np.int64), np.array(sizes.values, np.int64), min_chars))
-            yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("th"), pa.array(found, pa.list_(pa.int64()))], ["did", "th", "keys"])
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                keys = line_keys(part.column("hashes"), part.column("sizes"), min_chars)
+                yield pa.RecordBatch.from_arrays([part.column("did"), part.column("th"), keys], ["did", "th", "keys"])
         release_memory()
 
     keyed = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "did bigint, th bigint, keys array<bigint>")
