@@ -135,7 +135,8 @@ def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int
     keyed = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "did bigint, th bigint, keys array<bigint>")
     lines = keyed.select("did", "th", F.explode("keys").alias("line"))
     shared = lines.groupBy("line").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
-    linked = lines.join(shared, "line").filter(F.col("first.th") != F.col("th"))
+    # Stored, so that the join reads plain exchanges, whose hot partitions Spark splits.
+    linked = lines.join(materialize(shared, "shared"), "line").filter(F.col("first.th") != F.col("th"))
     limit = max(texts.count() * rare_share, 2)
     least = F.min("df").over(Window.partitionBy("th"))
     return linked.withColumn("least", least).filter((F.col("df") <= limit) | (F.col("df") == F.col("least"))).select("th", F.col("first.th").alias("earlier")).distinct()
