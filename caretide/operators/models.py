@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -52,14 +53,19 @@ def make_classifier(kind: str, rows: int | None = None, label: str = "label", **
     raise ValueError(f"unknown model type: {kind}")
 
 
-def _pipeline(kind, features, label, categoricals, rows, params) -> Pipeline:
+def _pipeline(kind, features, label, categoricals, rows, params, classes: int = 2) -> Pipeline:
     stages = []
     inputs = list(features)
     if categoricals:
         stages.append(encode_categoricals(categoricals))
         inputs += [f"{c}_index" for c in categoricals]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
-    stages.append(make_classifier(kind, rows, label, **params))
+    classifier = make_classifier(kind, rows, label, **params)
+    if classes > 2 and isinstance(classifier, GBTClassifier):
+        # Boosting is binary in Spark ML: one model per class.
+        weight = {"weightCol": params["weightCol"]} if "weightCol" in params else {}
+        classifier = OneVsRest(classifier=classifier, labelCol=label, featuresCol="features", **weight)
+    stages.append(classifier)
     return Pipeline(stages=stages)
 
 
@@ -94,27 +100,42 @@ def train_classifier(
     categoricals: Sequence[str] = (),
     **params,
 ) -> PipelineModel:
-    rows = df.count() if kind == "logistic" else None
-    return _pipeline(kind, features, label, categoricals, rows, params).fit(df)
+    """Fit a classifier on labels 0, 1, 2, ...; boosted kinds go one against the rest beyond two."""
+    rows, top = df.agg(F.count(F.lit(1)), F.max(col(label))).first()
+    classes = int(top or 0) + 1
+    return _pipeline(kind, features, label, categoricals, rows if kind == "logistic" else None, params, classes).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with ``prediction`` and the class-1 ``probability``."""
+    """``df`` with ``prediction``, the class-1 ``probability``, and the ``probabilities`` of all
+    classes by class number.
+
+    One-against-the-rest models give each class's logistic score, scaled to a sum of 1.
+    """
     out = model.transform(df)
+    if "probability" in out.columns:
+        shares = vector_to_array("probability")
+    else:
+        # A boosted margin m stands for the probability 1 / (1 + exp(-2m)).
+        odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+        total = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
+        shares = F.transform(odds, lambda x: x / total)
     return out.select(
         *[col(c) for c in df.columns],
         "prediction",
-        vector_to_array("probability")[1].alias("probability"),
+        F.get(shares, F.lit(1)).alias("probability"),
+        shares.alias("probabilities"),
     )
 
 
 def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame | None:
     """``(feature, importance)`` in descending order; None for a linear model."""
     last = model.stages[-1]
-    if not hasattr(last, "featureImportances"):
+    parts = getattr(last, "models", [last])  # one against the rest: the mean over classes
+    if not hasattr(parts[0], "featureImportances"):
         return None
     names = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
-    weights = last.featureImportances.toArray()
+    weights = sum(m.featureImportances.toArray() for m in parts) / len(parts)
     rows = [(n, float(w)) for n, w in zip(names, weights, strict=True)]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
@@ -130,8 +151,11 @@ def load_model(path: str) -> PipelineModel:
 
 
 def _slot(keys: Sequence[str], seed: int, stratify: str | None, slots: int):
-    parts = [F.lit(seed), *([col(stratify)] if stratify else []), *[col(k) for k in keys]]
-    return F.pmod(F.xxhash64(*parts), F.lit(slots))
+    """A number below ``slots`` from the first 8 hex digits of the MD5 of the seed, the class and
+    the key, joined by ``|`` (null: empty), which any SQL engine can repeat."""
+    named = [*([stratify] if stratify else []), *keys]
+    whole = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(col(c).cast("string"), F.lit("")) for c in named])
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 8), 16, 10).cast("bigint") % slots
 
 
 def split(

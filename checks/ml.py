@@ -9,7 +9,7 @@ from caretide.operators import forecast as fc
 from caretide.operators import models as md
 from caretide.session import materialize, scratch_path
 from checks.registry import duck_date, query, rounded, table, text_date, view, with_views
-from checks.scalars import derived
+from checks.scalars import DUCK_DERIVED, derived
 
 _PER_CLASS = """k AS (SELECT unnest([0, 1]) AS label),
   c AS (SELECT label, count(*) FILTER (quality = label AND toxic = label)::DOUBLE AS tp,
@@ -151,11 +151,10 @@ def _train(kind: str, **settings):
     return run
 
 
-# Fewer trees than the defaults, so that a check takes seconds.
-query("train_boosted_trees")(_train("boosted_trees", maxIter=5))
-query("train_random_forest")(_train("random_forest", numTrees=10, maxDepth=6))
+query("train_boosted_trees")(_train("boosted_trees"))
+query("train_random_forest")(_train("random_forest"))
 query("train_logistic")(_train("logistic"))
-query("train_gradient_boost")(_train("gradient_boost", maxIter=5))
+query("train_gradient_boost")(_train("gradient_boost"))
 
 
 @query("predict")
@@ -171,7 +170,7 @@ def predict(spark, sf):
 @query("feature_importance")
 def feature_importance(spark, sf):
     data = training(spark, sf)
-    model = md.train_classifier(data, FEATURES, "label", "random_forest", numTrees=10, maxDepth=5)
+    model = md.train_classifier(data, FEATURES, "label", "random_forest")
     return md.feature_importance(model, data)
 
 
@@ -188,12 +187,27 @@ def class_weights(spark, sf):
 query("train_balanced")(_train("logistic", balanced=True))
 
 
-@query("split")
+def _duck_slot(slots: str) -> str:
+    text = "concat('42|', CAST(label AS VARCHAR), '|', CAST(visit_id AS VARCHAR))"
+    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) % {slots}"
+
+
+_DUCK_TRAINING = (
+    with_views("v_visits")
+    + f""", {DUCK_DERIVED}, training AS (SELECT visit_id, CASE WHEN WAITTIME > 20 THEN 1 ELSE 0 END AS label FROM e
+      WHERE WAITTIME IS NOT NULL AND RFV1 IS NOT NULL AND {" AND ".join(f"{c} IS NOT NULL" for c in FEATURES)})"""
+)
+
+
+@query(
+    "split",
+    _DUCK_TRAINING + f" SELECT visit_id, label, CASE WHEN {_duck_slot('1048576')} < 209715 THEN 1 ELSE 0 END AS is_test FROM training",
+)
 def split(spark, sf):
-    """Share of test rows per class."""
+    """Which rows are test rows, within each class."""
     train, test = md.split(training(spark, sf), ["visit_id"], 0.2, "label")
-    both = train.select("label", F.lit(0).alias("t")).unionByName(test.select("label", F.lit(1).alias("t")))
-    return both.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("t"), 2).alias("test_share"))
+    both = train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
+    return both.select("visit_id", "label", "is_test")
 
 
 @query(
@@ -211,7 +225,7 @@ def encode_categoricals(spark, sf):
 @query("cross_validate")
 def cross_validate(spark, sf):
     data = training(spark, sf)
-    fitted = md.cross_validate(data, FEATURES, "label", ["visit_id"], "logistic", folds=3, maxIter=20)
+    fitted = md.cross_validate(data, FEATURES, "label", ["visit_id"], "logistic")
     return rounded(md.search_table(fitted, data), "mean_metric", "std_metric", digits=3)
 
 
@@ -219,9 +233,7 @@ def cross_validate(spark, sf):
 def grid_search(spark, sf):
     data = training(spark, sf)
     grid = {"regParam": (0.0, 0.1), "elasticNetParam": (0.0, 1.0)}
-    fitted = md.cross_validate(
-        data, FEATURES, "label", ["visit_id"], "logistic", grid, folds=2, maxIter=10
-    )
+    fitted = md.cross_validate(data, FEATURES, "label", ["visit_id"], "logistic", grid)
     return rounded(md.search_table(fitted, data), "mean_metric", "std_metric", digits=3)
 
 
@@ -243,5 +255,5 @@ def forecast_many(spark, sf):
 
 @query("boosted_forecast")
 def boosted_forecast(spark, sf):
-    _, out = fc.boosted_forecast(view(spark, sf, "v_orders_daily"), "2000-12-31", maxIter=5, maxDepth=4)
+    _, out = fc.boosted_forecast(view(spark, sf, "v_orders_daily"), "2000-12-31")
     return rounded(out, "yhat", digits=2).withColumn("ds", text_date("ds"))

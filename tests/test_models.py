@@ -108,6 +108,18 @@ def test_classifiers_learn(visits, kind, params):
         assert rows[0]["feature"] == "a" and {r["feature"] for r in rows} == {"a", "b", "g_index"}
 
 
+@pytest.mark.parametrize("kind", ["gradient_boost", "random_forest", "logistic"])
+def test_three_classes(spark, visits, kind):
+    data = visits.withColumn("label", F.when(F.col("a") > 0.5, 2).when(F.col("a") < -0.5, 1).otherwise(0))
+    model = md.train_classifier(data, ["a", "b"], "label", kind, **({} if kind == "logistic" else {"maxDepth": 3} | ({"maxIter": 3} if kind == "gradient_boost" else {"numTrees": 5})))
+    out = md.predict(model, data).collect()
+    assert all(len(r["probabilities"]) == 3 and sum(r["probabilities"]) == pytest.approx(1) for r in out)
+    assert all(r["probability"] == r["probabilities"][1] for r in out)
+    assert sum(r["label"] == r["prediction"] for r in out) > 0.9 * len(out)
+    found = md.feature_importance(model, data)
+    assert found is None if kind == "logistic" else found.first()["feature"] == "a"
+
+
 def test_logistic_penalty_matches_the_objective(visits):
     """Gradient of sum(loss) + |w|^2 / 2 is zero at the fit (C = 1)."""
     model = md.train_classifier(visits, ["a", "b"], "label", "logistic", tol=1e-10).stages[-1]
