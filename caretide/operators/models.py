@@ -107,8 +107,8 @@ def train_classifier(
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with ``prediction``, the class-1 ``probability``, and the ``probabilities`` of all
-    classes by class number.
+    """``df`` with the ``probabilities`` of all classes by class number, ``prediction``, and the
+    class-1 ``probability``.
 
     One-against-the-rest models give each class's logistic score, scaled to a sum of 1.
     """
@@ -122,9 +122,9 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
         shares = F.transform(odds, lambda x: x / total)
     return out.select(
         *[col(c) for c in df.columns],
+        shares.alias("probabilities"),
         "prediction",
         F.get(shares, F.lit(1)).alias("probability"),
-        shares.alias("probabilities"),
     )
 
 
