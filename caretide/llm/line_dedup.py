@@ -9,13 +9,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caretide.llm.common import mix, release_memory
 from caretide.session import materialize
 
-#: A line is rare if at most this share of the distinct texts has it.
+#: A line is rare if at most this share of the distinct texts has it; no result depends on it.
 RARE_SHARE = 0.1
 #: A common block is deleted if its lines have so many characters together.
 MIN_CHARS = 40
@@ -116,12 +116,12 @@ def line_keys(hashes: pa.ListArray, sizes: pa.ListArray, min_chars: int = MIN_CH
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[new], pa.int64()))
 
 
-def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
+def overlapping(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``th, earlier``: distinct texts and the earlier texts that they are aligned with.
 
     A key (:func:`line_keys`) links each text to the first text that has it, never texts to each
     other, so the links of a line that a third of all texts share are as many as those texts.
-    Rare keys link; a text without a rare shared key is linked by its rarest ones.
+    Every shared key links, rare or frequent.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +137,7 @@ def overlapping(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int
     shared = lines.groupBy("line").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
     # Stored, so that the join reads plain exchanges, whose hot partitions Spark splits.
     linked = lines.join(materialize(shared, "shared"), "line").filter(F.col("first.th") != F.col("th"))
-    limit = max(texts.count() * rare_share, 2)
-    least = F.min("df").over(Window.partitionBy("th"))
-    return linked.withColumn("least", least).filter((F.col("df") <= limit) | (F.col("df") == F.col("least"))).select("th", F.col("first.th").alias("earlier")).distinct()
+    return linked.select("th", F.col("first.th").alias("earlier")).distinct()
 
 
 def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -147,7 +145,7 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
     the numbers of the lines that the first document loses. Later copies lose all lines."""
     table = materialize(line_table(docs), "lines")
     texts = materialize(table.groupBy("th").agg(F.min("did").alias("did"), F.count_distinct("did").alias("copies"), F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")), "texts")
-    pairs = overlapping(texts, rare_share, min_chars)
+    pairs = overlapping(texts, min_chars)
     later = texts.select("th", "hashes", "sizes")
     earlier = texts.select(F.col("th").alias("earlier"), F.col("hashes").alias("earlier_hashes"))
 
@@ -167,7 +165,7 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
 def without_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with ``text`` less repeated lines, and ``n_lines, n_removed`` beside it.
 
-    Earlier and later go by ``doc_id``, then by text hash. Documents with shared rare lines (short
+    Earlier and later go by ``doc_id``, then by text hash. Documents with shared lines (short
     ones count together with those after them) are found through the first document that has
     them, aligned by patience diff on line hashes, and aligned blocks (runs adjacent in both) of at least ``min_chars`` characters are deleted
     from the later one. Alignment is on the input texts. A later exact copy of a text of that

@@ -168,6 +168,30 @@ def test_line_dedup_against_all_pairs(spark):
     assert got == want and sum(len(t) for t in want.values()) < sum(len(t) for _, t, _ in rows)
 
 
+def all_pairs(rows, min_chars=40):
+    """What is left of each text after alignment with all earlier ones."""
+    lists = [t.split("\n") for _, t, _ in rows]
+    out = {}
+    for i, a in enumerate(lists):
+        sizes = [len(x.strip(" ")) for x in a]
+        gone = {k for b in lists[:i] if a != b for k in line_dedup.common_blocks(a, b, sizes, min_chars)}
+        out[i] = "" if sum(sizes) >= min_chars and a in lists[:i] else "\n".join(x for k, x in enumerate(a) if k not in gone)
+    return out
+
+
+def test_line_dedup_of_a_line_in_many_texts(spark):
+    """A line in over a tenth of the texts goes also where a rarer line links the text elsewhere."""
+    rng, rows = random.Random(4), []
+    hot = "a line that very many texts have, long enough to count"
+    for k in range(60):
+        lines = [f"own {k} {j}" for j in range(rng.randint(1, 4))] + [f"a rare line of few texts, number {k // 2}, long enough"]
+        if k % 3 != 1:
+            lines.insert(rng.randrange(len(lines)), hot)
+        rows.append((k, "\n".join(lines), "en"))
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(frame(spark, rows)).collect()}
+    assert got == all_pairs(rows) and sum(hot in t for t in got.values()) == 1
+
+
 def test_patience_matches_common_lines():
     rng = random.Random(1)
     for _ in range(200):
