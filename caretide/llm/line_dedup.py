@@ -9,16 +9,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caretide.llm.common import mix, release_memory
+from caretide.llm.common import _BASE, _powers, mix, release_memory
 from caretide.session import materialize
 
-#: A line is rare if at most this share of the distinct texts has it; no result depends on it.
+#: A line is rare if at most this share of the distinct texts has it. Rare ones lead to partners
+#: before frequent ones do; no result depends on it.
 RARE_SHARE = 0.1
 #: A common block is deleted if its lines have so many characters together.
 MIN_CHARS = 40
+#: Lines that stay are aligned with so many first texts of their keys, before all of them.
+WIDTHS = (8, 64)
 _LAST = (1 << 63) - 1
 
 
@@ -89,63 +92,78 @@ def line_table(docs: DataFrame) -> DataFrame:
     return lines.select("did", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(F.trim(x))).alias("sizes"))
 
 
-def line_keys(hashes: pa.ListArray, sizes: pa.ListArray, min_chars: int = MIN_CHARS) -> pa.ListArray:
-    """Distinct keys by which each text is found: one for each line that is not blank.
+def line_keys(hashes: pa.ListArray, sizes: pa.ListArray, min_chars: int = MIN_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``text, line, key``: the keys by which each line of each text is found, in order of texts.
 
-    A line of ``min_chars`` characters is its own key. A shorter one could not be deleted alone,
-    so its key takes in the next lines, blank ones left out, until they have ``min_chars``
-    together; where the text ends before that there is none. So two texts with a common block
-    share a key of it.
+    A key is the hash of a smallest run of lines that holds the line and has ``min_chars``
+    characters, so a line of that length is its own key and a shorter or blank one has a key for
+    each way to reach it. A common block with that line has one of these runs within it, so two
+    texts with such a block share a key of each of its lines.
     """
     counts = sizes.value_lengths().to_numpy(zero_copy_only=False)
     lines, chars = (np.asarray(x.flatten().to_numpy(zero_copy_only=False), np.int64) for x in (hashes, sizes))
-    doc = np.repeat(np.arange(len(counts)), counts)[chars > 0]
-    lines, chars = lines[chars > 0].view(np.uint64), chars[chars > 0]
+    text, n = np.repeat(np.arange(len(counts)), counts), len(lines)
+    begins = (np.cumsum(counts) - counts)[text]
+    ends = begins + counts[text]
     done = np.concatenate([[0], np.cumsum(chars)])
-    ends = np.searchsorted(done, done[:-1] + min_chars)
-    at = np.flatnonzero(ends <= np.searchsorted(doc, np.arange(len(counts)), side="right")[doc])
-    keys, length, doc = lines[at], ends[at] - at, doc[at]
-    for step in range(1, int(length.max(initial=1))):
-        more = np.flatnonzero(length > step)
-        keys[more] = mix(keys[more], lines[at[more] + step])
-    order = np.lexsort((keys, doc))
-    keys, doc = keys[order].view(np.int64), doc[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=len(counts)))])
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[new], pa.int64()))
-
-
-def overlapping(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``th, earlier``: distinct texts and the earlier texts that they are aligned with.
-
-    A key (:func:`line_keys`) links each text to the first text that has it, never texts to each
-    other, so the links of a line that a third of all texts share are as many as those texts.
-    Every shared key links, rare or frequent.
+    # The last line before each that is not blank.
+    filled = np.concatenate([[-1], np.maximum.accumulate(np.where(chars > 0, np.arange(n), -1))])
+    size = 1 << max(n, 1).bit_length()
+    up, down = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines.view(np.uint64) * up[:n], dtype=np.uint64)])
+    at, lo, before = np.arange(n), np.arange(n), np.full(n, n + 1)
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.uint64))]
+    while len(at):
+        # The run from lo: up to min_chars characters, and at least up to the line itself.
+        hi = np.maximum(np.searchsorted(done, done[lo] + min_chars), at + 1)
+        new = (hi < before) & (hi <= ends[at])
+        run = (sums[hi[new]] - sums[lo[new]]) * down[lo[new]]
+        found.append((at[new], mix(run, (hi - lo)[new].astype(np.uint64))))
+        further = (hi > at + 1) | (done[hi.clip(max=n)] - done[lo] < min_chars)
+        at, lo, before = at[further], filled[lo[further]], np.minimum(hi, before)[further]
+        inside = lo >= begins[at]
+        at, lo, before = at[inside], lo[inside], before[inside]
+    at, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(at, kind="stable")
+    return text[at[order]], (at - begins[at])[order], keys[order].view(np.int64)
+
+
+def shared_keys(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``key, did, th, at, new, df, first``: lines by keys (:func:`line_keys`) that several texts have.
+
+    ``df`` is the number of texts with the key, ``first`` the first of them, and ``new`` marks one
+    row per key and text.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                keys = line_keys(part.column("hashes"), part.column("sizes"), min_chars)
-                yield pa.RecordBatch.from_arrays([part.column("did"), part.column("th"), keys], ["did", "th", "keys"])
+                text, at, keys = line_keys(part.column("hashes"), part.column("sizes"), min_chars)
+                order = np.lexsort((at, keys, text))
+                text, at, keys = text[order], at[order], keys[order]
+                new = np.ones(len(keys), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+                own = [part.column(c).take(pa.array(text)) for c in ("did", "th")]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *own, pa.array(at, pa.int32()), pa.array(new)], ["key", "did", "th", "at", "new"])
         release_memory()
 
-    keyed = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "did bigint, th bigint, keys array<bigint>")
-    lines = keyed.select("did", "th", F.explode("keys").alias("line"))
-    shared = lines.groupBy("line").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
+    rows = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "key bigint, did bigint, th bigint, at int, new boolean")
+    shared = rows.filter("new").groupBy("key").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
     # Stored, so that the join reads plain exchanges, whose hot partitions Spark splits.
-    linked = lines.join(materialize(shared, "shared"), "line").filter(F.col("first.th") != F.col("th"))
-    return linked.select("th", F.col("first.th").alias("earlier")).distinct()
+    return materialize(rows.join(materialize(shared, "shared"), "key"), "held")
 
 
-def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``th, first_did, removed``: per text that loses lines or has copies, its first document and
-    the numbers of the lines that the first document loses. Later copies lose all lines."""
-    table = materialize(line_table(docs), "lines")
-    texts = materialize(table.groupBy("th").agg(F.min("did").alias("did"), F.count_distinct("did").alias("copies"), F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")), "texts")
-    pairs = overlapping(texts, min_chars)
+def aligned_lines(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``th, removed``: the lines that alignment with any earlier text deletes from each text.
+
+    A line can only be deleted by an earlier text that shares a key with it. Each is aligned with
+    the first such text (of its rare keys, then of all); lines that stay go on to the first 8, the
+    first 64 and at last to all earlier texts that have one of their keys. So the result is that of
+    all pairs, while a line in a third of all texts costs many pairs only where the first texts
+    with it do not align. A pair is aligned once.
+    """
+    held = shared_keys(texts, min_chars)
     later = texts.select("th", "hashes", "sizes")
     earlier = texts.select(F.col("th").alias("earlier"), F.col("hashes").alias("earlier_hashes"))
 
@@ -155,8 +173,41 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
             found = [common_blocks(*(x.as_py() for x in row), min_chars) for row in zip(*columns, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("th"), pa.array(found, pa.list_(pa.int32()))], ["th", "lines"])
 
-    aligned = pairs.join(later, "th").join(earlier, "earlier").select("th", "hashes", "earlier_hashes", "sizes").mapInArrow(align, "th bigint, lines array<int>")
-    removed = aligned.groupBy("th").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("removed"))
+    limit = max(texts.count() * rare_share, 2)
+    left = held.filter(F.col("first.th") != F.col("th"))
+    lost, done = None, None
+    for width, most in ((1, limit), (1, None), *((w, None) for w in WIDTHS), (None, None)):
+        if width == 1:
+            linked = left.filter(F.col("df") <= most) if most else left
+            pairs = linked.select("th", F.col("first.th").alias("earlier"))
+        else:
+            partners = held.filter("new").select("key", F.struct("did", "th").alias("partner"), "df").join(left.select("key").distinct(), "key", "left_semi")
+            if width:
+                first = Window.partitionBy("key").orderBy("partner")
+                partners = partners.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= width)
+            partners = materialize(partners.select("key", "partner"), "partners")
+            pairs = left.select("key", "did", "th").join(partners, "key").filter(F.col("partner") < F.struct("did", "th")).select("th", F.col("partner.th").alias("earlier"))
+        pairs = pairs.distinct() if done is None else pairs.distinct().join(done, ["th", "earlier"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        aligned = pairs.join(later, "th").join(earlier, "earlier").select("th", "hashes", "earlier_hashes", "sizes").mapInArrow(align, "th bigint, lines array<int>")
+        found = materialize(aligned.select("th", F.explode("lines").alias("at")).distinct(), "lost")
+        lost, done = (found, pairs) if lost is None else (lost.union(found), done.union(pairs))
+        if width is None:
+            break
+        # All earlier texts of a key were partners if it has so few.
+        tried = width + 1 if most is None else 0
+        left = materialize(left.filter(F.col("df") > tried).join(found, ["th", "at"], "left_anti"), "left")
+        if not left.take(1):
+            break
+    return lost.groupBy("th").agg(F.collect_set("at").alias("removed"))
+
+
+def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``th, first_did, removed``: per text that loses lines or has copies, its first document and
+    the numbers of the lines that the first document loses. Later copies lose all lines."""
+    table = materialize(line_table(docs), "lines")
+    texts = materialize(table.groupBy("th").agg(F.min("did").alias("did"), F.count_distinct("did").alias("copies"), F.first("hashes").alias("hashes"), F.first("sizes").alias("sizes")), "texts")
+    removed = aligned_lines(texts, rare_share, min_chars)
     long = F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b) >= min_chars
     joined = texts.select("th", F.col("did").alias("first_did"), ((F.col("copies") > 1) & long).alias("copied")).join(removed, "th", "left")
     return joined.filter(F.col("copied") | (F.size("removed") > 0))
@@ -165,14 +216,14 @@ def repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
 def without_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with ``text`` less repeated lines, and ``n_lines, n_removed`` beside it.
 
-    Earlier and later go by ``doc_id``, then by text hash. Documents with shared lines (short
-    ones count together with those after them) are found through the first document that has
-    them, aligned by patience diff on line hashes, and aligned blocks (runs adjacent in both) of at least ``min_chars`` characters are deleted
-    from the later one. Alignment is on the input texts. A later exact copy of a text of that
-    length loses all lines.
+    Earlier and later go by ``doc_id``, then by text hash. A document is aligned by patience diff
+    on line hashes, and aligned blocks (runs adjacent in both) of at least ``min_chars`` characters
+    are deleted from it. What goes is what alignment with every earlier document deletes; partners
+    are found by shared lines and only as many are aligned as it takes (:func:`aligned_lines`).
+    Alignment is on the input texts. A later exact copy of a text of that length loses all lines.
 
-    Lines are compared by 64-bit hashes and are parted by line feeds; blank lines link nothing
-    but may lie in a block. Null text counts as empty. Rows that repeat id and text count as one
+    Lines are compared by 64-bit hashes and are parted by line feeds; blank lines
+    have no characters of their own but may lie in a block. Null text counts as empty. Rows that repeat id and text count as one
     document; documents with null ids come last. Columns of the input are kept, of the same
     names; an empty table gives no rows.
     """

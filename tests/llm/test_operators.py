@@ -192,6 +192,21 @@ def test_line_dedup_of_a_line_in_many_texts(spark):
     assert got == all_pairs(rows) and sum(hot in t for t in got.values()) == 1
 
 
+def test_line_dedup_of_lines_in_other_orders(spark, monkeypatch):
+    """Shared lines in any order, repeated within texts, short after long ones, and blank ones."""
+    rng, rows = random.Random(9), []
+    shared = [f"shared line number {k}, which is long enough to count" for k in range(6)] + ["short", "brief one", ""]
+    for k in range(80):
+        lines = rng.choices(shared, k=rng.randint(2, 6))
+        lines.insert(rng.randint(0, len(lines)), f"own line {k}")
+        rows.append((k, "\n".join(lines), "en"))
+    want = all_pairs(rows)
+    for share, widths in ((line_dedup.RARE_SHARE, line_dedup.WIDTHS), (1.0, (2, 3))):
+        monkeypatch.setattr(line_dedup, "WIDTHS", widths)
+        got = {r.doc_id: r.text for r in line_dedup.without_repeated_lines(frame(spark, rows), rare_share=share).collect()}
+        assert got == want
+
+
 def test_patience_matches_common_lines():
     rng = random.Random(1)
     for _ in range(200):
