@@ -29,7 +29,7 @@ def balance(lengths: list[int], capacity: int, linear: float = LINEAR, quadratic
     """Sequences of ``(item, start, length)``, as few as the tokens need.
 
     Items come in descending length. Each goes whole to the sequence of lowest cost among those
-    with room for it; if none has room, it is cut, and its parts fill the sequences of lowest
+    with room for it; only if none has room, it is cut, and its parts fill the sequences of lowest
     cost that have any. So every sequence but the last ones is full.
     """
     total = sum(lengths)
@@ -38,35 +38,46 @@ def balance(lengths: list[int], capacity: int, linear: float = LINEAR, quadratic
     if total % capacity:
         room[-1] = total % capacity
     cost = [0.0] * len(sequences)
-    heap = [(0.0, s) for s in range(len(sequences))]
+    # A heap for each number of free tokens, and over them a tree of the lowest (cost, sequence).
+    none, leaves = (math.inf, -1), 1 << capacity.bit_length()
+    heaps: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+    for s, free in enumerate(room):
+        heaps[free].append((0.0, s))
+    tree = [none] * leaves + [min(h, default=none) for h in heaps] + [none] * (leaves - capacity - 1)
+    for node in range(leaves - 1, 0, -1):
+        tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+    def update(free: int) -> None:
+        node = leaves + free
+        tree[node] = heaps[free][0] if heaps[free] else none
+        while node > 1:
+            node //= 2
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+    def cheapest(least: int) -> int:
+        """The sequence of lowest cost with room for so many tokens, or -1."""
+        node, found = leaves + least, tree[leaves + least]
+        while node > 1:
+            if node % 2 == 0:
+                found = min(found, tree[node + 1])
+            node //= 2
+        return found[1]
 
     def put(s: int, item: int, start: int, length: int) -> None:
         sequences[s].append((item, start, length))
+        heapq.heappop(heaps[room[s]])
+        update(room[s])
         room[s] -= length
         cost[s] += linear * length + quadratic * length * length
         if room[s]:
-            heapq.heappush(heap, (cost[s], s))
+            heapq.heappush(heaps[room[s]], (cost[s], s))
+            update(room[s])
 
     for item in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
-        passed, left, start = [], lengths[item], 0
-        while heap:
-            top = heapq.heappop(heap)
-            if room[top[1]] >= left:
-                put(top[1], item, start, left)
-                left = 0
-                break
-            passed.append(top)
-            if len(passed) >= 64:  # most are too full by now: cut
-                break
-        for top in passed:
-            if left:
-                part = min(left, room[top[1]])
-                put(top[1], item, start, part)
-                start, left = start + part, left - part
-            else:
-                heapq.heappush(heap, top)
+        start, left = 0, lengths[item]
+        whole = cheapest(left) if left <= capacity else -1
         while left:
-            s = heapq.heappop(heap)[1]
+            s = whole if whole >= 0 else cheapest(1)
             part = min(left, room[s])
             put(s, item, start, part)
             start, left = start + part, left - part

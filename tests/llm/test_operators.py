@@ -128,6 +128,25 @@ def test_balance_prefers_the_cheapest_sequence():
     assert packing.balance([], 10) == []
 
 
+def test_balance_cuts_only_where_no_sequence_has_room():
+    """Against a search through all sequences, of which there are hundreds."""
+    rng = random.Random(6)
+    for capacity in (7, 100, 1024):
+        lengths = [max(1, min(capacity - 1, int(rng.lognormvariate(0, 0.7) * capacity / 4))) for _ in range(1500)]
+        total = sum(lengths)
+        room = [capacity] * (total // capacity) + ([total % capacity] if total % capacity else [])
+        cost, want = [0.0] * len(room), [[] for _ in room]
+        for item in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+            start, left = 0, lengths[item]
+            while left:
+                fits = [(cost[s], s) for s in range(len(room)) if room[s] >= left and not start] or [(cost[s], s) for s in range(len(room)) if room[s]]
+                s = min(fits)[1]
+                n = min(left, room[s])
+                want[s].append((item, start, n))
+                start, left, room[s], cost[s] = start + n, left - n, room[s] - n, cost[s] + packing.LINEAR * n + packing.QUADRATIC * n * n
+        assert packing.balance(lengths, capacity) == want
+
+
 def test_line_dedup(docs, rows):
     got = line_dedup.without_repeated_lines(docs)
     assert set(docs.columns) < set(got.columns)
