@@ -283,6 +283,30 @@ def test_jaccard_recall_and_parts(spark, monkeypatch):
     assert {(r.doc_id, r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()} == whole
 
 
+def test_jaccard_shortens_prefixes(spark, monkeypatch):
+    """Few trees miss links at first; the defaults meet the recall with their first prefixes."""
+    rng = random.Random(12)
+    rows, used, clusters = [], [], jaccard.candidate_clusters
+    for g in range(60):
+        words = [f"g{g}x{k}" for k in range(104)]
+        other = list(words)
+        other[rng.randrange(40, 60)] = "edit"
+        other[20] = "edit2"
+        rows += [(2 * g, " ".join(words), "en"), (2 * g + 1, " ".join(other), "en")]  # similarity 90/110
+    monkeypatch.setattr(jaccard, "candidate_clusters", lambda *a: used.append(a[-1]) or clusters(*a))
+
+    def links(**args):
+        used.clear()
+        return sum(r.n_links for r in jaccard.near_duplicates(frame(spark, rows), **args).collect())
+
+    fixed = links(trees=4, recall=0.0)
+    assert used == [6]
+    shortened = links(trees=4)
+    assert used == list(range(6, 6 - len(used), -1)) and len(used) > 2 and shortened > fixed
+    links()
+    assert used == [6]
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, 101), (103, 102), (101, 103)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
