@@ -247,13 +247,61 @@ def asked(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     )
 
 
-def answered(questions: DataFrame, answer: Answer) -> DataFrame:
-    """Each bucket's answers to the blocks that asked it, in the form of the questions."""
+#: Blocks whose questions to a bucket meet in one group.
+FAN = 512
+Merge = Callable[[list[bytes]], bytes]
+Split = Callable[[bytes, bytes, bytes], bytes]
+
+
+def answered(questions: DataFrame, answer: Answer, merge: Merge | None = None, split: Split | None = None, n_blocks: int = 0, fan: int = FAN) -> DataFrame:
+    """Each bucket's answers to the blocks that asked it, in the form of the questions.
+
+    Up to ``fan`` blocks ask a bucket directly. More of them first ask together: the questions of
+    every ``fan`` consecutive blocks to a bucket become one by ``merge``, again until few are
+    left, and ``split(question, merged question, merged answer)`` fans the answers out. So no
+    group holds more than ``fan`` payloads, however many blocks ask about a common key.
+    """
 
     def reply(group: pa.Table) -> pa.Table:
         return group.set_column(2, "payload", pa.array(answer([x.as_py() for x in group.column("payload")]), pa.binary()))
 
-    return questions.groupBy("bucket").applyInArrow(reply, ASKED)
+    if n_blocks <= fan:
+        return questions.groupBy("bucket").applyInArrow(reply, ASKED)
+
+    def together(key: tuple, group: pa.Table) -> pa.Table:
+        return asked([(key[0].as_py(), key[1].as_py(), merge([x.as_py() for x in group.column("payload")]))])
+
+    def apart(group: pa.Table, above: pa.Table) -> pa.Table:
+        whole, replies = (_payloads(above, kind) for kind in (0, 1))
+        out = [split(own.as_py(), whole, replies) for own in group.column("payload")]
+        return group.select(["bucket", "block", "payload"]).set_column(2, "payload", pa.array(out, pa.binary()))
+
+    stored = materialize(questions, "questions")
+    hall = F.floor(F.col("block") / fan).cast("bigint")
+    halls = materialize(stored.withColumn("hall", hall).groupBy("bucket", "hall").applyInArrow(together, ASKED), "questions")
+    replies = answered(halls, answer, merge, split, math.ceil(n_blocks / fan), fan)
+    above = halls.withColumn("kind", F.lit(0)).unionByName(replies.withColumn("kind", F.lit(1)))
+    return stored.withColumn("hall", hall).groupBy("bucket", "hall").cogroup(above.withColumnRenamed("block", "hall").groupBy("bucket", "hall")).applyInArrow(apart, ASKED)
+
+
+def _payloads(above: pa.Table, kind: int) -> bytes:
+    (found,) = above.filter(pc.equal(above.column("kind"), kind)).column("payload").to_pylist()
+    return found
+
+
+def framed(parts: list[bytes]) -> bytes:
+    """Several byte strings as one."""
+    return b"".join([len(parts).to_bytes(4, "little"), *[len(p).to_bytes(8, "little") for p in parts], *parts])
+
+
+def unframed(data: bytes) -> list[bytes]:
+    count = int.from_bytes(data[:4], "little")
+    sizes = np.frombuffer(data, "<u8", count, 4).tolist()
+    out, at = [], 4 + 8 * count
+    for size in sizes:
+        out.append(data[at : at + size])
+        at += size
+    return out
 
 
 def block_no(left: pa.Table) -> int:

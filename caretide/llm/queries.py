@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretide.llm import bpe, jaccard, line_dedup, packing, perplexity, pii, substrings, token_counts, topk, toxicity
+from caretide.llm import bpe, interactions, jaccard, line_dedup, merkle, packing, perplexity, pii, sql, substrings, suffixes, token_counts, topk, toxicity
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MULTI_BPE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -81,6 +81,23 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, checked against a copy in which a fifth of them is in lower case."""
+    crc = F.crc32(F.col("doc_id").cast("bigint").cast("string"))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.audit(table(spark, sf_dir, "documents"), F.when(crc % 5 == 0, lower))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.drop_repeated_bytes(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_rules": op2_quality_rules,
@@ -92,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 #: The operators over texts have no SQL: their tests compare them with brute force instead.
@@ -112,4 +132,6 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_merkle_manifest": sql.MANIFEST,
+    "op12_filter_interactions": sql.FILTERS,
 }
