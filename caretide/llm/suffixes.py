@@ -229,7 +229,8 @@ class Runs:
         at, anchor = at[inside], anchor[inside]
         new = np.flatnonzero(np.diff(anchor, prepend=-1))
         last = at[np.append(new[1:], len(at)) - 1] if len(new) else at
-        return at[new], anchor[new] + lo, hashes[anchor[new]], last
+        # Smallest hashes are small: mixed again, they are dealt out evenly to the buckets.
+        return at[new], anchor[new] + lo, mix(hashes[anchor[new]], 1), last
 
     def piece(self, run: int) -> bytes:
         return self.raw[self.first[run] : self.last[run] + self.length]
