@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from caretide.llm.common import (
     ASKED,
+    FAN,
     answered,
     asked,
     block_no,
@@ -62,18 +63,38 @@ def _encoded_once(payloads: list[bytes], ranks: dict[bytes, int]) -> list[bytes]
     """Ids of every asked pre-token; one that several blocks ask for is encoded once."""
     encode, known, out = encoding(ranks)._encode_single_piece, {}, []
     for payload in payloads:
-        words = unsqueeze(payload, np.uint8).tobytes().split(_END)
         ids = []
-        for word in words:
+        for word in _asked_words(payload):
             if (got := known.get(word)) is None:
                 got = known[word] = encode(word) if word else []
             ids.append(got)
-        sizes = np.array([len(x) for x in ids], "<u4")
-        flat = np.fromiter((i for x in ids for i in x), "<u4", int(sizes.sum()))
-        out.append(len(p := squeeze(sizes)).to_bytes(8, "little") + p + squeeze(flat))
+        out.append(_reply(ids))
     return out
 
 
+def _asked_words(payload: bytes) -> list[bytes]:
+    return unsqueeze(payload, np.uint8).tobytes().split(_END)
+
+
+def _asked_together(payloads: list[bytes]) -> bytes:
+    """The distinct pre-tokens of several questions."""
+    words = sorted(set().union(*map(_asked_words, payloads)))
+    return squeeze(np.frombuffer(_END.join(words), np.uint8))
+
+
+def _split_ids(own: bytes, whole: bytes, reply: bytes) -> bytes:
+    """A block's part of the answer to a common question."""
+    ends, flat = _ids(reply)
+    place = {w: k for k, w in enumerate(_asked_words(whole))}
+    return _reply([flat[ends[k] : ends[k + 1]] for k in [place[w] for w in _asked_words(own)]])
+
+
+def _reply(ids: list) -> bytes:
+    sizes = np.array([len(x) for x in ids], "<u4")
+    flat = np.fromiter((i for x in ids for i in x), "<u4", int(sizes.sum()))
+    return len(p := squeeze(sizes)).to_bytes(8, "little") + p + squeeze(flat)
+
+
 def _ids(reply: bytes) -> tuple[list[int], np.ndarray]:
     size = int.from_bytes(reply[:8], "little")
     sizes, flat = unsqueeze(reply[8 : 8 + size], "<u4"), unsqueeze(reply[8 + size :], "<u4")
@@ -91,7 +112,7 @@ def _known_ids(numbers: Numbers, replies: pa.Table, n_buckets: int) -> list[list
     return ids
 
 
-def _encoded(docs: DataFrame, path: str, block_bytes: int, finish, schema: str) -> DataFrame:
+def _encoded(docs: DataFrame, path: str, block_bytes: int, finish, schema: str, fan: int = FAN) -> DataFrame:
     """Texts are exchanged once, as blocks; a block's distinct pre-tokens go to the buckets that
     encode them, and ``finish`` puts the ids back in the order of the text."""
     docs = documents(docs)
@@ -111,11 +132,12 @@ def _encoded(docs: DataFrame, path: str, block_bytes: int, finish, schema: str)
         placed = list(_placed(group, numbers))
         return finish(placed, _known_ids(numbers, replies, n_buckets), table.value)
 
-    replies = answered(blocks.groupBy("block").applyInArrow(ask, ASKED), lambda payloads: _encoded_once(payloads, table.value))
+    questions = blocks.groupBy("block").applyInArrow(ask, ASKED)
+    replies = answered(questions, lambda payloads: _encoded_once(payloads, table.value), _asked_together, _split_ids, n_blocks, fan)
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(place, schema)
 
 
-def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """``doc_id, ids ARRAY<INT>``: byte-level BPE ids of every whole text, without special tokens.
 
     Pre-tokens are exploded with their places in the block's texts; each distinct one is encoded
@@ -131,7 +153,7 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
         docs = pa.chunked_array([c for ids, _ in placed for c in ids.chunks], pa.int64())
         return pa.table({"doc_id": docs, "ids": pa.array(lists, pa.list_(pa.int32()))})
 
-    return _encoded(docs, path, block_bytes, finish, "doc_id bigint, ids array<int>")
+    return _encoded(docs, path, block_bytes, finish, "doc_id bigint, ids array<int>", fan)
 
 
 def encode_digests(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -13,11 +13,12 @@ import contextlib
 import ctypes
 import math
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caretide.session import materialize
@@ -51,6 +52,11 @@ def documents(docs: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def text_hash(text: Column) -> Column:
+    """128 bits of a text's SHA-256, by which texts are equated."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -138,7 +144,6 @@ def mix(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(WORD_BREAKS.encode())] = True
-_BYTE_VALUES = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -161,44 +166,49 @@ def small_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 <<
     release_memory()
 
 
-def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of some texts, text after text, and each text's number of words.
+def word_digests(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests of all words of some texts, as two columns, text after text, and each
+    text's number of words.
 
-    Word breaks are single bytes of UTF-8, so this works on the column's bytes at once: with
-    ``P(i) = sum of value(byte j) * base^j, j < i``, a word from s to e has the hash
-    ``(P(e) - P(s)) * base^-s``, which does not depend on where it stands.
+    Words are found on the column's bytes at once, as word breaks are single bytes of UTF-8, and
+    put into a dictionary; each distinct word is hashed once, by a cryptographic hash, so that
+    no two words can be made to collide.
     """
     if isinstance(texts, pa.ChunkedArray):
-        parts = [word_hashes(c, breaks) for c in texts.chunks]
-        return tuple(np.concatenate([p[i] for p in parts] or [np.empty(0, t)]) for i, t in ((0, np.uint64), (1, np.int64)))
+        parts = [word_digests(c, breaks) for c in texts.chunks]
+        return np.concatenate([p[0] for p in parts] or [np.empty((0, 2), np.uint64)]), np.concatenate([p[1] for p in parts] or [np.empty(0, np.int64)])
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.empty((0, 2), np.uint64), np.zeros(len(texts), np.int64)
     word = ~breaks[data]
     new = np.zeros(len(data) + 1, bool)
     new[offsets] = True
     starts = np.flatnonzero(word & (new[:-1] | ~np.concatenate([[False], word[:-1]])))
     ends = np.flatnonzero(word & (new[1:] | ~np.concatenate([word[1:], [False]]))) + 1
-    hashes, step = np.empty(len(starts), np.uint64), 1 << 20
-    up = _powers(_BASE, step)
-    down = _powers(pow(_BASE, -1, 1 << 64), step)
-    lo = 0
-    while lo < len(starts):  # pieces of about a megabyte, cut between words
-        hi = max(int(np.searchsorted(ends, starts[lo] + step, side="right")), lo + 1)
-        first, last = int(starts[lo]), int(ends[hi - 1])
-        if last - first > step:
-            hashes[lo] = _long_word(data[first:last])
-        else:
-            sums = np.zeros(last - first + 1, np.uint64)
-            np.cumsum(_BYTE_VALUES[data[first:last]] * up[: last - first], out=sums[1:])
-            at = starts[lo:hi] - first
-            hashes[lo:hi] = (sums[ends[lo:hi] - first] - sums[at]) * down[at]
-        lo = hi
     counts = np.bincount(np.searchsorted(offsets, starts, side="right") - 1, minlength=len(texts))
-    return mix(hashes, (ends - starts).astype(np.uint64)), counts.astype(np.int64)
+    edges = np.concatenate([[0], np.cumsum(ends - starts)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[word])]).dictionary_encode()
+    digests = b"".join([blake2b(w, digest_size=16).digest() for w in words.dictionary.to_pylist()])
+    return np.frombuffer(digests, "<u8").reshape(-1, 2)[words.indices.to_numpy()], counts.astype(np.int64)
+
+
+def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:
+    """The first 64 bits of :func:`word_digests`."""
+    digests, counts = word_digests(texts, breaks)
+    return digests[:, 0].copy(), counts
+
+
+def distinct_rows(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows: their order by the columns, where in it each distinct row begins, and the number of
+    the distinct row at each place."""
+    turn = np.lexsort(columns[::-1])
+    new = np.zeros(len(turn), bool)
+    for c in columns:
+        new |= np.diff(c[turn], prepend=c[turn[:1]] + np.uint64(1)) != 0
+    return turn, np.flatnonzero(new), np.cumsum(new) - 1
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -211,17 +221,6 @@ def _powers(base: int, n: int) -> np.ndarray:
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
-def _long_word(data: np.ndarray) -> np.uint64:
-    """The hash of a word of over a megabyte, summed by pieces."""
-    total, shift, step = 0, 1, 1 << 20
-    up = _powers(_BASE, step)
-    for lo in range(0, len(data), step):
-        part = _BYTE_VALUES[data[lo : lo + step]]
-        total += int((part * up[: len(part)]).sum(dtype=np.uint64)) * shift
-        shift = shift * pow(_BASE, step, 1 << 64) % (1 << 64)
-    return np.uint64(total % (1 << 64))
-
-
 def by_bucket(keys: np.ndarray, n_buckets: int) -> Iterator[tuple[int, int, int]]:
     """``(bucket, start, end)`` over sorted keys; a bucket is a range of the upper 32 bits."""
     if not len(keys):
@@ -253,7 +252,7 @@ Merge = Callable[[list[bytes]], bytes]
 Split = Callable[[bytes, bytes, bytes], bytes]
 
 
-def answered(questions: DataFrame, answer: Answer, merge: Merge | None = None, split: Split | None = None, n_blocks: int = 0, fan: int = FAN) -> DataFrame:
+def answered(questions: DataFrame, answer: Answer, merge: Merge, split: Split, n_blocks: int, fan: int = FAN) -> DataFrame:
     """Each bucket's answers to the blocks that asked it, in the form of the questions.
 
     Up to ``fan`` blocks ask a bucket directly. More of them first ask together: the questions of

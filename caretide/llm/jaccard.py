@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretide.llm.common import components, documents, mix, release_memory, shuffle_parts, small_slices, word_hashes
+from caretide.llm.common import components, documents, mix, release_memory, shuffle_parts, small_slices, text_hash, word_hashes
 from caretide.llm.substrings import grams
 from caretide.session import materialize
 
@@ -38,9 +38,21 @@ def shingle_sets(texts: pa.ChunkedArray, size: int = SHINGLE) -> list[np.ndarray
     return out
 
 
-def node_of(shingles: np.ndarray) -> int:
-    """A 63-bit number for a set: equal sets are one node."""
-    return int.from_bytes(blake2b(shingles.tobytes(), digest_size=8).digest(), "little") >> 1
+def node_of(shingles: np.ndarray) -> tuple[int, int]:
+    """A 63-bit number for a set, and 63 further bits: equal sets are one node."""
+    digest = blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(digest[:8], "little") >> 1, int.from_bytes(digest[8:], "little") >> 1
+
+
+def told_apart(sketched: DataFrame) -> DataFrame:
+    """The sketches with other numbers where different sets got the same one (``check`` tells them)."""
+    several = sketched.groupBy("node").agg(F.min("check").alias("least"), F.max("check").alias("most")).filter("least < most").select("node", "least")
+    if not several.take(1):
+        return sketched.drop("check")
+    marked = sketched.join(several, "node", "left")
+    other = F.shiftrightunsigned(F.xxhash64("node", "check"), 1)
+    node = F.when(F.col("least").isNull() | (F.col("check") == F.col("least")), F.col("node")).otherwise(other)
+    return marked.withColumn("node", node).drop("check", "least")
 
 
 def signatures(length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,18 +74,18 @@ def collision_chance(similarity, trees: int, depth: int):
 
 
 def _sketched(docs: DataFrame, trees: int, depth: int) -> DataFrame:
-    """``doc_id, th, node, sketch``: the text's hash, its shingle set's number and signature."""
+    """``doc_id, th, node, check, sketch``: the text's hash, its shingle set's number and signature."""
     factors, shifts = signatures(trees * depth)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small_slices(batch):
                 sets = shingle_sets(part.column("text"))
-                nodes = [node_of(s) if len(s) else None for s in sets]
+                nodes, checks = zip(*[node_of(s) if len(s) else (None, None) for s in sets], strict=True)
                 marks = [signature(s, factors, shifts).tobytes() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(nodes, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "th", "node", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()), pa.array(marks, pa.binary())], ["doc_id", "th", "node", "check", "sketch"])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(sketch, "doc_id bigint, th bigint, node bigint, sketch binary")
+    return docs.select("doc_id", "text", text_hash(F.col("text")).alias("th")).mapInArrow(sketch, "doc_id bigint, th binary, node bigint, check bigint, sketch binary")
 
 
 def _parts(frame: DataFrame, key: str, size: Column, limit: int) -> DataFrame:
@@ -228,7 +240,7 @@ def _verified(docs: DataFrame, sketched: DataFrame, clusters: DataFrame, chance,
     sizes = nodes.groupBy("root").agg(F.count("*").alias("size"))
     wanted = nodes.join(sizes, "root")
     # One row per text: copies do not travel.
-    texts = docs.select(F.xxhash64("text").alias("th"), "text").join(wanted, "th").dropDuplicates(["node"])
+    texts = docs.select(text_hash(F.col("text")).alias("th"), "text").join(wanted, "th").dropDuplicates(["node"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,7 +272,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
     table gives no rows; other columns are ignored.
     """
     docs = documents(docs)
-    sketched = materialize(_sketched(docs, trees, depth), "sketches")
+    sketched = told_apart(materialize(_sketched(docs, trees, depth), "sketches"))
     nodes = sketched.filter("node is not null").groupBy("node").agg(F.min("sketch").alias("sketch"))
     prefix = depth
     while True:
@@ -290,14 +302,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, trees: int
 def one_per_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents without near duplicates: of each class the one with the smallest id stays.
 
-    Of repeated rows one stays; documents without a word all stay. Columns are kept.
+    Of repeated rows one stays; documents without a word, or with null text, all stay. Columns are
+    kept, whatever their names; an empty table gives no rows.
     """
     found = near_duplicates(docs, similarity)
-    first = found.filter("node is not null").groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("__node")).agg(F.min(F.struct("doc_id", "th")).alias("__first"))
-    stay = first.select(F.col("__first.doc_id").alias("__id"), F.col("__first.th").alias("__th")).distinct()
+    first = found.filter("node is not null").groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("own")).agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    stay = first.select("first.doc_id", "first.th").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("__key", F.xxhash64(text)).withColumn("__did", F.col("doc_id").cast("bigint"))
-    wordless = ~F.exists(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    joined = keyed.join(stay, F.col("__did").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th")), "left_semi")
-    kept = joined.dropDuplicates(["__did", "__key"]).unionByName(keyed.filter(wordless))
-    return kept.drop("__key", "__did")
+    # The caller's columns travel as one, so that no name of theirs meets one of the operator's.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"), text.alias("words"))
+    wordless = ~F.exists(F.split("words", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    keyed = rows.withColumn("key", text_hash(F.col("words"))).drop("words")
+    joined = keyed.join(stay, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("th")), "left_semi")
+    kept = joined.dropDuplicates(["id", "key"]).select("row").unionByName(rows.filter(wordless).select("row"))
+    return kept.select("row.*")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caretide.llm.common import _BASE, _powers, mix, release_memory
+from caretide.llm.common import _BASE, _powers, mix, release_memory, text_hash
 from caretide.session import materialize
 
 #: A line is rare if at most this share of the distinct texts has it. Rare ones lead to partners
@@ -88,7 +88,7 @@ def common_blocks(later: list[int], earlier: list[int], sizes: list[int], min_ch
 def line_table(docs: DataFrame) -> DataFrame:
     """``did, th, hashes, sizes``: each document's id (null: last), text hash, line hashes and line lengths."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("did"), F.xxhash64(text).alias("th"), F.split(text, "\n", -1).alias("lines"))
+    lines = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("did"), text_hash(text).alias("th"), F.split(text, "\n", -1).alias("lines"))
     return lines.select("did", "th", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("lines", lambda x: F.length(F.trim(x))).alias("sizes"))
 
 
@@ -148,7 +148,7 @@ def shared_keys(texts: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys), *own, pa.array(at, pa.int32()), pa.array(new)], ["key", "did", "th", "at", "new"])
         release_memory()
 
-    rows = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "key bigint, did bigint, th bigint, at int, new boolean")
+    rows = texts.select("did", "th", "hashes", "sizes").mapInArrow(find, "key bigint, did bigint, th binary, at int, new boolean")
     shared = rows.filter("new").groupBy("key").agg(F.count("*").alias("df"), F.min(F.struct("did", "th")).alias("first")).filter("df > 1")
     # Stored, so that the join reads plain exchanges, whose hot partitions Spark splits.
     return materialize(rows.join(materialize(shared, "shared"), "key"), "held")
@@ -189,7 +189,7 @@ def aligned_lines(texts: DataFrame, rare_share: float = RARE_SHARE, min_chars: i
             pairs = left.select("key", "did", "th").join(partners, "key").filter(F.col("partner") < F.struct("did", "th")).select("th", F.col("partner.th").alias("earlier"))
         pairs = pairs.distinct() if done is None else pairs.distinct().join(done, ["th", "earlier"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        aligned = pairs.join(later, "th").join(earlier, "earlier").select("th", "hashes", "earlier_hashes", "sizes").mapInArrow(align, "th bigint, lines array<int>")
+        aligned = pairs.join(later, "th").join(earlier, "earlier").select("th", "hashes", "earlier_hashes", "sizes").mapInArrow(align, "th binary, lines array<int>")
         found = materialize(aligned.select("th", F.explode("lines").alias("at")).distinct(), "lost")
         lost, done = (found, pairs) if lost is None else (lost.union(found), done.union(pairs))
         if width is None:
@@ -224,12 +224,20 @@ def without_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_
 
     Lines are compared by 64-bit hashes and are parted by line feeds; blank lines
     have no characters of their own but may lie in a block. Null text counts as empty. Rows that repeat id and text count as one
-    document; documents with null ids come last. Columns of the input are kept, of the same
-    names; an empty table gives no rows.
+    document; documents with null ids come last. Columns of the input are kept, whatever their
+    names (a column of the name ``n_lines`` or ``n_removed`` keeps its values, and the count is
+    left out); an empty table gives no rows.
     """
-    lost = repeated_lines(docs, rare_share, min_chars).select(F.col("th").alias("__th"), F.col("first_did").alias("__first"), F.col("copied").alias("__copied"), F.col("removed").alias("__removed"))
+    out = _cut(docs, rare_share, min_chars)
+    added = [F.col(c) for c in ("n_lines", "n_removed") if c not in docs.columns]
+    return out.select("row.*", *added)
+
+
+def _cut(docs: DataFrame, rare_share: float, min_chars: int) -> DataFrame:
+    """``row, n_lines, n_removed``: the caller's columns as one, so that their names meet no other, with the new text."""
+    lost = repeated_lines(docs, rare_share, min_chars)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    copy = F.col("__copied") & (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)) != F.col("__first"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("whole"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("did"))
 
     @F.pandas_udf("string")
     def keep(texts: pd.Series, removed: pd.Series) -> pd.Series:
@@ -241,18 +249,21 @@ def without_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_
 
         return pd.Series([rest(t, r) for t, r in zip(texts, removed, strict=True)], index=texts.index, dtype=object)
 
-    n_lines = F.size(F.split(text, "\n", -1)).cast("bigint")
-    joined = docs.withColumn("__th", F.xxhash64(text)).join(lost, "__th", "left").withColumn("__copy", F.coalesce(copy, F.lit(False)))
-    new = F.when(F.col("__copy"), "").otherwise(keep(text, "__removed"))
-    counted = joined.withColumn("n_lines", n_lines).withColumn("n_removed", F.when(F.col("__copy"), F.col("n_lines")).otherwise(F.greatest(F.coalesce(F.size("__removed"), F.lit(0)), F.lit(0)).cast("bigint")))
-    return counted.withColumn("text", new).drop("__th", "__first", "__copied", "__removed", "__copy")
+    copy = F.coalesce(F.col("copied") & (F.col("did") != F.col("first_did")), F.lit(False))
+    joined = rows.withColumn("th", text_hash(F.col("whole"))).join(lost, "th", "left").withColumn("copy", copy)
+    n_lines = F.size(F.split("whole", "\n", -1)).cast("bigint")
+    n_removed = F.when(F.col("copy"), n_lines).otherwise(F.greatest(F.coalesce(F.size("removed"), F.lit(0)), F.lit(0)).cast("bigint"))
+    new = F.when(F.col("copy"), "").otherwise(keep("whole", "removed"))
+    return joined.select(F.col("row").withField("text", new).alias("row"), n_lines.alias("n_lines"), n_removed.alias("n_removed"))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, rare_share: float = RARE_SHARE, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents without repeated lines; ``n_chars``, if there, follows the text.
 
-    Documents of which nothing but white space is left go; those that lost no line stay.
+    Documents of which nothing but white space is left go; those that lost no line stay. Null
+    text becomes empty; rows that repeat id and text are cut alike; other columns are kept,
+    whatever their names; an empty table gives no rows.
     """
-    out = without_repeated_lines(docs)
-    out = out.filter((F.col("n_removed") == 0) | (F.trim(F.translate("text", "\n\t\r", "")) != "")).select(*docs.columns)
+    out = _cut(docs, rare_share, min_chars)
+    out = out.filter((F.col("n_removed") == 0) | (F.trim(F.translate("row.text", "\n\t\r", "")) != "")).select("row.*")
     return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else out

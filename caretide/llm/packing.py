@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caretide.llm.common import documents, release_memory, small_slices
-from caretide.llm.tokens import encoding, read_ranks
+from caretide.llm.tokens import encoding, read_added, read_ranks
 
 MAX_TOKENS = 1024
 END_ID = 0
@@ -87,7 +87,8 @@ def balance(lengths: list[int], capacity: int, linear: float = LINEAR, quadratic
 def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Pieces of documents in sequences of at most ``max_tokens``, with balanced attention cost.
 
-    A document is its text's subword ids and ``end_id``. While it has ``max_tokens`` or more, its
+    A document is its text's subword ids (an added token of the vocabulary, wherever the text
+    holds it, is one id) and ``end_id``. While it has ``max_tokens`` or more, its
     next ``max_tokens`` make a sequence of their own; the tails are dealt out to shards by a hash
     of the document, and each shard is packed by :func:`balance`: the estimated cost of a piece
     is linear plus quadratic in its length, descending tails go to the sequence of lowest cost
@@ -100,11 +101,16 @@ def pack(docs: DataFrame, path: str, max_tokens: int = MAX_TOKENS, end_id: int =
     """
     docs = documents(docs)
     n_shards = max(math.ceil(docs.count() / shard_docs), 1)
-    table = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # bounded by the vocabulary
+    table = docs.sparkSession.sparkContext.broadcast((read_ranks(path), read_added(path)))  # bounded by the vocabulary
     tail = "doc_id bigint, shard bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(table.value)._core_bpe.encode_ordinary
+        ranks, added = table.value
+        core, contents = encoding(ranks, added)._core_bpe, set(added)
+
+        def encode(text: str) -> list[int]:
+            return core.encode(text, contents) if any(c in text for c in contents) else core.encode_ordinary(text)
+
         for batch in batches:
             for part in small_slices(batch):
                 rows = []

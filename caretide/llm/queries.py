@@ -44,7 +44,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    cut = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -118,17 +118,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op10_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            SELECT row_number() OVER () AS row, vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.row, q.vec_id AS query_id, c.vec_id,
                    CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.v, c.v)]) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            FROM v q JOIN v c ON q.row <> c.row AND len(q.v) = len(c.v)
             WHERE q.vec_id % 100 = 0
         ), ranked AS (
-            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+            SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,

@@ -22,6 +22,7 @@ from caretide.llm.common import (
     block_no,
     by_bucket,
     count_blocks,
+    distinct_rows,
     documents,
     framed,
     mix,
@@ -268,20 +269,11 @@ class Runs:
         return at, np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
 
 
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows: an order by the columns, the first row of each distinct one in it, and each row's number there."""
-    turn = np.lexsort(columns[::-1])
-    new = np.zeros(len(turn), bool)
-    for c in columns:
-        new |= np.diff(c[turn], prepend=c[turn[:1]] + np.uint64(1)) != 0
-    return turn, np.flatnonzero(new), np.cumsum(new) - 1
-
-
 # Questions of the first round: keys with piece digests, and whether the piece stands at several places.
 
 
 def _keys_asked(key: np.ndarray, digest: np.ndarray, often: np.ndarray) -> bytes:
-    turn, first, number = _distinct(key, digest[:, 0], digest[:, 1])
+    turn, first, number = distinct_rows(key, digest[:, 0], digest[:, 1])
     weight = np.bincount(number, 1 + often[turn], len(first)) if len(turn) else np.empty(0)
     rows = turn[first]
     return framed([squeeze_sorted(key[rows]), squeeze(digest[rows]), squeeze(weight > 1)])
@@ -324,7 +316,7 @@ def _split_keys(own: bytes, _: bytes, reply: bytes) -> bytes:
 
 def _pieces_asked(rows: list[tuple[int, bytes, int, bool]], digest: np.ndarray, often: np.ndarray) -> bytes:
     """``rows``: key, piece, anchor's offset and whether at several places, in order."""
-    turn, first, number = _distinct(digest[:, 0], digest[:, 1])
+    turn, first, number = distinct_rows(digest[:, 0], digest[:, 1])
     weight = np.bincount(number, 1 + often[turn], len(first)) if len(turn) else np.empty(0)
     columns = [np.array([r[k] for r in rows], t) for k, t in ((0, "<u8"), (2, "<u2"), (3, bool))]
     sizes = np.array([len(r[1]) for r in rows], "<u4")
@@ -497,7 +489,7 @@ def drop_repeated_bytes(
 
 def _of_distinct(digest: np.ndarray, hits: np.ndarray) -> np.ndarray:
     """Flags of distinct digests, in the order in which they are asked, for all rows."""
-    turn, _, number = _distinct(digest[:, 0], digest[:, 1])
+    turn, _, number = distinct_rows(digest[:, 0], digest[:, 1])
     out = np.zeros(len(digest), bool)
     out[turn] = hits[number]
     return out

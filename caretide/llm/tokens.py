@@ -5,25 +5,54 @@ from __future__ import annotations
 import base64
 import json
 import re
+from functools import lru_cache
+from typing import Any
 
 #: Fixed value: the pattern that splits text before the merges of these vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: White space of Unicode. Python's engines also take the controls 1C to 1F, so it is spelt out.
-_SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
-_SPELT = PATTERN.replace(r"[^\s", f"[^{_SPACE}").replace(r"\S", f"[^{_SPACE}]").replace(r"\s", f"[{_SPACE}]")
 #: The same for texts of Latin letters, in the syntax of the faster standard engine.
 _LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 #: Characters on which the two engines' classes may differ.
 _OTHER = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
 
 
+@lru_cache(1)
+def _spelt() -> Any:
+    """The pattern with its classes spelt out as the ranges that the encoding library's engine has.
+
+    Other engines have tables of other Unicode versions. The library encodes only what its
+    pattern matches; so, given a class as the pattern and all characters as the text, it tells
+    the members of the class.
+    """
+    import tiktoken
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    single = {bytes([b]): b for b in range(256)}
+
+    def members(sign: str) -> str:
+        engine = tiktoken.Encoding("class", pat_str=sign, mergeable_ranks=single, special_tokens={})
+        return _ranges([ord(c) for c in bytes(engine.encode_ordinary(every)).decode()])
+
+    letter, number, space = map(members, (r"\p{L}", r"\p{N}", r"\s"))
+    spelt = PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]")
+    for sign, spelled in ((r"\p{L}", f"[{letter}]"), (r"\p{N}", f"[{number}]"), (r"\s", f"[{space}]"), (r"\S", f"[^{space}]")):
+        spelt = spelt.replace(sign, spelled)
+    return re.compile(spelt)
+
+
+def _ranges(points: list[int]) -> str:
+    """Ascending code points as the content of a character class."""
+    out, lo = [], points[0]
+    for at, point in enumerate(points):
+        if at + 1 == len(points) or points[at + 1] != point + 1:
+            out.append(f"\\U{lo:08x}-\\U{point:08x}")
+            lo = points[at + 1] if at + 1 < len(points) else lo
+    return "".join(out)
+
+
 def pretokens(text: str) -> list[str]:
     """The pattern's matches; they cover the text."""
-    if not _OTHER.search(text):
-        return _LATIN.findall(text)
-    import regex
-
-    return regex.findall(_SPELT, text)
+    return _spelt().findall(text) if _OTHER.search(text) else _LATIN.findall(text)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -52,7 +81,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
 
 
-def encoding(ranks: dict[bytes, int]):
+def read_added(path: str) -> dict[str, int]:
+    """``{content: id}`` of the tokens that a ``.json`` file adds to its vocabulary.
+
+    Wherever a text holds such a content, it is one token; only plain ones are supported, which
+    are neither stripped nor bound to whole words.
+    """
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", ())
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+        raise ValueError(f"{path} adds tokens that take in what is beside them")
+    return {t["content"]: t["id"] for t in added}
+
+
+def encoding(ranks: dict[bytes, int], added: dict[str, int] | None = None):
     import tiktoken
 
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added or {})

@@ -60,6 +60,26 @@ def test_words_and_hashes(rows):
     flat = [w for t in all_texts for w in words_of(t)]
     assert [len(re.findall(WORDS, t)) for t in all_texts] == counts.tolist() == [len(words_of(t)) for t in all_texts]
     assert len(set(flat)) == len(set(hashes.tolist())) == len(set(zip(flat, hashes.tolist(), strict=True)))
+    sliced, of_sliced = word_hashes(pa.array(all_texts)[3:9])
+    assert sliced.tolist() == hashes[counts[:3].sum() : counts[:9].sum()].tolist() and of_sliced.tolist() == counts[3:9].tolist()
+
+
+def thue_morse(letters):
+    """A word and its complement: sums of powers of any odd base modulo 2^64 are equal for both."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(letters))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [1024, 2048, 4096])
+def test_words_made_to_collide(spark, letters):
+    common = " ".join(f"common{k}" for k in range(34))
+    rows = [(k, f"{common} {word}", "en") for k, word in enumerate(thue_morse(letters))]
+    assert [r.n_removed for r in substrings.drop_repeated_passages(frame(spark, rows)).collect()] == [0, 0]
+    a, b = thue_morse(letters)
+    short = [(0, a, "en"), (1, b, "en"), (2, b, "en")]
+    found = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, short)).collect()}
+    assert found == {0: (0, 0), 1: (1, 1), 2: (1, 1)}
+    assert {r.doc_id for r in jaccard.one_per_class(frame(spark, short)).collect()} == {0, 1}
 
 
 def test_bpe_equals_the_library(docs, rows):
@@ -69,6 +89,8 @@ def test_bpe_equals_the_library(docs, rows):
     whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.read_ranks(path), special_tokens={})
     want = Counter((i, tuple(whole.encode_ordinary(t or ""))) for i, t, _ in rows)
     encoded = bpe.encode(docs, path, block_bytes=2000)
+    halls = bpe.encode(docs, path, block_bytes=2000, fan=2)  # questions meet in several steps
+    assert Counter((r.doc_id, tuple(r.ids)) for r in halls.collect()) == want
     assert Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == want
     digests = bpe.encode_digests(docs, path).collect()
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in digests) == Counter({(i, len(x), sha(",".join(map(str, x)))): n for (i, x), n in want.items()})
@@ -76,6 +98,16 @@ def test_bpe_equals_the_library(docs, rows):
     assert Counter((r.doc_id, bytes(r.decoded)) for r in bpe.decode(encoded, path).collect()) == Counter((i, (t or "").encode()) for i, t, _ in rows)
 
 
+def test_pretokens_of_every_code_point():
+    import tiktoken
+
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.read_ranks(queries.MULTI_BPE), special_tokens={})
+    every = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)]]
+    for lo in range(0, len(every), 5000):
+        text = "".join(f"a{c} {c}1" for c in every[lo : lo + 5000])
+        assert [i for w in tokens.pretokens(text) for i in whole._encode_single_piece(w)] == whole.encode_ordinary(text)
+
+
 def test_ranks_from_json_and_tiktoken_agree():
     assert tokens.read_ranks(queries.BYTE_BPE) == tokens.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -91,15 +123,42 @@ def test_substring_dedup(docs, rows, window):
             if seen[tuple(w[k : k + window])] > 1:
                 gone[k : k + window] = [True] * window
         want[i, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone, strict=True) if not g))] += 1
-    got = substrings.drop_repeated_passages(docs, window, block_bytes=1500).collect()
-    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+    for fan in (512, 3):  # questions directly, and in several steps
+        got = substrings.drop_repeated_passages(docs, window, block_bytes=1500, fan=fan).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+
+
+def test_groups_of_questions_are_bounded(spark):
+    """However many blocks ask about one key, no group has more than ``fan`` payloads."""
+    from caretide.llm import common
+
+    rows = [(0, block, bytes([block % 251])) for block in range(300)]
+    questions = spark.createDataFrame(rows, common.ASKED)
+
+    def answer(payloads):
+        assert len(payloads) <= 4
+        return [bytes([len(payloads)]) + p for p in payloads]
+
+    def merge(payloads):
+        assert len(payloads) <= 4
+        return bytes(sorted(set(b"".join(payloads))))
+
+    def split(own, whole, reply):
+        assert set(own) <= set(whole) and reply
+        return own
+
+    found = common.answered(questions, answer, merge, split, 300, fan=4).collect()
+    assert sorted((r.bucket, r.block, bytes(r.payload)) for r in found) == sorted(rows)
 
 
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(queries.BYTE_BPE)
-    tokenizer.encode_special_tokens = True
+    special = "hello <|endoftext|> world<|endoftext|><|endoftext|>é <|endoftext"
+    rows = [*rows, (800, special, "en"), (801, "<|endoftext|>", None)]
+    docs = frame(docs.sparkSession, rows)
+    assert 50256 in tokenizer.encode(special, add_special_tokens=False).ids
     for size in (8, 1024):
         pieces = packing.pack(docs, queries.BYTE_BPE, max_tokens=size, shard_docs=20).collect()
         want = Counter((i, tuple(tokenizer.encode(t or "", add_special_tokens=False).ids) + (0,)) for i, t, _ in rows)
@@ -400,14 +459,29 @@ def test_top_k(spark):
     rng = np.random.default_rng(1)
     rows = [(k, [float(x) for x in rng.normal(size=8)]) for k in range(300)]
     rows += [(300 + k, rows[k][1]) for k in range(0, 60, 20)] + [(900, None), (901, [1.0, None]), (902, [float("nan")] * 8), (None, [1.0] * 8), (1000, [1.0, 2.0]), (1001, [0.5, -1.0])]
-    frame_ = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<float>, score string")
+    # Rows that share an id: equal ones, others, one of a query; a best row twice.
+    rows += [(20, [9.0] * 8), (20, rows[20][1]), (5, [8.0] * 8), (5, [8.0] * 8), (7, [7.0] * 8), (40, [2.0] * 8), (40, [2.0] * 8), (1000, [1.0, 2.0])]
+    frame_ = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id bigint, embedding array<float>, score string, row int")
     whole = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int).tolist()) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
-    want = set()
-    for q, x in whole:
+    want = Counter()
+    for n, (q, x) in enumerate(whole):
         if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), j) for j, y in whole if j != q and len(x) == len(y))[:10]
-            want |= {(q, k + 1, j, -s) for k, (s, j) in enumerate(best)}
-    assert {tuple(r) for r in topk.exact_top_k(frame_, F.col("vec_id") % 20 == 0).collect()} == want
+            best = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), j) for m, (j, y) in enumerate(whole) if m != n and len(x) == len(y))[:10]
+            want.update((q, k + 1, j, -s) for k, (s, j) in enumerate(best))
+    assert Counter(tuple(r) for r in topk.exact_top_k(frame_, F.col("vec_id") % 20 == 0).collect()) == want
+
+
+def test_top_k_equals_its_sql_with_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    rows = [(100, [float(k), 32.0]) for k in (1, 2)] + [(5, [1.0, 1.0]), (5, [32.0, 32.0]), (5, [32.0, 32.0]), (200, [1.0, 1.0]), (200, [1.0, 1.0]), (None, [1.0, 1.0])]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = Counter(con.sql(queries.ORACLES["op10_exact_top_k"]).fetchall())
+    found = queries.op10_exact_top_k(spark, str(tmp_path))
+    assert Counter(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()) == want
+    assert any(r[2] == 5 and r[3] > 1_000_000 for r in want)
 
 
 def test_toxicity(spark):
