@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,8 +14,11 @@ from caretide.functions.columns import finite
 from caretide.operators.quality import agg_to_rows
 from caretide.operators.quantiles import exact_quantiles
 from caretide.operators.schema import col, numeric_columns
+from caretide.session import materialize
 
 _PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+#: Pairs of columns correlated by one native aggregation; the code of a larger one is slow to compile.
+PAIRS_PER_PASS = 24
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -136,36 +140,64 @@ def distribution_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return agg_to_rows(df, entries, ("column", "metric"))
 
 
-def pearson(a: Column, b: Column) -> Column:
-    """Pearson r over rows where both values are present; null if one is constant."""
+def pearson(a: Column, b: Column, gaps: bool = True) -> Column:
+    """Pearson r over rows where both values are present; null if one is constant or infinite.
+
+    Without ``gaps`` both are present in every row, so that what is computed of one column is
+    shared by all its pairs.
+    """
     both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
+    x, y = (F.when(both, a), F.when(both, b)) if gaps else (a, b)
     # Tested on the values: rounding may leave a constant a deviation.
     varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(varies & ~F.isnan(r), r)
 
 
-def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``(var1, var2, correlation)`` for every pair of numeric columns.
+def correlations(df: DataFrame, columns: Sequence[str] | None = None, pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
+    """``(var1, var2, correlation)`` for every pair of numeric columns, over rows where both are present.
 
-    The table is read once, each task adding up its cross products as matrices, so
-    only partial sums are shuffled, whatever the number of columns. A pair with a
-    constant column has no correlation (null).
+    Up to ``pairs_per_pass`` pairs are one aggregation, each pair with its own means and
+    deviations, so that a large value beside a gap of the other column does not touch it. More
+    pairs are first added up as matrices, in one scan whatever their number; pairs whose sums
+    cancel there (their values lie far from the column's mean, or are constant or infinite) are
+    then aggregated natively, so many at a time. A pair with a constant column, or with infinite
+    values, has no correlation (null).
     """
     names = list(columns) if columns is not None else numeric_columns(df)
-    view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
-    if len(names) < 2:
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    if not pairs:
         return df.sparkSession.createDataFrame([], "var1 string, var2 string, correlation double")
-    return _by_matrix(view, names)
+    view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
+    if len(pairs) <= pairs_per_pass:
+        return _by_pair(view, names, pairs)
+    view = materialize(view, "numbers")
+    sums = materialize(_by_matrix(view, len(names)), "sums")
+    again = [tuple(r) for r in sums.filter("correlation IS NULL").select("i", "j").collect()]  # numbers of columns
+    labels = F.array(*[F.lit(c) for c in names])
+    found = sums.filter("correlation IS NOT NULL").select(F.get(labels, F.col("i")).alias("var1"), F.get(labels, F.col("j")).alias("var2"), "correlation")
+    parts = [_by_pair(view, names, again[lo : lo + pairs_per_pass]) for lo in range(0, len(again), pairs_per_pass)]
+    return reduce(DataFrame.unionByName, [found, *parts])
+
 
+def _by_pair(view: DataFrame, names: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    used = sorted({i for pair in pairs for i in pair})
+    missing = view.agg(*[F.count_if(F.col(f"c{i}").isNull()).alias(f"c{i}") for i in used]).first()
 
-def _by_matrix(view: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Pair sums of each task as matrix products, then one sum per pair.
+    def entry(i: int, j: int) -> Column:
+        gaps = bool(missing[f"c{i}"] or missing[f"c{j}"])
+        r = pearson(F.col(f"c{i}"), F.col(f"c{j}"), gaps)
+        return F.struct(F.lit(names[i]).alias("var1"), F.lit(names[j]).alias("var2"), r.alias("correlation"))
 
-    Values are shifted by the column means first, which keeps the sums exact
-    enough; pairs count only rows where both values are present.
+    entries = view.agg(F.array(*[entry(i, j) for i, j in pairs]).alias("pairs"))
+    return entries.select(F.inline("pairs"))
+
+
+def _by_matrix(view: DataFrame, size: int) -> DataFrame:
+    """``i, j, correlation`` of each pair from sums of matrix products about the column means.
+
+    Null where so much of a sum cancels that its digits are not to be trusted.
     """
-    size = len(names)
     centre = [m or 0.0 for m in view.agg(*[F.avg(c) for c in view.columns]).first()]
     first, second = np.triu_indices(size, 1)
 
@@ -175,28 +207,20 @@ def _by_matrix(view: DataFrame, names: Sequence[str]) -> DataFrame:
             x = batch.to_numpy(dtype=float) - np.array(centre)
             here = ~np.isnan(x)
             m, x = here.astype(float), np.where(here, x, 0.0)
-            for k, part in enumerate((m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)):
-                sums[k] += part
+            with np.errstate(over="ignore", invalid="ignore"):
+                for k, part in enumerate((m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)):
+                    sums[k] += part
         picked = sums[:, first, second]
         yield pd.DataFrame({"i": first, "j": second, **dict(zip(_PAIR_SUMS, picked, strict=True))})
 
     schema = "i int, j int, " + ", ".join(f"{s} double" for s in _PAIR_SUMS)
-    total = (
-        view.mapInPandas(add_up, schema)
-        .groupBy("i", "j")
-        .agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
-    )
+    total = view.mapInPandas(add_up, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    above = n * F.col("sxy") - sx * sy
-    # What rounding leaves of a constant is no deviation.
-    spread_x = F.when(n * F.col("sxx") - sx * sx > n * F.col("sxx") * 1e-12, n * F.col("sxx") - sx * sx)
-    spread_y = F.when(n * F.col("syy") - sy * sy > n * F.col("syy") * 1e-12, n * F.col("syy") - sy * sy)
-    labels = F.array(*[F.lit(c) for c in names])
-    return total.select(
-        F.get(labels, F.col("i")).alias("var1"),
-        F.get(labels, F.col("j")).alias("var2"),
-        F.try_divide(above, F.sqrt(spread_x) * F.sqrt(spread_y)).alias("correlation"),
-    )
+    spread_x, spread_y = n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
+    # Of such a spread some nine digits are left; a constant has none.
+    sound = (spread_x > n * F.col("sxx") * 1e-6) & (spread_y > n * F.col("syy") * 1e-6)
+    r = F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(spread_x) * F.sqrt(spread_y))
+    return total.select("i", "j", F.when(sound & ~F.isnan(r) & (F.abs(r) <= 1 + 1e-9), r).alias("correlation"))
 
 
 def strong_correlations(

@@ -543,6 +543,33 @@ def correlations_wide(spark, sf):
     return rounded(ex.strong_correlations(lines, 0.3), "correlation")
 
 
+# Large values beside gaps, infinities, a constant and a column that is constant where the others are present.
+_GAPS = (
+    "SELECT CAST(CASE WHEN l_orderkey % 7 = 0 THEN 1e7 + l_orderkey ELSE l_quantity END AS DOUBLE) AS large, "
+    "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity * l_quantity END AS squares, "
+    "CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_extendedprice END AS price, "
+    "CASE WHEN l_orderkey = 1 THEN {inf} ELSE CAST(l_tax AS DOUBLE) END AS endless, "
+    "3 AS fixed, CASE WHEN l_orderkey % 7 = 0 THEN 5.0 ELSE 0.1 END AS steps FROM {lines}"
+)
+_GAP_NAMES = ("large", "squares", "price", "endless", "fixed", "steps")
+
+
+@query(
+    "correlations_gaps",
+    f"""WITH g AS ({_GAPS.format(inf="CAST('inf' AS DOUBLE)", lines="lineitem")}),
+    pairs AS ({" UNION ALL ".join(
+        f"SELECT '{a}' AS var1, '{b}' AS var2, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL AND NOT (isinf({a}) OR isinf({b}))) AS n, "
+        f"count({a} + {b}) AS m, covar_pop({a}, {b}) FILTER (isfinite({a} + {b})) AS cov, "
+        f"stddev_pop({a}) FILTER (isfinite({a} + {b})) AS sa, stddev_pop({b}) FILTER (isfinite({a} + {b})) AS sb, "
+        f"min({a}) FILTER ({b} IS NOT NULL) < max({a}) FILTER ({b} IS NOT NULL) AND min({b}) FILTER ({a} IS NOT NULL) < max({b}) FILTER ({a} IS NOT NULL) AS varies FROM g"
+        for i, a in enumerate(_GAP_NAMES) for b in _GAP_NAMES[i + 1:])})
+    SELECT var1, var2, CASE WHEN varies AND n = m THEN round(cov / (sa * sb), 6) END AS correlation FROM pairs""",
+)
+def correlations_gaps(spark, sf):
+    lines = spark.sql(_GAPS.format(inf="double('Infinity')", lines="{lines}"), lines=table(spark, sf, "lineitem"))
+    return rounded(ex.correlations(lines, _GAP_NAMES), "correlation")
+
+
 @query(
     "top_k",
     "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 20",

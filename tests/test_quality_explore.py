@@ -191,3 +191,15 @@ def test_reports_of_one_kind_of_column(spark):
     assert "numeric" not in {r["check"] for r in quality_report(texts).collect()}
     assert ex.summary_stats(texts).count() == 0 and ex.correlations(numbers).count() == 0
     assert ql.categorical_report(numbers).count() == 0
+
+
+def test_correlations_with_a_large_value_beside_a_gap(spark):
+    rows = [(1e7, None, 1.0), (1.0, 1.0, float("inf")), (2.0, 4.0, 3.0), (3.0, 9.0, None), (4.0, 16.0, 2.0), (5.0, 25.0, 9.0)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    found = {(r["var1"], r["var2"]): r["correlation"] for r in ex.correlations(df).collect()}
+    assert found["x", "y"] == pytest.approx(0.9811049102515929)
+    assert found["x", "z"] is None and found["y", "z"] is None
+    assert [r["var2"] for r in ex.strong_correlations(df, 0.5).collect()] == ["y"]
+    one_at_a_time = {(r["var1"], r["var2"]): r["correlation"] for r in ex.correlations(df, pairs_per_pass=1).collect()}
+    assert one_at_a_time == pytest.approx(found)
+    assert "Python" not in ex.correlations(df)._jdf.queryExecution().toString()
