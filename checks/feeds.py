@@ -10,6 +10,7 @@ from caretide.operators import daily as dy
 from caretide.operators import explore as ex
 from caretide.operators import feeds as fd
 from caretide.operators import sentiment as sn
+from caretide.operators import terms as tm
 from caretide.plans.clean import clean_feed as clean_feed_plan
 from caretide.plans.clean import derive_visits
 from caretide.plans.collect import collect_all as collect_all_plan
@@ -426,6 +427,32 @@ def match_queries(spark, sf):
     )
 
 
+# The words of all benchmark passages, their beginnings and ends, and each beside other characters.
+_TERM_TABLE = "SELECT DISTINCT term FROM (" + " UNION ALL ".join(
+    f"SELECT {e} AS term FROM {{words}}"
+    for e in ("w", "substring(w, 1, 3)", "substring(w, 2)", "concat('é', w)", "concat(w, ' ')", "concat(' ', w)", "concat(w, 's')", "concat(w, w)")
+) + ") u WHERE term <> ''"
+
+
+@query(
+    "match_term_table",
+    "WITH words AS (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark), "
+    "terms AS (" + _TERM_TABLE.replace("{words}", "words") + ") "
+    "SELECT doc_id, count(*) AS n_terms, min(term) AS first_term, max(term) AS last_term, CAST(sum(length(term)) AS BIGINT) AS chars "
+    "FROM documents JOIN terms ON contains(text, term) GROUP BY doc_id",
+)
+def match_term_table(spark, sf):
+    """Thousands of terms, overlapping, nested and not ASCII, found in all documents."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
+    terms = spark.sql(_TERM_TABLE, words=words)
+    found = tm.contained_terms(table(spark, sf, "documents"), terms, keep=["doc_id"])
+    term = F.col("match.term")
+    return found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.min(term).alias("first_term"), F.max(term).alias("last_term"),
+        F.sum(F.length(term)).cast("bigint").alias("chars"),
+    )
+
+
 _LIMITED = f"""{_duck_matches('v_tweets', 'text')},
     q AS (SELECT *, row_number() OVER (PARTITION BY query_no ORDER BY date DESC, tweet_id DESC) AS position FROM m),
     w AS (SELECT * FROM q WHERE position <= CASE WHEN is_hashtag THEN 50 ELSE 25 END)"""
