@@ -104,10 +104,9 @@ class Automaton:
         out: list[np.ndarray] = []
         while len(state):
             own = self.term[state] >= 0
-            out.append(np.stack([text[own], self.term[state[own]]]))
+            out.append(text[own] * len(self.term) + self.term[state[own]])
             text, state = text[self.shorter[state] >= 0], self.shorter[state][self.shorter[state] >= 0]
-        found = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.empty((2, 0), np.int64)
-        return found[0], found[1]
+        return np.divmod(np.unique(np.concatenate(out)) if out else np.empty(0, np.int64), len(self.term))
 
 
 def contained_terms(texts: DataFrame, terms: DataFrame, column: str = "text", term: str = "term", keep: Sequence[str] | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
