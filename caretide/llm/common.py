@@ -170,9 +170,10 @@ def word_digests(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK)
     """128-bit digests of all words of some texts, as two columns, text after text, and each
     text's number of words.
 
-    Words are found on the column's bytes at once, as word breaks are single bytes of UTF-8, and
-    put into a dictionary; each distinct word is hashed once, by a cryptographic hash, so that
-    no two words can be made to collide.
+    Words are found on the column's bytes at once, as word breaks are single bytes of UTF-8. A
+    word of up to 15 bytes is these bytes and its length, 128 bits that a permutation (a Feistel
+    network) scrambles, so no two of them have the same digest; a longer word has a
+    cryptographic hash.
     """
     if isinstance(texts, pa.ChunkedArray):
         parts = [word_digests(c, breaks) for c in texts.chunks]
@@ -189,10 +190,28 @@ def word_digests(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK)
     starts = np.flatnonzero(word & (new[:-1] | ~np.concatenate([[False], word[:-1]])))
     ends = np.flatnonzero(word & (new[1:] | ~np.concatenate([word[1:], [False]]))) + 1
     counts = np.bincount(np.searchsorted(offsets, starts, side="right") - 1, minlength=len(texts))
-    edges = np.concatenate([[0], np.cumsum(ends - starts)])
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data[word])]).dictionary_encode()
-    digests = b"".join([blake2b(w, digest_size=16).digest() for w in words.dictionary.to_pylist()])
-    return np.frombuffer(digests, "<u8").reshape(-1, 2)[words.indices.to_numpy()], counts.astype(np.int64)
+    sizes = ends - starts
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    digests = np.lib.stride_tricks.sliding_window_view(padded, 16)[starts].view("<u8").copy()
+    short = np.minimum(sizes, 15)
+    for half in (0, 1):
+        digests[:, half] &= _FIRST_BYTES[np.clip(short - 8 * half, 0, 8)]
+    digests[:, 1] |= short.astype(np.uint64) << np.uint64(56)
+    low, high = digests[:, 0], digests[:, 1]
+    for k in range(6):
+        low, high = high, low ^ mix(high, k)
+    digests = np.stack([low, high], axis=1)
+    known: dict[bytes, bytes] = {}
+    for i in np.flatnonzero(sizes > 15).tolist():
+        word = data[starts[i] : ends[i]].tobytes()
+        if (found := known.get(word)) is None:
+            found = known[word] = blake2b(word, digest_size=16).digest()
+        digests[i] = np.frombuffer(found, "<u8")
+    return digests, counts.astype(np.int64)
+
+
+#: Masks of the first 0 to 8 bytes of a word of eight.
+_FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK) -> tuple[np.ndarray, np.ndarray]:
@@ -204,10 +223,12 @@ def word_hashes(texts: pa.Array | pa.ChunkedArray, breaks: np.ndarray = _BREAK)
 def distinct_rows(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of rows: their order by the columns, where in it each distinct row begins, and the number of
     the distinct row at each place."""
-    turn = np.lexsort(columns[::-1])
-    new = np.zeros(len(turn), bool)
-    for c in columns:
-        new |= np.diff(c[turn], prepend=c[turn[:1]] + np.uint64(1)) != 0
+    turn = np.argsort(columns[0])
+    changed = [np.diff(c[turn], prepend=c[turn[:1]] + np.uint64(1)) != 0 for c in columns]
+    if any((c & ~changed[0]).any() for c in changed[1:]):  # rows that only later columns tell apart
+        turn = np.lexsort(columns[::-1])
+        changed = [np.diff(c[turn], prepend=c[turn[:1]] + np.uint64(1)) != 0 for c in columns]
+    new = np.logical_or.reduce(changed)
     return turn, np.flatnonzero(new), np.cumsum(new) - 1
 
 
