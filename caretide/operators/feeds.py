@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caretide.operators.schema import col
@@ -52,6 +52,26 @@ def match_queries(
     )
 
 
+#: Spark cuts groups inside map tasks by itself up to this number of rows.
+_CUT_BY_SPARK = 1_000
+#: Parts of a group that are cut by themselves where Spark does not.
+_SALTS = 64
+
+
+def cut_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """``df`` without rows that cannot be among the first ``k`` of their group.
+
+    Beyond the number up to which Spark does so in map tasks, each group is dealt out to parts by
+    a hash of the rows' other columns, and each part keeps its own first ``k``; so a group of any
+    size reaches the last step as at most ``k`` rows per part, and no task sorts it whole.
+    """
+    if k <= _CUT_BY_SPARK:
+        return df
+    dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*[col(c) for c in df.columns if c not in keys and not df.schema[c].dataType.simpleString().startswith("map")]), F.lit(_SALTS)))
+    part = Window.partitionBy(*[col(c) for c in keys], "__salt").orderBy(*order)
+    return dealt.withColumn("__rn", F.row_number().over(part)).filter(F.col("__rn") <= k).drop("__rn", "__salt")
+
+
 def limit_per_query(
     matches: DataFrame,
     hashtag_limit: int = 500,
@@ -61,10 +81,12 @@ def limit_per_query(
 ) -> DataFrame:
     """Newest matches per term, up to the term's limit.
 
-    Each map task keeps at most the limit per term before the shuffle.
+    Each map task keeps at most the limit per term before the shuffle (see :func:`cut_groups`).
     """
-    w = Window.partitionBy("query_no").orderBy(col(date_column).desc(), col(id_column).desc())
+    order = [col(date_column).desc(), col(id_column).desc()]
     top = max(hashtag_limit, phrase_limit)
+    matches = cut_groups(matches, ["query_no"], order, top)
+    w = Window.partitionBy("query_no").orderBy(*order)
     ranked = matches.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top)
     limit = F.when(F.col("is_hashtag"), F.lit(hashtag_limit)).otherwise(F.lit(phrase_limit))
     return ranked.filter(F.col("position") <= limit)
@@ -78,7 +100,9 @@ def newest_per_group(
     id_column: str = "post_id",
 ) -> DataFrame:
     """The ``k`` newest rows per group, ties by id."""
-    w = Window.partitionBy(col(group)).orderBy(col(date_column).desc(), col(id_column).asc())
+    order = [col(date_column).desc(), col(id_column).asc()]
+    w = Window.partitionBy(col(group)).orderBy(*order)
+    posts = cut_groups(posts, [group], order, k)
     return posts.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
 
 

@@ -193,6 +193,8 @@ def chi2_goodness(
         F.sum("e"),
         F.count_if((F.col("e") == 0) & (F.col("o") > 0)),
     ).first()
+    if not k:  # no category in either table
+        return _one(observed.sparkSession, statistic=math.nan, dof=0, **_verdict(math.nan, alpha))
     if empty or abs(total - wanted) > 1e-8 * max(abs(total), abs(wanted)):
         raise ValueError(f"observed total {total} and expected total {wanted} do not agree")
     return _one(
@@ -413,7 +415,7 @@ def granger(
 ) -> DataFrame:
     """Does the past of ``x`` help to predict ``y`` beyond the past of ``y``?
 
-    F test of two lag regressions on a daily table.
+    F test of two lag regressions on a daily table; null where the rows are too few for it.
     """
     w = Window.orderBy(order_by)
     steps = range(1, lags + 1)
@@ -434,9 +436,11 @@ def granger(
         fit = LinearRegression(labelCol="y", solver="normal", regParam=0.0).fit(data)
         return fit.summary.meanSquaredError * n
 
-    small, full = residual(own), residual(own + other)
     d2 = n - 2 * lags - 1
-    stat = _ratio((small - full) / lags, full / d2) if d2 > 0 else math.nan
+    stat = math.nan
+    if d2 > 0:
+        small, full = residual(own), residual(own + other)
+        stat = _ratio((small - full) / lags, full / d2)
     p = math.nan if math.isnan(stat) else tails.f_sf(stat, lags, d2)
     return _one(
         daily.sparkSession, lags=lags, n=n, statistic=stat, dof_denominator=d2, **_verdict(p, alpha)

@@ -274,3 +274,20 @@ def test_landing_csv_must_match_its_schema(spark):
     assert src.read_landing(spark, path, "b string, a int", "csv").count() == 1
     with pytest.raises(Exception, match="(?i)header"):
         src.read_landing(spark, path, "a int, b string", "csv").collect()
+
+
+def test_top_rows_of_large_groups_are_cut_in_parts(spark):
+    from caretide.operators.feeds import limit_per_query, newest_per_group
+
+    posts = spark.range(9000).selectExpr("id AS post_id", "CASE WHEN id % 9 = 0 THEN 'b' ELSE 'a' END AS subreddit", "timestamp_seconds(id % 3000) AS date")
+    for k in (1000, 1001, 2500):
+        kept = newest_per_group(posts, k=k)
+        assert kept.columns == posts.columns
+        want = sorted(((-(i % 3000), i) for i in range(9000) if i % 9), key=lambda x: x)[:k]
+        assert {r["post_id"] for r in kept.filter("subreddit = 'a'").collect()} == {i for _, i in want}
+        assert kept.filter("subreddit = 'b'").count() == min(k, 1000)
+    matches = posts.selectExpr("post_id AS tweet_id", "date", "0 AS query_no", "true AS is_hashtag")
+    limited = limit_per_query(matches, 1500, 10)
+    assert sorted(r["position"] for r in limited.collect()) == list(range(1, 1501))
+    want = sorted(((i % 3000, i) for i in range(9000)), reverse=True)[:1500]
+    assert {r["tweet_id"] for r in limited.collect()} == {i for _, i in want}

@@ -228,3 +228,13 @@ def test_spike_alert(spark):
     got = hy.spike_alert(spark.createDataFrame(rows, "day int, v double"), "v").orderBy("day").collect()
     assert [r["day"] for r in got if r["alert"]] == [9]
     assert got[6]["baseline"] is None and got[7]["baseline"] == 10.0
+
+
+def test_tests_of_empty_tables_have_no_statistic(spark):
+    counts = spark.createDataFrame([], "k string, n bigint")
+    found = hy.chi2_goodness(counts, counts, "k").first()
+    assert found["statistic"] is None or found["statistic"] != found["statistic"]
+    daily = spark.createDataFrame([], "day date, x double, y double")
+    for rows in (daily, spark.createDataFrame([(1, 1.0, 2.0), (2, 2.0, 1.0)], "day int, x double, y double")):
+        found = hy.granger(rows, "x", "y").first()
+        assert found["statistic"] is None or found["statistic"] != found["statistic"]
