@@ -10,7 +10,7 @@ from caretide.operators import features as ft
 from caretide.operators import quality as ql
 from caretide.operators import schema as sc
 from caretide.operators import sequence as sq
-from caretide.operators.quantiles import approx_quantiles, quantile_table
+from caretide.operators.quantiles import approx_quantiles, grouped_quantiles, quantile_table
 from caretide.plans.clean import clean_visits as clean_visits_plan
 from caretide.plans.report import quality_report as quality_report_plan
 from caretide.session import scratch_path
@@ -398,6 +398,25 @@ def quantiles(spark, sf):
     return rounded(visits.unionByName(lines), "value", digits=4)
 
 
+@query(
+    "quantiles_by_group",
+    " UNION ALL ".join(
+        f"""SELECT '{g}' AS grouped_by, CAST({g} AS VARCHAR) AS part, {p}::DOUBLE AS p,
+          round(CAST(quantile_cont(CAST({c} AS DOUBLE), {p}) AS DOUBLE), 4) AS value
+        FROM {t} GROUP BY {g}"""
+        for t, g, c in (("lineitem", "l_returnflag", "l_extendedprice"), ("orders", "o_custkey", "o_totalprice"))
+        for p in _PROBS
+    ),
+)
+def quantiles_by_group(spark, sf):
+    """A few groups with most rows, and very many small ones."""
+    got = []
+    for t, g, c in (("lineitem", "l_returnflag", "l_extendedprice"), ("orders", "o_custkey", "o_totalprice")):
+        found = grouped_quantiles(table(spark, sf, t), [g], c, _PROBS)
+        got.append(found.select(F.lit(g).alias("grouped_by"), F.col(g).cast("string").alias("part"), "p", "value"))
+    return rounded(got[0].unionByName(got[1]), "value", digits=4)
+
+
 @query(
     "quantiles_approx",
     " UNION ALL ".join(f"SELECT {p}::DOUBLE AS p, count(*) AS n, true AS within FROM lineitem" for p in _PROBS),

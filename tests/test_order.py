@@ -10,7 +10,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caretide.operators import ranks, sequence
-from caretide.operators.quantiles import approx_quantiles, exact_quantiles, quantile_table, quantiles
+from caretide.operators.quantiles import (
+    approx_quantiles,
+    exact_quantiles,
+    grouped_quantiles,
+    quantile_table,
+    quantiles,
+)
 
 PROBS = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
 
@@ -43,6 +49,25 @@ def test_exact_quantiles_with_small_sketches(spark, kind):
         assert got[p] == pytest.approx(np.quantile(clean, p), rel=1e-12), (kind, p)
 
 
+def test_grouped_quantiles_with_small_sketches(spark):
+    kinds = ["uniform", "ties", "hot", "two_hot", "skewed", "flat", "single", "pair", "gaps", "infinite"]
+    rows = [(k, len(k), v) for k in kinds for v in _values(k)] + [("none", 4, None), (None, None, 2.0), (None, None, 4.0)]
+    df = spark.createDataFrame(rows, "`v` string, `p` int, `g0.x` double").repartition(5)
+    out = grouped_quantiles(df, ["v", "p"], "g0.x", PROBS, grid=16, lookup_rows=200)
+    assert out.columns == ["v", "p", "p", "value"]
+    got = {(r[0], r[2]): r[3] for r in out.collect()}
+    assert len(got) == (len(kinds) + 2) * len(PROBS)
+    for k in kinds[:-1]:
+        clean = [v for v in _values(k) if v is not None and not math.isnan(v)]
+        for p in PROBS:
+            assert got[k, p] == pytest.approx(np.quantile(clean, p), rel=1e-12), (k, p)
+    assert got["infinite", 0.0] == -math.inf and got["infinite", 0.5] == 1.5 and got["infinite", 1.0] == math.inf
+    assert got[None, 0.5] == 3.0 and got["none", 0.5] is None
+    assert grouped_quantiles(df.limit(0), ["v"], "g0.x", [0.5]).count() == 0
+    with pytest.raises(ValueError):
+        grouped_quantiles(df, [], "g0.x", [0.5])
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, {"v": [0.5]})["v"][0.5] is None
