@@ -25,6 +25,7 @@ from caretide.llm.common import (
 )
 from caretide.llm.substrings import grams
 from caretide.llm.tokens import encoding, read_ranks
+from caretide.operators.quantiles import grouped_quantiles
 from caretide.session import materialize
 
 #: Fixed values of the base rules.
@@ -280,9 +281,11 @@ def quality_rules(docs: DataFrame, path: str, band_width: float = BAND_WIDTH, bl
     """
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     scored = materialize(score_documents(own, path, block_bytes), "perplexity")
-    quartiles = scored.filter("log_perplexity is not null").groupBy("lang").agg(F.percentile_approx("log_perplexity", F.array(F.lit(0.25), F.lit(0.75)), 10_000).alias("q"))
-    reach = (F.col("q")[1] - F.col("q")[0]) * band_width
-    bands = quartiles.select(F.col("lang").alias("band_lang"), (F.col("q")[0] - reach).alias("lower"), (F.col("q")[1] + reach).alias("upper"))
+    # Exact, so that no verdict hangs on how the rows were dealt out.
+    quartiles = grouped_quantiles(scored, ["lang"], "log_perplexity", [0.25, 0.75])
+    first, third = (F.max(F.when(F.col("p") == p, F.col("value"))) for p in (0.25, 0.75))
+    reach = (third - first) * band_width
+    bands = quartiles.groupBy(F.col("lang").alias("band_lang")).agg((first - reach).alias("lower"), (third + reach).alias("upper"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_SHARE * F.col("n_words"))
     inside = F.coalesce(F.col("log_perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     joined = scored.join(bands, F.col("lang").eqNullSafe(F.col("band_lang")), "left").drop("band_lang")

@@ -118,24 +118,24 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def scorer(at: np.ndarray, weights: np.ndarray, bias: float) -> Callable[[pa.Array], np.ndarray]:
-    """Scores of texts under a model's non-zero weights."""
-    table = np.zeros(DIMENSIONS, np.float32)
+def scorer(at: np.ndarray, weights: np.ndarray, bias: float, dimensions: int = DIMENSIONS) -> Callable[[pa.Array], np.ndarray]:
+    """Scores of texts under the non-zero weights of a model of so many dimensions."""
+    table = np.zeros(dimensions, np.float32)
     table[at] = weights
 
     def score(texts: pa.Array) -> np.ndarray:
-        found, doc = features(texts)
+        found, doc = features(texts, dimensions)
         weighty = table[found] != 0
-        once = np.unique(doc[weighty] * DIMENSIONS + found[weighty])
-        return _logistic(bias + np.bincount(once // DIMENSIONS, table[once % DIMENSIONS], len(texts)))
+        once = np.unique(doc[weighty] * dimensions + found[weighty])
+        return _logistic(bias + np.bincount(once // dimensions, table[once % dimensions], len(texts)))
 
     return score
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text, one row per input row.
 
-    The classifier is learned from at most ``rows`` labelled rows whose crc32 of the id is no
+    ``dimensions`` is the number of hashed features, of the training and of the scores. The classifier is learned from at most ``rows`` labelled rows whose crc32 of the id is no
     multiple of five; only the text is an input of a score. Its non-zero weights are broadcast.
     The score is the logistic of the bias and the weights of the text's distinct features.
 
@@ -144,10 +144,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     are left out, of several labels of a document the largest counts; without labels every score
     is 0.5; an empty table gives no rows; other columns are ignored.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows, dimensions))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores_of = scorer(*model.value)
+        scores_of = scorer(*model.value, dimensions)
         for batch in batches:
             for part in small_slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(scores_of(part.column("text")))], ["doc_id", "held_out", "score"])
@@ -157,13 +157,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS) -> DataFrame:
     """The documents whose toxicity score, as in :func:`score_toxicity`, is below the threshold."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rows, dimensions))
 
     @F.arrow_udf("double")
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scores_of = scorer(*model.value)
+        scores_of = scorer(*model.value, dimensions)
         for texts in parts:
             slices = small_slices(pa.RecordBatch.from_arrays([texts], ["text"]))
             yield pa.array(np.concatenate([scores_of(x.column("text")) for x in slices] or [np.empty(0)]))

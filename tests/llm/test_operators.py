@@ -385,6 +385,17 @@ def test_quality_rules(docs, rows):
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert Counter(tuple(r[n] for n in names) for r in got) == want
     assert not any(r.kept for r in got if r.base_failed) and any(r.kept for r in got)
+    # The bands by exact quartiles of each language.
+    scores = defaultdict(list)
+    for r in got:
+        if r.log_perplexity is not None:
+            scores[r.lang].append(r.log_perplexity)
+    for r in got:
+        if r.lang in scores:
+            low, high = np.quantile(scores[r.lang], [0.25, 0.75])
+            reach = perplexity.BAND_WIDTH * (high - low)
+            assert r.lower == pytest.approx(low - reach) and r.upper == pytest.approx(high + reach)
+            assert r.kept == (not r.base_failed and r.log_perplexity is not None and r.lower <= r.log_perplexity <= r.upper)
     # The model by plain counting.
     tk = tokens.encoding(tokens.read_ranks(queries.BYTE_BPE))
     counts = defaultdict(Counter)
@@ -507,6 +518,9 @@ def test_toxicity(spark):
     assert kept.count() == sum(1 - r.predicted for r in got)
     unlabelled = toxicity.score_toxicity(frame(spark, rows[:3]), table.limit(0)).collect()
     assert [r.score for r in unlabelled] == [0.5] * 3
+    narrow = toxicity.score_toxicity(frame(spark, rows), table, dimensions=1 << 12).collect()
+    held = [(r.predicted, r.doc_id % 4 == 0) for r in narrow if r.held_out and r.doc_id is not None and r.doc_id < 600]
+    assert sum(p == t for p, t in held) >= 0.95 * len(held)
 
 
 def test_empty_tables(spark):
