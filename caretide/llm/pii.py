@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from datetime import date
+from math import log2
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Kinds whose spans are always reported, and kinds that this method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "ssn")
+ADDED_KINDS = ("iban", "ssn", "id", "birthdate", "secret")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -21,10 +24,27 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9[0-9]{2})[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+#: Published forms of identity numbers (Spain, France, machine-readable passports).
+_DNI = re.compile(r"(?<![A-Za-z0-9])[0-9XYZ][0-9]{7}-?[A-Z](?![A-Za-z0-9])")
+_NIR = re.compile(r"(?<![A-Za-z0-9])[12] ?[0-9]{2} ?[0-9]{2} ?(?:[0-9]{2}|2[AB]) ?[0-9]{3} ?[0-9]{3} ?[0-9]{2}(?![A-Za-z0-9])")
+_MRZ = re.compile(r"(?<![A-Z0-9<])[A-Z0-9<]{9}[0-9][A-Z<]{3}[0-9]{7}[MF<X][0-9]{7}[A-Z0-9<]{14}[0-9<][0-9](?![A-Z0-9<])")
+_DATE = re.compile(r"(?<![0-9])(?:([0-9]{4})-([0-9]{2})-([0-9]{2})|([0-9]{1,2})[./]([0-9]{1,2})[./]([0-9]{4}))(?![0-9])")
+#: Published forms of access keys; these need no word beside them.
+_KEYS = re.compile(
+    r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{60,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+    r"|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+)(?![A-Za-z0-9_])"
+)
+_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]*+-----END \1-----")
+#: A value that may be a key: a long run of the letters that keys are written in.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
+_PASSWORD = re.compile(r"(?i)\b(?:password|passwd|pwd|passwort|contraseña|mot de passe)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([^\s\"']{6,})")
+_TURNS = re.compile(r"(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]")
 
 #: Score of a proposal, bonus of a confirmed checksum, and words near it that raise the score.
-_SCORES = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.5, "iban": 0.3, "ssn": 0.3}
+_SCORES = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.5, "iban": 0.3, "ssn": 0.3, "id": 0.05, "birthdate": 0.3, "secret": 0.05}
 CHECKSUM_BONUS, CONTEXT_BONUS, CONTEXT_CHARS, KEEP_FROM = 0.4, 0.3, 48, 0.5
+#: Score of a secret in a published form, or of the value that a password is set to.
+SURE_SECRET = 0.8
 _CONTEXT = {
     "email": ("mail", "contact", "write to"),
     "ip": ("ip", "address", "host", "server", "login"),
@@ -32,8 +52,14 @@ _CONTEXT = {
     "phone": ("phone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social security", "social-security"),
+    "id": ("dni", "nie", "nif", "identidad", "sécurité sociale", "securite sociale", "nir", "insee", "passport", "passeport", "pasaporte", "reisepass", "ausweis"),
+    "birthdate": ("born", "birth", "dob", "geboren", "geburt", "nacid", "nacimiento", "née?", "naissance"),
+    "secret": (r"tokens?\b", "secret", r"api(?![a-z])", r"keys?\b", "apikey", "password", "passwd", "passwort", "credential", r"bearer\b", r"auth(?:orization|entication)?\b", "schlüssel", r"clés?\b", r"claves?\b"),
 }
-_NEAR = {kind: re.compile(r"\b(?:" + "|".join(words) + ")", re.IGNORECASE) for kind, words in _CONTEXT.items()}
+# A word may be part of a name, as in ``access_key``.
+_NEAR = {kind: re.compile(r"(?<![^\W_])(?:" + "|".join(words) + ")", re.IGNORECASE) for kind, words in _CONTEXT.items()}
+#: Bits per character, and changes between letters and digits, from which a run counts as random.
+MIN_ENTROPY, MIN_TURNS = 3.0, 4
 
 
 def luhn(digits: str) -> bool:
@@ -46,6 +72,61 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def dni_letter(number: str) -> bool:
+    """The last letter of a Spanish number is the 23rd part's remainder in the official order."""
+    digits = number[:-1].rstrip("-")
+    value = int(str("XYZ".find(digits[0])) + digits[1:] if digits[0] in "XYZ" else digits)
+    return "TRWAGMYFPDXBNJZSQVHLCKE"[value % 23] == number[-1]
+
+
+def nir_key(number: str) -> bool:
+    """French numbers end with 97 less the remainder; Corsica's letters count as 19 and 18."""
+    plain = number.replace(" ", "").replace("2A", "19").replace("2B", "18")
+    return 97 - int(plain[:-2]) % 97 == int(plain[-2:])
+
+
+def _mrz_digit(field: str) -> str:
+    return str(sum((0 if c == "<" else int(c, 36)) * (7, 3, 1)[k % 3] for k, c in enumerate(field)) % 10)
+
+
+def mrz_digits(line: str) -> bool:
+    """Second line of a passport (ICAO 9303): check digits of number, both dates and the whole."""
+    fields = ((line[:9], line[9]), (line[13:19], line[19]), (line[21:27], line[27]))
+    return all(_mrz_digit(f) == d for f, d in fields) and _mrz_digit(line[:10] + line[13:20] + line[21:43]) == line[43]
+
+
+def _is_date(m: re.Match) -> bool:
+    year, month, day = (int(g) for g in (m.group(1, 2, 3) if m[1] else m.group(6, 5, 4)))
+    try:
+        date(year, month, day)
+    except ValueError:
+        return False
+    return True
+
+
+def random_like(run: str) -> bool:
+    """Whether letters and digits alternate often, and of many kinds, as in generated keys."""
+    if len(_TURNS.findall(run)) < MIN_TURNS:
+        return False
+    counts = Counter(run).values()
+    return -sum(n / len(run) * log2(n / len(run)) for n in counts) >= MIN_ENTROPY
+
+
+def _secrets(text: str):
+    """``(start, end, sure)`` by start, without overlaps: published forms first, then passwords and random runs."""
+    found = [(m.start(), m.end(), True) for m in _KEYS.finditer(text)]
+    if "-----BEGIN" in text:
+        found += [(m.start(), m.end(), True) for m in _PEM.finditer(text)]
+    weak = [(m.start(1), m.end(1), True) for m in _PASSWORD.finditer(text) if re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1])]
+    weak += [(m.start(), m.end(), False) for m in _RUN.finditer(text) if random_like(m[0])]
+    kept, done = [], 0
+    for start, _, end, sure in sorted([(a, 0, b, c) for a, b, c in found] + [(a, 1, b, c) for a, b, c in weak]):
+        if start >= done:
+            kept.append((start, end, sure))
+            done = end
+    return kept
+
+
 def _emails(text: str):
     """Leftmost, non-overlapping: found from each ``@`` outwards, so that texts without one cost nothing."""
     done, at = 0, text.find("@")
@@ -85,13 +166,23 @@ def _proposals(text: str):
             end = text.rfind(" ", m.start() + 15, end)
     for m in _SSN.finditer(text):
         yield "ssn", m.start(), m.end(), False
+    numbers = [(m.start(), m.end(), m) for pattern in (_DNI, _NIR, _MRZ) for m in pattern.finditer(text)]
+    for start, end, m in sorted(numbers, key=lambda n: n[:2]):
+        check = dni_letter if m.re is _DNI else nir_key if m.re is _NIR else mrz_digits
+        if check(m[0]):
+            yield "id", start, end, True
+    for m in _DATE.finditer(text):
+        if _is_date(m):
+            yield "birthdate", m.start(), m.end(), False
+    for start, end, sure in _secrets(text):
+        yield "secret", start, end, sure
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     """``(kind, start, end, score)`` in code points, end exclusive, by kind and start."""
     out = []
     for kind, start, end, confirmed in _proposals(text):
-        score = _SCORES[kind] + CHECKSUM_BONUS * confirmed
+        score = (SURE_SECRET if kind == "secret" and confirmed else _SCORES[kind] + CHECKSUM_BONUS * (confirmed or kind == "secret"))
         around = text[max(0, start - CONTEXT_CHARS) : start] + "\n" + text[end : end + CONTEXT_CHARS]
         score = min(1.0, score + CONTEXT_BONUS * bool(_NEAR[kind].search(around)))
         if kind in BASE_KINDS or score >= KEEP_FROM:
@@ -138,8 +229,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Kinds ``email, ip, card, phone`` are leftmost and non-overlapping per kind, dropped if a check
     fails (parts up to 255; 13 to 19 digits passing Luhn; 9 to 15 digits). The method adds
-    ``iban`` (mod 97) and ``ssn`` (only near a word that names it). Spans have a score: the kind's
-    own, more if a checksum confirms it, more if a context word is near.
+    ``iban`` (mod 97), ``ssn``, ``id`` (identity numbers by their check letters or digits),
+    ``birthdate`` (valid dates) and ``secret`` (keys in a published form, values that a password
+    is set to, random runs of 16 characters or more). Spans have a score: the kind's own, more if
+    a checksum or a run's entropy confirms it, more if a context word is within 48 characters.
+    Added kinds need a score of 0.5, so that identity numbers, social security numbers, dates and
+    random runs count only near a word that names them.
 
     Null and empty texts have no spans; null and repeated ids and repeated rows are searched each
     on their own; an empty table gives no rows; other columns are ignored.

@@ -66,7 +66,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
 
     counts = [F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed(of(*pii.BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    scores = F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 2)), ",").alias("scores")
+    total = F.size("spans").cast("bigint").alias("n_spans")
+    return found.select("doc_id", *counts, F.sha2(listed(of(*pii.BASE_KINDS)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), scores, total)
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
