@@ -18,17 +18,18 @@ ADDED_KINDS = ("iban", "ssn", "id", "birthdate", "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # Possessive repeats and the look-behind match the same as plain ones, in linear time: a run of
-# digits that fails from its first digit fails from the others.
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+# digits that fails from its first digit fails from the others. What stands before is looked at
+# after the first character, so that the search can skip to characters a pattern may begin with.
+_IP = re.compile(r"[0-9](?<![0-9].)[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
-_SSN = re.compile(r"(?<![0-9-])(?!000|666|9[0-9]{2})[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+_IBAN = re.compile(r"[A-Z](?<![A-Za-z0-9].)[A-Z][0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_SSN = re.compile(r"[0-8](?<![0-9-].)[0-9]{2}(?<!000)(?<!666)-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 #: Published forms of identity numbers (Spain, France, machine-readable passports).
-_DNI = re.compile(r"(?<![A-Za-z0-9])[0-9XYZ][0-9]{7}-?[A-Z](?![A-Za-z0-9])")
-_NIR = re.compile(r"(?<![A-Za-z0-9])[12] ?[0-9]{2} ?[0-9]{2} ?(?:[0-9]{2}|2[AB]) ?[0-9]{3} ?[0-9]{3} ?[0-9]{2}(?![A-Za-z0-9])")
-_MRZ = re.compile(r"(?<![A-Z0-9<])[A-Z0-9<]{9}[0-9][A-Z<]{3}[0-9]{7}[MF<X][0-9]{7}[A-Z0-9<]{14}[0-9<][0-9](?![A-Z0-9<])")
-_DATE = re.compile(r"(?<![0-9])(?:([0-9]{4})-([0-9]{2})-([0-9]{2})|([0-9]{1,2})[./]([0-9]{1,2})[./]([0-9]{4}))(?![0-9])")
+_DNI = re.compile(r"[0-9XYZ](?<![A-Za-z0-9].)[0-9]{7}-?[A-Z](?![A-Za-z0-9])")
+_NIR = re.compile(r"[12](?<![A-Za-z0-9].) ?[0-9]{2} ?[0-9]{2} ?(?:[0-9]{2}|2[AB]) ?[0-9]{3} ?[0-9]{3} ?[0-9]{2}(?![A-Za-z0-9])")
+_MRZ = re.compile(r"[A-Z0-9<](?<![A-Z0-9<].)[A-Z0-9<]{8}[0-9][A-Z<]{3}[0-9]{7}[MF<X][0-9]{7}[A-Z0-9<]{14}[0-9<][0-9](?![A-Z0-9<])")
+_DATE = re.compile(r"[0-9](?<![0-9].)(?:[0-9]{3}-[0-9]{2}-[0-9]{2}|[0-9]?[./][0-9]{1,2}[./][0-9]{4})(?![0-9])")
 #: Published forms of access keys; these need no word beside them.
 _KEYS = re.compile(
     r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{60,}|xox[abprs]-[A-Za-z0-9-]{10,}"
@@ -38,6 +39,9 @@ _PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s]*+-----E
 #: A value that may be a key: a long run of the letters that keys are written in.
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
 _PASSWORD = re.compile(r"(?i)\b(?:password|passwd|pwd|passwort|contraseña|mot de passe)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([^\s\"']{6,})")
+#: One of these stands in every match of a published form, and of a password.
+_KEY_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "xox", "k_live_", "AIza", "eyJ")
+_PASSWORD_STARTS = ("passw", "pwd", "contraseña", "mot de passe")
 _TURNS = re.compile(r"(?<=[A-Za-z])[0-9]|(?<=[0-9])[A-Za-z]")
 
 #: Score of a proposal, bonus of a confirmed checksum, and words near it that raise the score.
@@ -53,11 +57,19 @@ _CONTEXT = {
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social security", "social-security"),
     "id": ("dni", "nie", "nif", "identidad", "sécurité sociale", "securite sociale", "nir", "insee", "passport", "passeport", "pasaporte", "reisepass", "ausweis"),
-    "birthdate": ("born", "birth", "dob", "geboren", "geburt", "nacid", "nacimiento", "née?", "naissance"),
-    "secret": (r"tokens?\b", "secret", r"api(?![a-z])", r"keys?\b", "apikey", "password", "passwd", "passwort", "credential", r"bearer\b", r"auth(?:orization|entication)?\b", "schlüssel", r"clés?\b", r"claves?\b"),
+    "birthdate": ("born", "birth", "dob", "geboren", "geburt", "nacid", "nacimiento", "né", "née", "naissance"),
+    "secret": ("token", "tokens", "secret", "api", "key", "keys", "apikey", "password", "passwd", "passwort", "credential", "bearer", "auth", "authorization", "schlüssel", "clé", "clés", "clave", "claves"),
 }
-# A word may be part of a name, as in ``access_key``.
-_NEAR = {kind: re.compile(r"(?<![^\W_])(?:" + "|".join(words) + ")", re.IGNORECASE) for kind, words in _CONTEXT.items()}
+#: Context words that do not count as the beginning of another word, as ``key`` in ``keyboard``.
+_WHOLE = frozenset(("dni", "nie", "nif", "nir", "né", "née", "token", "tokens", "api", "key", "keys", "bearer", "auth", "authorization", "clé", "clés", "clave", "claves"))
+
+
+def _near(words: tuple[str, ...]) -> re.Pattern:
+    # A word may be part of a name, as in ``access_key``.
+    return re.compile(r"(?<![^\W_])(?:" + "|".join(w + r"(?![^\W\d_])" * (w in _WHOLE) for w in words) + ")", re.IGNORECASE)
+
+
+_NEAR = {kind: _near(words) for kind, words in _CONTEXT.items()}
 #: Bits per character, and changes between letters and digits, from which a run counts as random.
 MIN_ENTROPY, MIN_TURNS = 3.0, 4
 
@@ -96,7 +108,8 @@ def mrz_digits(line: str) -> bool:
 
 
 def _is_date(m: re.Match) -> bool:
-    year, month, day = (int(g) for g in (m.group(1, 2, 3) if m[1] else m.group(6, 5, 4)))
+    parts = [int(p) for p in re.split("[-./]", m[0])]
+    year, month, day = parts if "-" in m[0] else parts[::-1]
     try:
         date(year, month, day)
     except ValueError:
@@ -112,19 +125,27 @@ def random_like(run: str) -> bool:
     return -sum(n / len(run) * log2(n / len(run)) for n in counts) >= MIN_ENTROPY
 
 
-def _secrets(text: str):
+def _secrets(text: str, lower: str):
     """``(start, end, sure)`` by start, without overlaps: published forms first, then passwords and random runs."""
-    found = [(m.start(), m.end(), True) for m in _KEYS.finditer(text)]
+    sure, weak = [], []
+    if any(w in text for w in _KEY_STARTS):
+        sure += [(m.start(), 0, m.end(), True) for m in _KEYS.finditer(text)]
     if "-----BEGIN" in text:
-        found += [(m.start(), m.end(), True) for m in _PEM.finditer(text)]
-    weak = [(m.start(1), m.end(1), True) for m in _PASSWORD.finditer(text) if re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1])]
-    weak += [(m.start(), m.end(), False) for m in _RUN.finditer(text) if random_like(m[0])]
-    kept, done = [], 0
-    for start, _, end, sure in sorted([(a, 0, b, c) for a, b, c in found] + [(a, 1, b, c) for a, b, c in weak]):
+        sure += [(m.start(), 0, m.end(), True) for m in _PEM.finditer(text)]
+    if any(w in lower for w in _PASSWORD_STARTS):
+        weak += [(m.start(1), 1, m.end(1), True) for m in _PASSWORD.finditer(text) if re.search("[0-9]", m[1]) and re.search("[A-Za-z]", m[1])]
+    if _named("secret", lower):
+        weak += [(m.start(), 1, m.end(), False) for m in _RUN.finditer(text) if random_like(m[0])]
+    done = 0
+    for start, _, end, known in sorted(sure + weak):
         if start >= done:
-            kept.append((start, end, sure))
+            yield start, end, known
             done = end
-    return kept
+
+
+def _named(kind: str, lower: str) -> bool:
+    """Whether a text, in lower case, has a context word of the kind anywhere."""
+    return any(w in lower for w in _CONTEXT[kind])
 
 
 def _emails(text: str):
@@ -164,17 +185,22 @@ def _proposals(text: str):
                 yield "iban", m.start(), end, True
                 break
             end = text.rfind(" ", m.start() + 15, end)
-    for m in _SSN.finditer(text):
-        yield "ssn", m.start(), m.end(), False
-    numbers = [(m.start(), m.end(), m) for pattern in (_DNI, _NIR, _MRZ) for m in pattern.finditer(text)]
-    for start, end, m in sorted(numbers, key=lambda n: n[:2]):
-        check = dni_letter if m.re is _DNI else nir_key if m.re is _NIR else mrz_digits
-        if check(m[0]):
-            yield "id", start, end, True
-    for m in _DATE.finditer(text):
-        if _is_date(m):
-            yield "birthdate", m.start(), m.end(), False
-    for start, end, sure in _secrets(text):
+    # These count only near a word that names them: without one, the text is not searched.
+    lower = text.lower()
+    if _named("ssn", lower):
+        for m in _SSN.finditer(text):
+            yield "ssn", m.start(), m.end(), False
+    if _named("id", lower):
+        numbers = [(m.start(), m.end(), m) for pattern in (_DNI, _NIR, _MRZ) for m in pattern.finditer(text)]
+        for start, end, m in sorted(numbers, key=lambda n: n[:2]):
+            check = dni_letter if m.re is _DNI else nir_key if m.re is _NIR else mrz_digits
+            if check(m[0]):
+                yield "id", start, end, True
+    if _named("birthdate", lower):
+        for m in _DATE.finditer(text):
+            if _is_date(m):
+                yield "birthdate", m.start(), m.end(), False
+    for start, end, sure in _secrets(text, lower):
         yield "secret", start, end, sure
 
 
