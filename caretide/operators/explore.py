@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +15,8 @@ from caretide.operators.quantiles import exact_quantiles
 from caretide.operators.schema import col, numeric_columns
 from caretide.session import materialize
 
-_PAIR_SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+#: Of a pair of columns, over rows where both are present: count, means, moments about them, ranges.
+_PAIR_STATS = ("n", "mx", "my", "sxx", "syy", "sxy", "lo_x", "lo_y", "hi_x", "hi_y")
 #: Pairs of columns correlated by one native aggregation; the code of a larger one is slow to compile.
 PAIRS_PER_PASS = 24
 
@@ -157,12 +157,10 @@ def pearson(a: Column, b: Column, gaps: bool = True) -> Column:
 def correlations(df: DataFrame, columns: Sequence[str] | None = None, pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
     """``(var1, var2, correlation)`` for every pair of numeric columns, over rows where both are present.
 
-    Up to ``pairs_per_pass`` pairs are one aggregation, each pair with its own means and
-    deviations, so that a large value beside a gap of the other column does not touch it. More
-    pairs are first added up as matrices, in one scan whatever their number; pairs whose sums
-    cancel there (their values lie far from the column's mean, or are constant or infinite) are
-    then aggregated natively, so many at a time. A pair with a constant column, or with infinite
-    values, has no correlation (null).
+    Up to ``pairs_per_pass`` pairs are one native aggregation. More pairs are added up by arrays,
+    in one scan whatever their number. Either way each pair has its own means and deviations, so
+    that a large value beside a gap of the other column does not touch it. A pair with a constant
+    column, or with infinite values, has no correlation (null).
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
@@ -171,13 +169,9 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None, pairs_per_
     view = df.select(*[finite(col(n)).alias(f"c{i}") for i, n in enumerate(names)])
     if len(pairs) <= pairs_per_pass:
         return _by_pair(view, names, pairs)
-    view = materialize(view, "numbers")
-    sums = materialize(_by_matrix(view, len(names)), "sums")
-    again = [tuple(r) for r in sums.filter("correlation IS NULL").select("i", "j").collect()]  # numbers of columns
     labels = F.array(*[F.lit(c) for c in names])
-    found = sums.filter("correlation IS NOT NULL").select(F.get(labels, F.col("i")).alias("var1"), F.get(labels, F.col("j")).alias("var2"), "correlation")
-    parts = [_by_pair(view, names, again[lo : lo + pairs_per_pass]) for lo in range(0, len(again), pairs_per_pass)]
-    return reduce(DataFrame.unionByName, [found, *parts])
+    found = _by_array(view, len(names))
+    return found.select(F.get(labels, F.col("i")).alias("var1"), F.get(labels, F.col("j")).alias("var2"), "correlation")
 
 
 def _by_pair(view: DataFrame, names: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
@@ -193,34 +187,57 @@ def _by_pair(view: DataFrame, names: Sequence[str], pairs: Sequence[tuple[int, i
     return entries.select(F.inline("pairs"))
 
 
-def _by_matrix(view: DataFrame, size: int) -> DataFrame:
-    """``i, j, correlation`` of each pair from sums of matrix products about the column means.
-
-    Null where so much of a sum cancels that its digits are not to be trusted.
-    """
-    centre = [m or 0.0 for m in view.agg(*[F.avg(c) for c in view.columns]).first()]
+def _pair_stats(x: np.ndarray) -> np.ndarray:
+    """``_PAIR_STATS`` by pair (first column, then second, rising) of the rows of an array with gaps (NaN)."""
+    columns = x.shape[1]
+    out = np.zeros((len(_PAIR_STATS), columns, columns))
+    here = ~np.isnan(x)
+    for i in range(columns - 1):
+        rows = here[:, i]
+        a, b, both = x[rows, i, None], x[rows, i + 1 :], here[rows, i + 1 :]
+        n = both.sum(axis=0)
+        mx, my = (np.where(both, v, 0.0).sum(axis=0) / np.maximum(n, 1) for v in (a, b))
+        dx, dy = np.where(both, a - mx, 0.0), np.where(both, b - my, 0.0)
+        lows = [np.where(both, v, np.inf).min(axis=0, initial=np.inf) for v in (a, b)]
+        highs = [np.where(both, v, -np.inf).max(axis=0, initial=-np.inf) for v in (a, b)]
+        moments = [(u * v).sum(axis=0) for u, v in ((dx, dx), (dy, dy), (dx, dy))]
+        out[:, i, i + 1 :] = [n, mx, my, *moments, *lows, *highs]
+    return out[(slice(None), *np.triu_indices(columns, 1))]
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The statistics of two disjoint sets of rows together (Chan, Golub and LeVeque)."""
+    n = a[0] + b[0]
+    share = b[0] / np.maximum(n, 1)
+    dx, dy, weight = b[1] - a[1], b[2] - a[2], a[0] * share
+    moments = a[3:6] + b[3:6] + weight * np.array([dx * dx, dy * dy, dx * dy])
+    return np.vstack([n, a[1] + dx * share, a[2] + dy * share, moments, np.minimum(a[6:8], b[6:8]), np.maximum(a[8:], b[8:])])
+
+
+def _by_array(view: DataFrame, size: int) -> DataFrame:
+    """``i, j, correlation`` of each pair: statistics of each task, then those of all about common means."""
     first, second = np.triu_indices(size, 1)
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((6, size, size))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - np.array(centre)
-            here = ~np.isnan(x)
-            m, x = here.astype(float), np.where(here, x, 0.0)
-            with np.errstate(over="ignore", invalid="ignore"):
-                for k, part in enumerate((m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)):
-                    sums[k] += part
-        picked = sums[:, first, second]
-        yield pd.DataFrame({"i": first, "j": second, **dict(zip(_PAIR_SUMS, picked, strict=True))})
-
-    schema = "i int, j int, " + ", ".join(f"{s} double" for s in _PAIR_SUMS)
-    total = view.mapInPandas(add_up, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in _PAIR_SUMS])
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    spread_x, spread_y = n * F.col("sxx") - sx * sx, n * F.col("syy") - sy * sy
-    # Of such a spread some nine digits are left; a constant has none.
-    sound = (spread_x > n * F.col("sxx") * 1e-6) & (spread_y > n * F.col("syy") * 1e-6)
-    r = F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(spread_x) * F.sqrt(spread_y))
-    return total.select("i", "j", F.when(sound & ~F.isnan(r) & (F.abs(r) <= 1 + 1e-9), r).alias("correlation"))
+        with np.errstate(all="ignore"):  # infinite values leave NaN
+            stats = _pair_stats(np.empty((0, size)))
+            for batch in batches:
+                stats = _merged(stats, _pair_stats(batch.to_numpy(dtype=float)))
+        yield pd.DataFrame({"i": first, "j": second, **dict(zip(_PAIR_STATS, stats, strict=True))})
+
+    schema = "i int, j int, " + ", ".join(f"{s} double" for s in _PAIR_STATS)
+    stats = materialize(view.mapInPandas(add_up, schema).filter("n > 0"), "stats")
+    n = F.col("n")
+    centres = stats.groupBy("i", "j").agg(*[(F.sum(n * F.col(m)) / F.sum(n)).alias(f"c_{m}") for m in ("mx", "my")])
+    dx, dy = F.col("mx") - F.col("c_mx"), F.col("my") - F.col("c_my")
+    sums = [F.sum(F.col(s) + n * u * v).alias(s) for s, u, v in (("sxx", dx, dx), ("syy", dy, dy), ("sxy", dx, dy))]
+    ranges = [(F.min(f"lo_{v}") < F.max(f"hi_{v}")).alias(f"varies_{v}") for v in "xy"]
+    total = stats.join(centres, ["i", "j"]).groupBy("i", "j").agg(*sums, *ranges)
+    r = F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy"))
+    # Tested on the values: rounding may leave a constant a deviation.
+    pairs = view.sparkSession.createDataFrame(pd.DataFrame({"i": first, "j": second}), "i int, j int")
+    known = total.select("i", "j", F.when(F.col("varies_x") & F.col("varies_y") & ~F.isnan(r), r).alias("correlation"))
+    return pairs.join(known, ["i", "j"], "left")
 
 
 def strong_correlations(

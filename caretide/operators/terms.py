@@ -139,15 +139,32 @@ def contained_terms(texts: DataFrame, terms: DataFrame, column: str = "text", te
     return found.join(matched, "term").select("row.*", "match")
 
 
+_PACKED = "kind binary, classes int, step binary, term binary, shorter binary, longest int, words array<string>"
+
+
+def _packed(terms: pa.Table) -> pa.Table:
+    """The automaton of a column of terms as one row, with the terms by number."""
+    words = sorted(terms.column("term").to_pylist())
+    a = Automaton.of([w.encode() for w in words])
+    values = (a.kind.tobytes(), a.classes, a.step.tobytes(), a.term.tobytes(), a.shorter.tobytes(), a.longest, words)
+    kinds = (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.list_(pa.string()))
+    names = ("kind", "classes", "step", "term", "shorter", "longest", "words")
+    return pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds, strict=True)})
+
+
 def _found_in(view: DataFrame, listed: DataFrame, parts: int, part: int) -> DataFrame:
     """``row, term``: what the texts contain of one part of the terms."""
-    spark = view.sparkSession
     own = listed.filter(F.pmod(F.xxhash64("term"), F.lit(parts)) == part).select("term").distinct()
-    words = sorted(r["term"] for r in own.collect())  # bounded: the part was measured
-    shared = spark.sparkContext.broadcast((Automaton.of([w.encode() for w in words]), words))
+    # Built in a task, as its tree takes many times the room of its arrays; the part was measured.
+    built = own.groupBy(F.lit("all")).applyInArrow(_packed, _PACKED).first()
+    if built is None:  # no terms
+        return view.filter(F.lit(False)).select("row", F.lit("").alias("term"))
+    shared = view.sparkSession.sparkContext.broadcast(tuple(built))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, names = shared.value
+        kind, classes, step, term, shorter, longest, names = shared.value
+        wide = [np.frombuffer(part, np.int64) for part in (kind, term, shorter)]
+        automaton = Automaton(wide[0], classes, np.frombuffer(step, np.int32), wide[1], wide[2], longest)
         for batch in batches:
             text, number = automaton.matches(batch.column("searched"))
             rows = batch.column("row").take(pa.array(text))

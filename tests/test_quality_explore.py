@@ -203,3 +203,20 @@ def test_correlations_with_a_large_value_beside_a_gap(spark):
     one_at_a_time = {(r["var1"], r["var2"]): r["correlation"] for r in ex.correlations(df, pairs_per_pass=1).collect()}
     assert one_at_a_time == pytest.approx(found)
     assert "Python" not in ex.correlations(df)._jdf.queryExecution().toString()
+
+
+def test_wide_correlations_with_large_values_beside_gaps(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame(rng.normal(size=(500, 9)), columns=list("abcdefghi"))
+    pdf["b"] = pdf["a"] + pdf["b"] / 1e3 + 1e9
+    for k, n in enumerate("acdef"):
+        pdf.loc[rng.random(500) < 0.3, n] = np.nan
+        pdf.loc[k, n] = 1e12
+        pdf.loc[k, list("ghi")] = np.nan
+    pdf.loc[400:, "i"] = np.nan  # some tasks have no row of a pair
+    df = spark.createDataFrame(pdf).repartition(7)
+    wide, native = ({(r["var1"], r["var2"]): r["correlation"] for r in ex.correlations(df, pairs_per_pass=p).collect()} for p in (5, 100))
+    assert len(wide) == 36 and None not in wide.values()
+    assert wide == pytest.approx(native, rel=1e-6, abs=1e-9)
+    want = pdf[["a", "g"]].dropna().corr().loc["a", "g"]
+    assert wide["a", "g"] == pytest.approx(want, abs=1e-12)
