@@ -13,6 +13,7 @@ from caretide.session import broadcast_if_small, scratch_path
 from caretide.sources import feeds as src
 from caretide.sources import html
 from caretide.sources.visits import read_visits, write_clean
+from checks.catalog import QUERIES
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -241,6 +242,24 @@ def test_enrich_fills_only_feed_columns(spark):
         dy.join_short_daily(visits.withColumn("likes", F.lit(1)), short)
 
 
+def test_lists_are_measured_once_per_day(spark):
+    visits = spark.createDataFrame([(1, DAY.date()), (2, DAY.date()), (3, None)], "id int, visit_date date")
+    rows = [(DAY, "b", 0.5, "fever"), (DAY, "a", 0.1, None), (DAY, "c", None, "flu")]
+    forum = spark.createDataFrame(rows, "date timestamp, post_id string, sentiment_polarity double, symptoms_mentioned string")
+    length = {"list_length": F.length("symptoms_mentioned")}
+    out = dy.join_forum_daily(visits, forum, per_day=length)
+    got = {r["id"]: (r["symptoms_mentioned"], r["list_length"]) for r in out.collect()}
+    assert got == {1: ("fever, flu", 10), 2: ("fever, flu", 10), 3: (None, None)}
+    with pytest.raises(ValueError, match="both sides"):
+        dy.join_forum_daily(visits, forum, per_day={"id": F.length("symptoms_mentioned")})
+
+
+def test_query_carries_no_list_to_each_visit(spark, small):
+    plan = QUERIES["join_forum_daily"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    above = [line for line in plan.splitlines() if "Relation [" not in line]  # a stored table names all its columns
+    assert any("list_length" in line for line in above) and not any("symptoms_mentioned" in line for line in above)
+
+
 def test_merge_counts_leaves_text_alone(spark):
     visits = spark.createDataFrame([(1, DAY.date(), None, None)], "id int, visit_date date, s string, n int")
     got = dy.merge_counts(visits, news=_news(spark)).first()
