@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,12 @@ from caretide.session import materialize
 MAX_BYTES = 64 << 20
 #: Bytes of text that go through the automaton as one lane.
 _LANE = 1_024
+#: Bytes of text that are searched at once, however many rows Spark hands over.
+_SLAB = 4 << 20
+#: Ends of terms that are kept before they are reduced to different ones.
+_PENDING = 1 << 20
+#: Bytes and rows of matches that are handed back at once.
+_OUT_BYTES, _OUT_ROWS = 8 << 20, 1 << 16
 
 
 @dataclass
@@ -91,7 +98,7 @@ class Automaton:
         turn = np.argsort(start - stop, kind="stable")  # longest first, so that lanes end from the back
         owner, start, size = owner[turn], start[turn], (stop - start)[turn]
         hit = (self.term >= 0) | (self.shorter >= 0)
-        state, pairs = np.zeros(len(owner), np.int64), []
+        state, pairs, pending = np.zeros(len(owner), np.int64), [], 0
         active = len(owner)
         for k in range(int(size.max(initial=0))):
             active = int(np.searchsorted(-size[:active], -k, side="left"))
@@ -99,6 +106,9 @@ class Automaton:
             ends = np.flatnonzero(hit[state])
             if len(ends):
                 pairs.append(owner[ends] * len(self.term) + state[ends])
+                pending += len(ends)
+            if pending > _PENDING:
+                pairs, pending = [np.unique(np.concatenate(pairs))], 0
         seen = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
         text, state = np.divmod(seen, len(self.term))
         out: list[np.ndarray] = []
@@ -139,6 +149,36 @@ def contained_terms(texts: DataFrame, terms: DataFrame, column: str = "text", te
     return found.join(matched, "term").select("row.*", "match")
 
 
+def _runs(sizes: np.ndarray, most: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of at most ``rows`` items and ``most`` bytes, or of one larger item."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    lo = 0
+    while lo < len(sizes):
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(total, total[lo] + most, side="right")) - 1))
+        yield lo, hi
+        lo = hi
+
+
+def _cut(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose texts take at most ``most`` bytes, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for lo, hi in _runs(sizes, most, max(len(sizes), 1)):
+        yield batch.slice(lo, hi - lo)
+
+
+def _search(automaton: Automaton, names: Sequence[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row, term`` for batches of ``row, searched``, in bounded pieces on the way in and out."""
+    words = pa.array(names, pa.string())
+    for batch in batches:
+        for slab in _cut(batch, "searched", _SLAB):
+            text, number = automaton.matches(slab.column("searched"))
+            rows = slab.column("row")
+            width = np.array([rows.slice(i, 1).nbytes for i in range(len(rows))], np.int64)
+            for lo, hi in _runs(width[text], _OUT_BYTES, _OUT_ROWS):
+                found = [rows.take(pa.array(text[lo:hi])), words.take(pa.array(number[lo:hi]))]
+                yield pa.RecordBatch.from_arrays(found, ["row", "term"])
+
+
 _PACKED = "kind binary, classes int, step binary, term binary, shorter binary, longest int, words array<string>"
 
 
@@ -165,10 +205,7 @@ def _found_in(view: DataFrame, listed: DataFrame, parts: int, part: int) -> Data
         kind, classes, step, term, shorter, longest, names = shared.value
         wide = [np.frombuffer(part, np.int64) for part in (kind, term, shorter)]
         automaton = Automaton(wide[0], classes, np.frombuffer(step, np.int32), wide[1], wide[2], longest)
-        for batch in batches:
-            text, number = automaton.matches(batch.column("searched"))
-            rows = batch.column("row").take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([rows, pa.array([names[n] for n in number.tolist()], pa.string())], ["row", "term"])
+        yield from _search(automaton, names, batches)
 
     kind = view.schema["row"].dataType.simpleString()
     out = view.filter("searched IS NOT NULL").mapInArrow(search, f"row {kind}, term string")

@@ -1,6 +1,7 @@
 """Many-term matching against one test per term and text."""
 
 import random
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -54,3 +55,30 @@ def test_no_terms_and_no_texts(spark):
     none = spark.createDataFrame([], "term string")
     assert tm.contained_terms(texts, none).count() == 0
     assert tm.contained_terms(texts.limit(0), spark.createDataFrame([("a",)], "term string")).count() == 0
+
+
+def test_search_is_bounded_whatever_the_batch_holds():
+    texts = ["a" * 1000 + str(i) for i in range(8000)] + ["", "b" * 3 + "a" * 100_000]
+    terms = [*("a" * k for k in range(1, 31)), "7a", *(str(i) for i in range(10))]
+    row = pa.array([{"id": i, "text": t} for i, t in enumerate(texts)], pa.struct([("id", pa.int64()), ("text", pa.string())]))
+    batch = pa.RecordBatch.from_arrays([row, pa.array(texts)], ["row", "searched"])
+    words = sorted(terms)
+    automaton = tm.Automaton.of([w.encode() for w in words])
+    found, largest, most = [], 0, 0
+    tracemalloc.start()
+    for piece in tm._search(automaton, words, iter([batch])):
+        largest, most = max(largest, piece.num_rows), max(most, piece.nbytes)
+        found.append((piece.column("row").field("id").to_numpy(), piece.column("term").to_pylist()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = [(int(i), t) for ids, names in found for i, t in zip(ids, names, strict=True)]
+    assert sorted(got) == brute(texts, terms)
+    assert largest <= tm._OUT_ROWS and most < 2 * tm._OUT_BYTES and peak < 120 << 20
+
+
+def test_pieces_hold_every_row_once():
+    texts = ["x" * n for n in (0, 3, 50, 1, 1, 9, 0, 2)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    pieces = [p.column("t").to_pylist() for p in tm._cut(batch, "t", 10)]
+    assert [t for p in pieces for t in p] == texts and [len(p) for p in pieces] == [2, 1, 2, 2, 2]
+    assert list(tm._cut(batch.slice(0, 0), "t", 10)) == []
