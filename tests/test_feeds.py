@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,17 @@ def test_listing_limit_counts_skipped_cards(spark):
     assert html.extract_listing(df, "2020-01-01", "https://h").count() == 99
 
 
+def test_listing_hands_back_bounded_pieces():
+    pages = [(f"u{i}", _card() * 30) for i in range(500)] + [("none", None), ("long", _card(title="<h3>" + "t" * 3_000_000 + "</h3>") * 4)]
+    batch = pa.RecordBatch.from_arrays([pa.array([u for u, _ in pages]), pa.array([p for _, p in pages])], ["page_url", "html"])
+    pieces = list(html._listed(iter([batch]), 20))
+    assert [p.num_rows for p in pieces] == [4096, 4096, 1810, 2]
+    whole = pa.Table.from_batches(pieces)
+    want = [(f"u{i}", k) for i in range(500) for k in range(1, 21)] + [("long", k) for k in range(1, 5)]
+    assert list(zip(whole.column("page_url").to_pylist(), whole.column("position").to_pylist(), strict=True)) == want
+    assert list(html._listed(iter([batch.slice(500, 1)]), 20)) == []
+
+
 def test_news_joins_article_pages(spark):
     listing = spark.createDataFrame([("u", _card() + _card(link="<a href='/gone'>l</a>"))], "url string, html string")
     pages = spark.createDataFrame([("https://h/x", "<article>flu outbreak</article>")], "url string, html string")
