@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,6 +24,8 @@ from caretide.session import broadcast_if_small, materialize
 
 SEED = 42
 _SLOTS = 1 << 20
+#: Rows that one task may be left with; more are dealt out before training.
+_TASK_ROWS = 500_000
 
 
 def make_classifier(kind: str, rows: int | None = None, label: str = "label", **params):
@@ -92,6 +95,19 @@ def with_class_weights(df: DataFrame, label: str, into: str = "weight") -> DataF
     return joined.withColumn(into, F.col("__w")).drop("__l", "__w")
 
 
+def _dealt_out(df: DataFrame, rows: int) -> DataFrame:
+    """A large table in equal parts, the same number for every core.
+
+    A file is read in as many splits as its bytes make, but only those that begin a row
+    group get rows, so training, which passes over its table again and again, could be a
+    few tasks' work. Small tables are left as they are.
+    """
+    if rows <= _TASK_ROWS // 2:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * math.ceil(rows / (cores * _TASK_ROWS)))
+
+
 def train_classifier(
     df: DataFrame,
     features: Sequence[str],
@@ -103,7 +119,8 @@ def train_classifier(
     """Fit a classifier on labels 0, 1, 2, ...; boosted kinds go one against the rest beyond two."""
     rows, top = df.agg(F.count(F.lit(1)), F.max(col(label))).first()
     classes = int(top or 0) + 1
-    return _pipeline(kind, features, label, categoricals, rows if kind == "logistic" else None, params, classes).fit(df)
+    pipeline = _pipeline(kind, features, label, categoricals, rows if kind == "logistic" else None, params, classes)
+    return pipeline.fit(_dealt_out(df, rows))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

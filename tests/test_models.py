@@ -230,3 +230,21 @@ def test_boosted_forecast_sees_only_the_past(spark):
 def test_prepare_series(spark):
     df = spark.createDataFrame([("2024-01-02", 2), ("2024-01-01", 1)], "d string, v int")
     assert [(str(r["ds"]), r["y"]) for r in fc.prepare_series(df, "v", "d").collect()] == [("2024-01-01", 1.0), ("2024-01-02", 2.0)]
+
+
+def test_large_tables_are_dealt_out_before_training(spark, monkeypatch):
+    rows = [(float(i % 17), float(i % 5), int(i % 17 > 8)) for i in range(1000)]
+    whole = spark.createDataFrame(rows, "a double, b double, label int").coalesce(1)
+    seen = []
+    fit = md.Pipeline.fit
+    monkeypatch.setattr(md.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    monkeypatch.setattr(md, "_TASK_ROWS", 100)
+    model = md.train_classifier(whole, ["a", "b"], "label", "random_forest", numTrees=3, maxDepth=3)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = [len(part) for part in seen[0].rdd.glom().collect()]
+    assert len(sizes) % cores == 0 and sum(sizes) == 1000 and max(sizes) <= 110
+    assert sorted(tuple(r) for r in seen[0].collect()) == sorted(rows)
+    assert md.predict(model, whole).filter("prediction = label").count() == 1000
+    monkeypatch.setattr(md, "_TASK_ROWS", 2000)
+    md.train_classifier(whole, ["a", "b"], "label", "random_forest", numTrees=3, maxDepth=3)
+    assert seen[1].rdd.getNumPartitions() == 1  # small tables, and what is learnt from them, stay as they are
