@@ -272,6 +272,30 @@ def test_query_carries_no_list_to_each_visit(spark, small):
     assert any("list_length" in line for line in above) and not any("symptoms_mentioned" in line for line in above)
 
 
+def _long_lists(spark):
+    """Visits, news and forum with long texts on some days, and the news lists by day."""
+    days = [DAY + dt.timedelta(days=i) for i in range(4)]
+    rows = [(i, (*days, None)[i % 5], {"x": i}) for i in range(400)] + [(1000 + i, days[0], None) for i in range(300)]
+    visits = spark.createDataFrame(rows, "id int, visit_date timestamp, m map<string,int>").repartition(3)
+    feed = [(d, "t", f"u{n}", f"{d.day}{n}" * 20_000) for d in days[:3] for n in (1, 2)]
+    news = spark.createDataFrame(feed, "date timestamp, title string, url string, keywords string")
+    forum = spark.createDataFrame([(days[3], "p", 0.5, "long" * 20_000)], "date timestamp, post_id string, sentiment_polarity double, symptoms_mentioned string")
+    return visits, news, forum, {d: ", ".join(f"{d.day}{n}" * 20_000 for n in (1, 2)) for d in days[:3]}
+
+
+def _parts(out):
+    return [p for p in out.select("id", "visit_date", "keywords").rdd.glom().collect() if p]
+
+
+def test_long_lists_are_given_out_one_day_per_task(spark):
+    visits, news, _, lists = _long_lists(spark)
+    joined = _parts(dy.join_news_daily(visits, news))
+    assert sorted(r["id"] for p in joined for r in p) == sorted(r["id"] for r in visits.collect())
+    assert all(r["keywords"] == lists.get(r["visit_date"]) for p in joined for r in p)
+    assert all(len({r["keywords"] for r in p}) == 1 for p in joined)
+    assert len([p for p in joined if p[0]["visit_date"] == DAY]) > 1  # many visits of a day are cut
+
+
 def test_merge_counts_leaves_text_alone(spark):
     visits = spark.createDataFrame([(1, DAY.date(), None, None)], "id int, visit_date date, s string, n int")
     got = dy.merge_counts(visits, news=_news(spark)).first()
