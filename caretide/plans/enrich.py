@@ -31,18 +31,16 @@ def enrich_visits(
     (``daily.daily_list_rows``), since they grow with visits times posts;
     ``with_lists=True`` puts them on every visit of the day all the same.
     """
-    out = visits
+    dailies = []
     if dy.has_rows(news):
-        out = dy.join_news_daily(
-            out, news, visit_day, calendar=calendar_lags, order_by=news_order, with_lists=with_lists
-        )
+        mentions = dy.daily_news(news, order_by=news_order, with_lists=with_lists)
+        dailies.append(dy.daily_lags(mentions, calendar=calendar_lags))
     if dy.has_rows(forum):
-        out = dy.join_forum_daily(
-            out, forum, visit_day, order_by=forum_order, with_lists=with_lists
-        )
+        posts = dy.daily_forum(forum, order_by=forum_order, with_lists=with_lists)
+        dailies.append(dy.daily_rolling_mean(posts))
     if dy.has_rows(short):
-        out = dy.join_short_daily(out, short, visit_day)
-    return dy.fill_feed_columns(out)
+        dailies.append(dy.daily_short(short))
+    return dy.fill_feed_columns(dy.join_dailies(visits, dailies, visit_day))
 
 
 def all_features(

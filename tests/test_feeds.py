@@ -296,6 +296,20 @@ def test_long_lists_are_given_out_one_day_per_task(spark):
     assert len([p for p in joined if p[0]["visit_date"] == DAY]) > 1  # many visits of a day are cut
 
 
+def test_filled_and_enriched_visits_are_dealt_out_once(spark):
+    visits, news, forum, lists = _long_lists(spark)
+    filled = _parts(dy.fill_feed_columns(dy.join_news_daily(visits, news)))
+    assert all(len({r["keywords"] for r in p}) == 1 for p in filled)
+    both = enrich_visits(visits, news, forum, with_lists=True)
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("direct_shuffle_partition_id") == 1
+    enriched = _parts(both)
+    assert sum(map(len, enriched)) == 700
+    assert all(r["keywords"] == lists.get(r["visit_date"]) for p in enriched for r in p)
+    assert all(len({r["visit_date"] for r in p if r["visit_date"]}) <= 1 for p in enriched)
+    assert both.filter(F.length("symptoms_mentioned") == 80_000).count() == 80
+    assert both.filter("reddit_posts = 0").count() == 620
+
+
 def test_merge_counts_leaves_text_alone(spark):
     visits = spark.createDataFrame([(1, DAY.date(), None, None)], "id int, visit_date date, s string, n int")
     got = dy.merge_counts(visits, news=_news(spark)).first()
