@@ -19,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretide.operators.forest import fit_forest
 from caretide.operators.schema import col
 from caretide.session import broadcast_if_small, materialize
 
@@ -26,6 +27,9 @@ SEED = 42
 _SLOTS = 1 << 20
 #: Rows that one task may be left with; more are dealt out before training.
 _TASK_ROWS = 500_000
+#: Rows from which a forest of two classes is grown on binned rows, and what may be set for it.
+_FOREST_ROWS = 250_000
+_FOREST_PARAMS = {"numTrees", "maxDepth", "seed"}
 
 
 def make_classifier(kind: str, rows: int | None = None, label: str = "label", **params):
@@ -116,10 +120,19 @@ def train_classifier(
     categoricals: Sequence[str] = (),
     **params,
 ) -> PipelineModel:
-    """Fit a classifier on labels 0, 1, 2, ...; boosted kinds go one against the rest beyond two."""
+    """Fit a classifier on labels 0, 1, 2, ...; boosted kinds go one against the rest beyond two.
+
+    A large table's forest of two classes is grown by :mod:`caretide.operators.forest`.
+    """
     rows, top = df.agg(F.count(F.lit(1)), F.max(col(label))).first()
     classes = int(top or 0) + 1
     pipeline = _pipeline(kind, features, label, categoricals, rows if kind == "logistic" else None, params, classes)
+    if kind == "random_forest" and classes == 2 and rows > _FOREST_ROWS and params.keys() <= _FOREST_PARAMS:
+        *before, forest = pipeline.getStages()
+        ready = Pipeline(stages=before).fit(df)
+        grown = fit_forest(ready.transform(df), ready.stages[-1].getInputCols(), forest)
+        if grown is not None:
+            return PipelineModel([*ready.stages, grown])
     return pipeline.fit(_dealt_out(df, rows))
 
 

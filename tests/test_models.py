@@ -248,3 +248,81 @@ def test_large_tables_are_dealt_out_before_training(spark, monkeypatch):
     monkeypatch.setattr(md, "_TASK_ROWS", 2000)
     md.train_classifier(whole, ["a", "b"], "label", "random_forest", numTrees=3, maxDepth=3)
     assert seen[1].rdd.getNumPartitions() == 1  # small tables, and what is learnt from them, stay as they are
+
+
+def _clinic(spark, n=6000):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(n):
+        a, b, h, g = float(rng.normal()), int(rng.integers(0, 90)), int(rng.integers(0, 24)), "pqrs"[i % 4]
+        rows.append((i, a, b, h, g, int(a + 0.02 * b + 0.8 * (g in "ps") + rng.normal() * 0.5 > 1.2)))
+    return spark.createDataFrame(rows, "id int, a double, b int, h int, g string, label int").repartition(3).persist()
+
+
+def test_forest_of_a_large_table_trains_on_binned_rows(spark, monkeypatch):
+    data = _clinic(spark)
+    args = (data, ["a", "b", "h"], "label", "random_forest", ["g"])
+    params = {"numTrees": 40, "maxDepth": 6}
+    plain = md.train_classifier(*args, **params)
+    seen, fit = [], md.RandomForestClassifier._fit
+    monkeypatch.setattr(md.RandomForestClassifier, "_fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    monkeypatch.setattr(md, "_FOREST_ROWS", 1000, raising=False)
+    model = md.train_classifier(*args, **params)
+    assert seen == [2]  # Spark's trainer gets no row of the table
+    last = model.stages[-1]
+    assert last.getNumTrees == 40 and last.numClasses == 2 and max(t.depth for t in last.trees) == 6
+    # Every row is in the bags as often as its draws say: about once per tree.
+    roots = [t._call_java("rootNode").impurityStats().rawCount() for t in last.trees]
+    assert abs(np.mean(roots) - 6000) < 60 and 30 < np.std(roots) < 150
+    ours, theirs = ({r["feature"]: r["importance"] for r in md.feature_importance(m, data).collect()} for m in (model, plain))
+    assert all(ours[k] == pytest.approx(theirs[k], abs=0.05) for k in theirs)
+    got = [ev.classification_metrics(md.predict(m, data), "label", "prediction", "probability").first() for m in (model, plain)]
+    assert got[0]["accuracy"] == pytest.approx(got[1]["accuracy"], abs=0.02) and got[0]["roc_auc"] == pytest.approx(got[1]["roc_auc"], abs=0.01)
+    path = scratch_path(spark, "model")
+    md.save_model(model, path)
+    again = md.predict(md.load_model(path), data).orderBy("id").limit(20).collect()
+    assert again == md.predict(model, data).orderBy("id").limit(20).collect()
+    # Missing values and other settings stay with Spark's trainer.
+    with pytest.raises(Exception, match="(?i)null"):
+        md.train_classifier(data.withColumn("a", F.when(F.col("id") > 5, F.col("a"))), *args[1:], **params)
+    md.train_classifier(*args, **params, minInstancesPerNode=5)
+    assert seen[-1] == 6000
+
+
+def test_a_tree_on_counted_rows_splits_best():
+    from caretide.operators.forest import grow_tree
+
+    rng = np.random.default_rng(3)
+    x = np.array([(i, j) for i in range(8) for j in range(5) for _ in (0, 1)], np.uint8)
+    y, n = np.tile([0, 1], 40).astype(np.int8), rng.integers(1, 300, 80)
+    splits, kinds, bins = {0: [i + 0.5 for i in range(7)]}, {0: 0, 1: 5}, [8, 5]
+    nodes = grow_tree(x, y, n, bins, kinds, splits, 5, [1, 2])
+    w = np.random.default_rng([1, 2]).poisson(n)
+
+    def gini(rows):
+        c = np.bincount(y[rows], w[rows], 2)
+        return 1 - ((c / c.sum()) ** 2).sum()
+
+    def check(at, rows):
+        node = nodes[at]
+        assert node["rawCount"] == w[rows].sum() and node["impurityStats"] == list(np.bincount(y[rows], w[rows], 2))
+        assert node["prediction"] == np.argmax(node["impurityStats"])
+        if node["leftChild"] < 0:
+            return 1
+        ways = [(0, set(range(s + 1))) for s in range(7)]
+        order = sorted((c for c in range(5) if w[rows & (x[:, 1] == c)].sum()), key=lambda c: w[rows & (x[:, 1] == c) & (y == 1)].sum())
+        ways += [(1, set(order[: s + 1])) for s in range(len(order) - 1)]
+        gains = []
+        for f, left in ways:
+            goes = rows & np.isin(x[:, f], list(left))
+            other = rows & ~goes
+            if w[goes].sum() and w[other].sum():
+                share = w[goes].sum() / w[rows].sum()
+                gains.append(gini(rows) - share * gini(goes) - (1 - share) * gini(other))
+        assert node["gain"] == pytest.approx(max(gains))  # two features, both drawn
+        split = node["split"]
+        values = split["leftCategoriesOrThreshold"]
+        goes = rows & (np.isin(x[:, 1], values) if split["numCategories"] == 5 else x[:, 0] <= values[0])
+        return check(node["leftChild"], goes) + check(node["rightChild"], rows & ~goes)
+
+    assert check(0, np.ones(80, bool)) > 6 and [v["id"] for v in nodes] == list(range(len(nodes)))
