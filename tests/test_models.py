@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caretide.operators import evaluate as ev
 from caretide.operators import forecast as fc
 from caretide.operators import models as md
+from caretide.operators.forest import fit_forest
 from caretide.session import scratch_path
 
 
@@ -326,3 +327,21 @@ def test_a_tree_on_counted_rows_splits_best():
         return check(node["leftChild"], goes) + check(node["rightChild"], rows & ~goes)
 
     assert check(0, np.ones(80, bool)) > 6 and [v["id"] for v in nodes] == list(range(len(nodes)))
+
+
+def test_importance_of_a_large_forest(spark, monkeypatch):
+    data = _clinic(spark, 3000).withColumns({"still": F.lit(1), "late": F.col("h") > 12, "a": F.round("a", 1)})
+    args = (data, ["a", "b", "h", "still", "late"], "label", "random_forest")
+    plain = md.feature_importance(md.train_classifier(*args, numTrees=30, maxDepth=5), data)
+    seen, fit = [], md.RandomForestClassifier._fit
+    monkeypatch.setattr(md.RandomForestClassifier, "_fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    monkeypatch.setattr(md, "_FOREST_ROWS", 1000, raising=False)
+    rows = md.feature_importance(md.train_classifier(*args, numTrees=30, maxDepth=5), data).collect()
+    assert seen == [2] and [r["importance"] for r in rows] == sorted((r["importance"] for r in rows), reverse=True)
+    ours, theirs = ({r["feature"]: r["importance"] for r in x} for x in (rows, plain.collect()))
+    assert sum(ours.values()) == pytest.approx(1) and ours["still"] == 0 and rows[0]["feature"] == "a"
+    assert all(ours[k] == pytest.approx(theirs[k], abs=0.05) for k in theirs)
+    # Too many different rows to send to every task: Spark's trainer takes them all.
+    monkeypatch.setattr(md, "fit_forest", lambda df, inputs, forest: fit_forest(df, inputs, forest, 10))
+    md.train_classifier(*args, numTrees=2, maxDepth=2)
+    assert seen[-1] == 3000
